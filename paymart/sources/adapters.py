@@ -36,8 +36,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # nation is a fixed 25-row dimension; Spark's size check broadcasts it.
-    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    """Nation names by a bigint key, one row per key. Spark's size check
+    broadcasts it; because the key is unique, Catalyst drops the outer join
+    altogether when no nation column is used (as in the mart)."""
+    return (read_table(spark, sf_dir, "nation")
+            .select(F.col("n_nationkey").cast("bigint").alias("nation_key"), "n_name")
+            .groupBy("nation_key").agg(F.min("n_name").alias("n_name")))
+
+
+def _with_nation(spark: SparkSession, sf_dir: str, ev: DataFrame, modulus: int,
+                 unique: bool = True) -> DataFrame:
+    """Left join of nation names on ``user_id % modulus``. ``unique=False``
+    skips the aggregate that proves the key unique (for callers that use the
+    name anyway, so the join can never be dropped)."""
+    ev = ev.withColumn("nation_key", F.col("user_id") % modulus)
+    nation = _nation(spark, sf_dir) if unique else (
+        read_table(spark, sf_dir, "nation")
+        .select(F.col("n_nationkey").cast("bigint").alias("nation_key"), "n_name"))
+    return ev.join(nation, "nation_key", "left")
 
 
 def _tx_columns(ts: Column) -> list[Column]:
@@ -58,8 +74,7 @@ def _tx_columns(ts: Column) -> list[Column]:
 
 def stg_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged transactions (``STAGING.transactions`` shape), one per event."""
-    ev = read_table(spark, sf_dir, "events")
-    j = ev.join(_nation(spark, sf_dir), F.col("n_nationkey") == F.col("user_id") % 25, "inner")
+    j = _with_nation(spark, sf_dir, read_table(spark, sf_dir, "events"), 25)
     return j.select(*_tx_columns(to_millis("ts").alias("transaction_dttm")))
 
 
@@ -67,14 +82,16 @@ def src_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source transactions (``public.transactions`` shape): microsecond times,
     and no nation for user keys 25 and 26 of ``user_id % 27`` (null country,
     so the required-field check has rows to reject)."""
-    ev = read_table(spark, sf_dir, "events")
-    j = ev.join(_nation(spark, sf_dir), F.col("n_nationkey") == F.col("user_id") % 27, "left")
+    j = _with_nation(spark, sf_dir, read_table(spark, sf_dir, "events"), 27)
     return j.select(*_tx_columns(F.col("ts").alias("transaction_dt")))
 
 
 def _rate_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct event days x rate slots k (a generator, not a join)."""
-    days = read_table(spark, sf_dir, "events").select(day_of("ts").alias("date_update")).distinct()
+    """Every day from the first to the last event day x rate slots k
+    (generators over one global aggregate, not a join)."""
+    span = read_table(spark, sf_dir, "events").agg(F.min(day_of("ts")).alias("lo"),
+                                                   F.max(day_of("ts")).alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi")).alias("date_update"))
     return days.select("date_update", F.explode(F.sequence(F.lit(0), F.lit(RATE_SLOTS - 1))).alias("k"))
 
 
@@ -133,8 +150,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(day_text, F.lit(" 06:00:00")).cast(T.TimestampType()).alias("timestamp"),
         env.alias("value"))
 
-    ev = read_table(spark, sf_dir, "events")
-    tx = ev.join(_nation(spark, sf_dir), F.col("n_nationkey") == F.col("user_id") % 25, "inner")
+    tx = _with_nation(spark, sf_dir, read_table(spark, sf_dir, "events"), 25, unique=False)
     t = tx.select("event_id", "event_type", "ts", *_tx_columns(F.col("ts").alias("transaction_dt")))
     ts_text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     tx_payload = F.concat(
@@ -147,16 +163,16 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","transaction_type":"'), F.col("transaction_type"),
         F.lit('","amount":'), F.col("amount").cast("string"),
         F.lit(',"transaction_dt":"'), ts_text, F.lit('"}'))
-    t = t.select(
+    # copy 0 is the original; messages of error events get copy 1, an exact
+    # replay right after it (one scan of events, no self-union)
+    copies = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    t = t.select("*", F.explode(copies).alias("copy"))
+    txm = t.select(
         F.lit(1).alias("partition"),
-        (F.col("event_id") * 2).alias("offset"),
-        F.col("ts").cast(T.TimestampType()).alias("timestamp"),
-        _envelope(F.col("operation_id"), F.lit("TRANSACTION"), ts_text, tx_payload).alias("value"),
-        F.col("event_type"))
-    replays = (t.where(F.col("event_type") == "error")
-                .select("partition", (F.col("offset") + 1).alias("offset"),
-                        (F.col("timestamp") + F.expr("INTERVAL 1 SECOND")).alias("timestamp"), "value"))
-    records = rates.unionByName(t.drop("event_type")).unionByName(replays)
+        (F.col("event_id") * 2 + F.col("copy")).alias("offset"),
+        (F.col("ts").cast(T.TimestampType()) + F.make_dt_interval(secs=F.col("copy"))).alias("timestamp"),
+        _envelope(F.col("operation_id"), F.lit("TRANSACTION"), ts_text, tx_payload).alias("value"))
+    records = rates.unionByName(txm)
     return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value"))
 
 
@@ -176,13 +192,16 @@ _TX_COLUMNS_SQL = """
 
 _RATE_SLOTS_SQL = """
     SELECT date_update, unnest(range(0, 10)) AS k
-    FROM (SELECT DISTINCT CAST(ts AS DATE) AS date_update FROM events) d"""
+    FROM (
+        SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date_update
+        FROM (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events) span
+    ) d"""
 
 ORACLE_CTES = f"""
 stg_tx AS (
     SELECT {_TX_COLUMNS_SQL},
         date_trunc('millisecond', e.ts) AS transaction_dttm
-    FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+    FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25
 ),
 src_tx AS (
     SELECT {_TX_COLUMNS_SQL},
@@ -219,7 +238,7 @@ rate_envelopes AS (
 tx_msgs AS (
     SELECT e.event_id, e.event_type, e.ts, {_TX_COLUMNS_SQL},
         strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts_text
-    FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+    FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25
 ),
 tx_envelopes AS (
     SELECT event_id, event_type, ts,

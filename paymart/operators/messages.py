@@ -29,6 +29,14 @@ _RATE_PAYLOAD_WITH_CORRUPT = T.StructType(RATE_PAYLOAD.fields + [T.StructField(_
 RATE_FIELDS = [f.name for f in RATE_PAYLOAD.fields]
 
 
+def parsed_once(parsed: Column) -> Column:
+    """The fields of a parsed struct as columns, produced by a generator
+    (``inline`` of a one-element array). A filter on them then stays above the
+    parse: pushed below a plain projection, every predicate would re-run
+    ``from_json`` on the text (measured 2.5x slower on the envelope)."""
+    return F.inline(F.array(parsed))
+
+
 def parse_timestamp(text: Column) -> Column:
     """Text of a JSON timestamp as a zoned timestamp in the session zone:
     ISO 8601 with ``T`` or a space, optional fraction and offset (an offset is
@@ -56,18 +64,18 @@ def envelope_checked(records: DataFrame, keep: list[str] | tuple[str, ...] = ())
     text = as_text(F.col("value"))
     j = F.from_json(text, _ENVELOPE_TEXT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    df = records.select(*keep, text.alias("_text"), j.alias("_m"))
-    reason = (F.when(F.col("_text").isNull() | (F.trim(F.col("_text")) == ""), F.lit("empty_value"))
-               .when(F.col(f"_m.{_CORRUPT}").isNotNull(), F.lit("malformed_json"))
-               .when(F.col("_m.object_id").isNull(), F.lit("missing_object_id")))
+    df = records.select(*keep, text.alias("raw"), parsed_once(j))
+    reason = (F.when(F.col("raw").isNull() | (F.trim(F.col("raw")) == ""), F.lit("empty_value"))
+               .when(F.col(_CORRUPT).isNotNull(), F.lit("malformed_json"))
+               .when(F.col("object_id").isNull(), F.lit("missing_object_id")))
     return df.select(
         *keep,
-        F.col("_m.object_id").alias("object_id"),
-        F.col("_m.object_type").alias("object_type"),
-        parse_timestamp(F.col("_m.sent_dttm")).cast(T.TimestampNTZType()).alias("sent_dttm"),
-        F.col("_m.payload").alias("payload"),
+        "object_id",
+        "object_type",
+        parse_timestamp(F.col("sent_dttm")).cast(T.TimestampNTZType()).alias("sent_dttm"),
+        "payload",
         reason.alias("reason"),
-        F.col("_text").alias("raw"))
+        "raw")
 
 
 def decode_envelope(records: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -106,9 +114,7 @@ def rates_checked(messages: DataFrame, keep: list[str] | tuple[str, ...] = ()) -
     """
     p = F.from_json(F.col("payload"), _RATE_PAYLOAD_WITH_CORRUPT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    df = messages.select(*keep, F.col("payload").alias("raw"), p.alias("_p"))
-    df = df.select(*keep, "raw", F.col(f"_p.{_CORRUPT}").alias(_CORRUPT),
-                   *[F.col(f"_p.{c}").alias(c) for c in RATE_FIELDS])
+    df = messages.select(*keep, F.col("payload").alias("raw"), parsed_once(p))
     day = try_cast("date_update", T.DateType())
     div = try_cast("currency_with_div", RATE_DECIMAL)
     reason = F.coalesce(

@@ -107,7 +107,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """Read a partitioned Parquet table with its declared schema; a table
     that was never written reads as empty."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        # partition columns come last from the reader; restore declared order
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as e:  # PATH_NOT_FOUND
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise

@@ -26,7 +26,8 @@ def _raw_text(cols: list[str]) -> Column:
     parts = []
     for c in cols:
         if c == "transaction_dt":
-            v = F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            ts = F.col(c).try_cast("timestamp_ntz")
+            v = F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col(c).cast("string"))
         else:
             v = F.col(c).cast("string")
         parts.append(F.coalesce(v, F.lit("")))

@@ -107,7 +107,9 @@ def _counters(obs) -> dict:
 
 
 def _write_rejects(lake: Lake, rejects: DataFrame) -> None:
-    append_rows(rejects, lake.rejects, ["stage", "run_date"])
+    """Rejects of one (stage, run date) replace that partition, so a rerun
+    of a day does not count its rejects twice."""
+    write_days(rejects, lake.rejects, ["stage", "run_date"])
 
 
 # ---------------------------------------------------------------- landing

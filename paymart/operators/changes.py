@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 
 class DuplicateKeyError(ValueError):
@@ -41,16 +40,27 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
-                  order: Sequence[str] | None = None) -> DataFrame:
+                  order: Sequence[str] | None = None, broadcast_keys: bool = False) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (first writer
     wins, within the batch by ``order`` and across batches by the anti-join).
-    Returns only the rows to append; a replayed batch yields nothing (O46)."""
+    Returns only the rows to append; a replayed batch yields nothing (O46).
+
+    The table is only probed: its key column is semi-joined with the batch's
+    keys, so with ``broadcast_keys`` (for a batch whose key count the caller
+    has checked) the table is scanned without being shuffled, and only the
+    keys found meet the batch in the final anti-join. Without it Spark's own
+    size check picks the join.
+    """
     key = list(key)
     if order:
         new = first_per_key(new, key, order)
     else:
         new = new.dropDuplicates(key)
-    return new.join(existing.select(*key), key, "left_anti")
+    batch_keys = new.select(*key)
+    if broadcast_keys:
+        batch_keys = F.broadcast(batch_keys)
+    seen = existing.select(*key).join(batch_keys, key, "left_semi")
+    return new.join(seen, key, "left_anti")
 
 
 def replace_by_date(old: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
@@ -103,24 +113,21 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 
 # ---------------------------------------------------------------- storage
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a partitioned Parquet table with its declared schema; a table
-    that was never written reads as empty."""
-    try:
-        # partition columns come last from the reader; restore declared order
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    except AnalysisException as e:  # PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the path's Hadoop file system (works
+    for any scheme the cluster is configured for)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_cols: Sequence[str]) -> None:
-    """Create an empty table at ``path`` if there is none: appending an
-    empty frame writes only the folder and its commit marker and leaves
-    existing data alone."""
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_cols).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a partitioned Parquet table with its declared schema, columns in
+    declared order (the reader puts partition columns last); a table that was
+    never written reads as empty."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def write_days(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:

@@ -22,13 +22,14 @@ import datetime as _dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paymart.functions import as_date, day_of
 from paymart.operators.changes import (
-    append_rows, check_unique, ensure_table, insert_ignore, latest_per_key, read_table, upsert,
+    append_rows, check_unique, insert_ignore, latest_per_key, read_table, upsert,
     write_days,
 )
 from paymart.operators.mart import global_metrics
@@ -44,7 +45,10 @@ from paymart.session import configure
 LANDING_STORED = T.StructType(LANDING.fields + [T.StructField("sent_date", T.DateType())])
 STG_TRANSACTIONS_STORED = T.StructType(STG_TRANSACTIONS.fields + [T.StructField(BUSINESS_DATE, T.DateType())])
 DEFAULT_ORDER = ("partition", "offset")
-_ENSURED: set[str] = set()
+# A batch whose valid key count is at most this has its keys broadcast when
+# probing the landing table (a few bytes per key: well below the usual
+# broadcast limits); a larger batch leaves the choice to Spark.
+BROADCAST_KEYS_MAX = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -74,17 +78,6 @@ class Lake:
     def rejects(self) -> str:
         return self._p("rejects")
 
-    def ensure(self, spark: SparkSession) -> "Lake":
-        """Create the tables that do not exist yet (empty)."""
-        if self.root not in _ENSURED:
-            ensure_table(spark, self.landing, LANDING_STORED, ["object_type", "sent_date"])
-            ensure_table(spark, self.stg_currencies, STG_CURRENCIES, ["date_update"])
-            ensure_table(spark, self.stg_transactions, STG_TRANSACTIONS_STORED, [BUSINESS_DATE])
-            ensure_table(spark, self.mart, MART_GLOBAL_METRICS, ["date_update"])
-            ensure_table(spark, self.rejects, REJECTS, ["stage", "run_date"])
-            _ENSURED.add(self.root)
-        return self
-
     # readers with declared schemas (a table never written reads as empty)
     def read_landing(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.landing, LANDING_STORED)
@@ -120,17 +113,22 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     (by ``order`` within the batch, against the table across batches) and
     append. A replayed batch appends nothing (O46)."""
     configure(spark)
-    lake.ensure(spark)
     order = [c for c in order if c in records.columns]
     checked, obs = observe_split(envelope_checked(records, keep=order), "landing")
-    valid = checked.where(F.col("reason").isNull()).select(*order, "object_id", "object_type",
-                                                           "sent_dttm", "payload")
+    # the decoded batch is used twice (its keys probe the table, its rows are
+    # appended): keep it rather than decode twice; a lost block is recomputed
+    valid = (checked.where(F.col("reason").isNull())
+             .select(*order, "object_id", "object_type", "sent_dttm", "payload")
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    n_valid = valid.count()
     existing = lake.read_landing(spark)
-    new = insert_ignore(existing, valid, ["object_id"], order or None)
+    new = insert_ignore(existing, valid, ["object_id"], order or None,
+                        broadcast_keys=n_valid <= BROADCAST_KEYS_MAX)
     new = new.select("object_id", "object_type", "sent_dttm", "payload",
                      day_of("sent_dttm").alias("sent_date"))
     new, wobs = observe_rows(new, "landing_written")
     append_rows(new, lake.landing, ["object_type", "sent_date"])
+    valid.unpersist()
     out = {**_counters(obs), **_counters(wobs)}
     if out.get("rejected"):
         _write_rejects(lake, checked.where(F.col("reason").isNotNull()).select(
@@ -152,7 +150,6 @@ def stage_currencies(spark: SparkSession, lake: Lake, day: _dt.date | str | None
     """Rate messages of ``day`` -> typed rates -> replace every date
     present in the valid rows (D2). No valid rows: nothing changes (D3)."""
     configure(spark)
-    lake.ensure(spark)
     checked, obs = observe_split(rates_checked(_landing_day(spark, lake, day)), "currencies")
     valid = checked.where(F.col("reason").isNull()).select(
         "date_update", "currency_code", "currency_code_with", "currency_code_div")
@@ -175,7 +172,6 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
     the source; ``latest`` keeps the largest row per key.
     """
     configure(spark)
-    lake.ensure(spark)
     checked, obs = observe_split(transactions_checked(extract_transactions(src, day)), "transactions")
     source = checked.where(F.col("reason").isNull()).drop("reason", "raw")
     if on_duplicate == "error":
@@ -209,7 +205,6 @@ def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str |
     """The day's mart rows upserted on (date_update, currency_from).
     Groups that no longer qualify stay as they were (D13)."""
     configure(spark)
-    lake.ensure(spark)
     source = global_metrics(lake.read_transactions(spark), lake.read_currencies(spark), day)
     target = lake.read_mart(spark)
     if day is not None:

@@ -157,6 +157,12 @@ def q_global_metrics_day(spark, sf_dir):
     return mart.global_metrics(A.stg_transactions(spark, sf_dir), A.stg_currencies(spark, sf_dir), RUN_DATE)
 
 
+def q_global_metrics_sql(spark, sf_dir):
+    configure(spark)
+    return mart.global_metrics_sql(spark, A.stg_transactions(spark, sf_dir), A.stg_currencies(spark, sf_dir),
+                                   RUN_DATE)
+
+
 def q_global_metrics_upsert(spark, sf_dir):
     """Target: an earlier build without purchases and without currency 419;
     source: a build that lacks currency 416."""
@@ -219,6 +225,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_join": q_rate_join,
     "global_metrics": q_global_metrics,
     "global_metrics_day": q_global_metrics_day,
+    "global_metrics_sql": q_global_metrics_sql,
     "global_metrics_upsert": q_global_metrics_upsert,
     "load_counters": q_load_counters,
     "run_day": q_run_day,

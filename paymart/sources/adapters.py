@@ -31,8 +31,19 @@ BROKEN_RATE_SLOT = 8
 NO_DIV_RATE_SLOT = 9
 
 
+_LOADED: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's read-only input tables. The loaded DataFrame is
+    kept per session and path, so its file listing and footer read happen
+    once and every adapter reading it shares one relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _LOADED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _LOADED[key] = spark.read.parquet(path)
+    return df
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:

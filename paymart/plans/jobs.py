@@ -119,13 +119,17 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     # appended): keep it rather than decode twice; a lost block is recomputed
     valid = (checked.where(F.col("reason").isNull())
              .select(*order, "object_id", "object_type", "sent_dttm", "payload")
-             .persist(StorageLevel.MEMORY_AND_DISK))
+             .persist(StorageLevel.MEMORY_AND_DISK_DESER))
     n_valid = valid.count()
     existing = lake.read_landing(spark)
     new = insert_ignore(existing, valid, ["object_id"], order or None,
                         broadcast_keys=n_valid <= BROADCAST_KEYS_MAX)
-    new = new.select("object_id", "object_type", "sent_dttm", "payload",
-                     day_of("sent_dttm").alias("sent_date"))
+    # range-partition the new rows by (type, day, key): each landing partition
+    # is written by a few tasks in proportion to its size, so a backfill over
+    # many days does not leave a small file per task and day
+    new = (new.select("object_id", "object_type", "sent_dttm", "payload",
+                      day_of("sent_dttm").alias("sent_date"))
+           .repartitionByRange("object_type", "sent_date", "object_id"))
     new, wobs = observe_rows(new, "landing_written")
     append_rows(new, lake.landing, ["object_type", "sent_date"])
     valid.unpersist()
@@ -186,9 +190,12 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
     merged = upsert(target.drop(BUSINESS_DATE), source, TRANSACTION_KEY)
     merged = merged.withColumn(BUSINESS_DATE, day_of("transaction_dttm"))
     if day is None:
-        # range form: only the days the source touches are rewritten
-        merged = merged.join(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct(),
-                             BUSINESS_DATE, "left_semi")
+        # range form: only the days the source touches are rewritten; rows are
+        # range-partitioned by (day, key) so each day is written by a few tasks
+        # in proportion to its size, not as a small file from every task
+        merged = (merged.join(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct(),
+                              BUSINESS_DATE, "left_semi")
+                  .repartitionByRange(BUSINESS_DATE, "operation_id"))
     merged, wobs = observe_rows(merged, "transactions_written")
     write_days(merged, lake.stg_transactions, [BUSINESS_DATE])
     out = {**_counters(obs), **_counters(wobs)}

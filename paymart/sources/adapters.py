@@ -184,7 +184,10 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("ts").cast(T.TimestampType()) + F.make_dt_interval(secs=F.col("copy"))).alias("timestamp"),
         _envelope(F.col("operation_id"), F.lit("TRANSACTION"), ts_text, tx_payload).alias("value"))
     records = rates.unionByName(txm)
-    return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value"))
+    # a topic is read in parallel, one task per topic partition; spread the
+    # records the same way (hash of the offset: deterministic on a rerun)
+    return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value")) \
+        .repartition(spark.sparkContext.defaultParallelism, "offset")
 
 
 # --------------------------------------------------------------------------

@@ -66,7 +66,10 @@ def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
 def replace_by_date(old: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
     """The whole content after replacing every date present in ``new``
     (D2). No new rows: nothing is replaced (D3)."""
-    days = new.select(date_col).distinct()
+    # the set of dates is bounded by the calendar (a few hundred values per
+    # year of data), so it is broadcast: the old table is never shuffled by
+    # date, which would put a whole (possibly huge) day into one task
+    days = F.broadcast(new.select(date_col).distinct())
     return new.unionByName(old.join(days, date_col, "left_anti"))
 
 

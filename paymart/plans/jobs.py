@@ -193,8 +193,8 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
         # range form: only the days the source touches are rewritten; rows are
         # range-partitioned by (day, key) so each day is written by a few tasks
         # in proportion to its size, not as a small file from every task
-        merged = (merged.join(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct(),
-                              BUSINESS_DATE, "left_semi")
+        days = F.broadcast(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct())
+        merged = (merged.join(days, BUSINESS_DATE, "left_semi")   # days: bounded by the calendar
                   .repartitionByRange(BUSINESS_DATE, "operation_id"))
     merged, wobs = observe_rows(merged, "transactions_written")
     write_days(merged, lake.stg_transactions, [BUSINESS_DATE])
@@ -217,7 +217,7 @@ def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str |
     if day is not None:
         target = target.where(F.col("date_update") == F.lit(as_date(day)))
     else:
-        target = target.join(source.select("date_update").distinct(), "date_update", "left_semi")
+        target = target.join(F.broadcast(source.select("date_update").distinct()), "date_update", "left_semi")
     merged, wobs = observe_rows(upsert(target, source, MART_KEY), "mart_written")
     write_days(merged, lake.mart, ["date_update"])
     return _counters(wobs)

@@ -75,3 +75,12 @@ def test_transaction_extract_pushes_day_range(spark):
     df = extract_transactions(A.src_transactions(spark, SF_SMALL), "2024-01-05")
     plan = _plan(df)
     assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan and "LessThan(ts,2024-01-06T00:00)" in plan
+
+
+def test_no_python_cartesian_or_nested_loop_in_any_registered_plan(spark):
+    import __spark_entry__ as entry
+    for name, q in entry.queries().items():
+        plan = _plan(q(spark, SF_SMALL))
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                    "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)

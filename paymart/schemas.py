@@ -37,7 +37,7 @@ STG_CURRENCIES = T.StructType([
     T.StructField("currency_code_div", RATE_DECIMAL),
 ])
 
-# Typed staging row of a transaction (the temp table of the reference load).
+# Typed staging row of a transaction (nine columns, declared types).
 TRANSACTION_COLUMNS = [
     ("operation_id", T.StringType()),
     ("account_number_from", T.LongType()),
@@ -80,7 +80,7 @@ REJECTS = T.StructType([
 # Stored partition column of the staged transactions (never in results).
 BUSINESS_DATE = "business_date"
 
-# Fixed values of the load, as named in the reference.
+# Fixed values of the load (must stay as they are for equal results).
 STATUS_SETTLED = "done"
 TYPE_EXCLUDED = "authorisation"
 BASE_CURRENCY = "420"

@@ -4,9 +4,8 @@ tables (``events`` and ``nation``), so their size grows with the data.
 Each Spark adapter has a DuckDB twin in ``ORACLE_CTES`` (same rows, same
 types) that the oracle queries build on.
 
-Fixed values of the adapters (made up for the test data, not from the
-reference, except the base currency 420, status ``done`` and type
-``authorisation``):
+Fixed values of the adapters (made up for the test data, except the base
+currency 420, status ``done`` and type ``authorisation`` of the load itself):
 
 * transaction currencies: 416, 417, 418, 419, 420 (``416 + event_id % 5``)
 * rate rows per day: k = 0..9; base ``420`` for k < 5 else ``430``;

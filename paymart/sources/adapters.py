@@ -33,6 +33,20 @@ NO_DIV_RATE_SLOT = 9
 _LOADED: dict[tuple[int, str], DataFrame] = {}
 
 
+def _memo(build):
+    """Define an adapter once per session and input folder: its plan is
+    analysed once and later queries reuse the same (lazy) DataFrame."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), f"{build.__name__}:{sf_dir.rstrip('/')}")
+        df = _LOADED.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _LOADED[key] = build(spark, sf_dir)
+        return df
+    wrapper.__name__ = build.__name__
+    wrapper.__doc__ = build.__doc__
+    return wrapper
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's read-only input tables. The loaded DataFrame is
     kept per session and path, so its file listing and footer read happen
@@ -82,12 +96,14 @@ def _tx_columns(ts: Column) -> list[Column]:
     ]
 
 
+@_memo
 def stg_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged transactions (``STAGING.transactions`` shape), one per event."""
     j = _with_nation(spark, sf_dir, read_table(spark, sf_dir, "events"), 25)
     return j.select(*_tx_columns(to_millis("ts").alias("transaction_dttm")))
 
 
+@_memo
 def src_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source transactions (``public.transactions`` shape): microsecond times,
     and no nation for user keys 25 and 26 of ``user_id % 27`` (null country,
@@ -112,6 +128,7 @@ def _rate_values(k: Column) -> tuple[Column, Column, Column]:
     return code, code_with, div
 
 
+@_memo
 def stg_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged rates (``STAGING.currencies`` shape)."""
     s = _rate_slots(spark, sf_dir)
@@ -132,6 +149,7 @@ def _envelope(object_id: Column, object_type: Column, sent: Column, payload: Col
                     F.lit('"}'))
 
 
+@_memo
 def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message stream records as a Kafka source gives them:
     ``partition int, offset bigint, timestamp timestamp, value binary``.

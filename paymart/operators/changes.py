@@ -133,6 +133,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def read_partition(spark: SparkSession, path: str, schema: T.StructType, spec: dict) -> DataFrame:
+    """Read one partition (``spec`` = partition column -> value, outermost
+    first) of a table by its folder, with ``basePath`` so the partition
+    columns are still returned. Only that folder is listed, not every
+    partition of the table; a missing partition reads as empty."""
+    sub = "/".join(f"{k}={v}" for k, v in spec.items())
+    part = f"{path.rstrip('/')}/{sub}"
+    if not table_exists(spark, part):
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", path).parquet(part)
+    return df.select(*schema.fieldNames())
+
+
 def write_days(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Overwrite exactly the partitions present in ``df``.
 

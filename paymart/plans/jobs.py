@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from paymart.functions import as_date, day_of
 from paymart.operators.changes import (
-    append_rows, check_unique, insert_ignore, latest_per_key, read_table, upsert,
+    append_rows, check_unique, insert_ignore, latest_per_key, read_partition, read_table, upsert,
     write_days,
 )
 from paymart.operators.mart import global_metrics
@@ -94,6 +94,21 @@ class Lake:
     def read_rejects(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.rejects, REJECTS)
 
+    # one day, read by its folder (no listing of the other partitions)
+    def read_transactions_day(self, spark: SparkSession, day) -> DataFrame:
+        return read_partition(spark, self.stg_transactions, STG_TRANSACTIONS_STORED,
+                              {BUSINESS_DATE: as_date(day)})
+
+    def read_currencies_day(self, spark: SparkSession, day) -> DataFrame:
+        return read_partition(spark, self.stg_currencies, STG_CURRENCIES, {"date_update": as_date(day)})
+
+    def read_mart_day(self, spark: SparkSession, day) -> DataFrame:
+        return read_partition(spark, self.mart, MART_GLOBAL_METRICS, {"date_update": as_date(day)})
+
+    def read_landing_day(self, spark: SparkSession, object_type: str, day) -> DataFrame:
+        return read_partition(spark, self.landing, LANDING_STORED,
+                              {"object_type": object_type, "sent_date": as_date(day)})
+
 
 def _counters(obs) -> dict:
     return dict(obs.get) if obs is not None else {}
@@ -144,9 +159,10 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
 # ---------------------------------------------------------------- staging
 
 def _landing_day(spark: SparkSession, lake: Lake, day) -> DataFrame:
-    landing = lake.read_landing(spark).where(F.col("object_type") == F.lit(OBJECT_TYPE_CURRENCY))
-    if day is not None:
-        landing = landing.where(F.col("sent_date") == F.lit(as_date(day)))   # partition pruning
+    if day is None:
+        landing = lake.read_landing(spark).where(F.col("object_type") == F.lit(OBJECT_TYPE_CURRENCY))
+    else:
+        landing = lake.read_landing_day(spark, OBJECT_TYPE_CURRENCY, day)
     return currency_messages(landing, day)
 
 
@@ -184,9 +200,7 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
         source = latest_per_key(source, TRANSACTION_KEY, [c for c in source.columns if c not in TRANSACTION_KEY])
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    target = lake.read_transactions(spark)
-    if day is not None:
-        target = target.where(F.col(BUSINESS_DATE) == F.lit(as_date(day)))
+    target = lake.read_transactions(spark) if day is None else lake.read_transactions_day(spark, day)
     merged = upsert(target.drop(BUSINESS_DATE), source, TRANSACTION_KEY)
     merged = merged.withColumn(BUSINESS_DATE, day_of("transaction_dttm"))
     if day is None:
@@ -212,12 +226,14 @@ def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str |
     """The day's mart rows upserted on (date_update, currency_from).
     Groups that no longer qualify stay as they were (D13)."""
     configure(spark)
-    source = global_metrics(lake.read_transactions(spark), lake.read_currencies(spark), day)
-    target = lake.read_mart(spark)
-    if day is not None:
-        target = target.where(F.col("date_update") == F.lit(as_date(day)))
+    if day is None:
+        source = global_metrics(lake.read_transactions(spark), lake.read_currencies(spark))
+        # only the days the source has (a calendar-bounded set: broadcast)
+        target = lake.read_mart(spark).join(F.broadcast(source.select("date_update").distinct()),
+                                            "date_update", "left_semi")
     else:
-        target = target.join(F.broadcast(source.select("date_update").distinct()), "date_update", "left_semi")
+        source = global_metrics(lake.read_transactions_day(spark, day), lake.read_currencies_day(spark, day), day)
+        target = lake.read_mart_day(spark, day)
     merged, wobs = observe_rows(upsert(target, source, MART_KEY), "mart_written")
     write_days(merged, lake.mart, ["date_update"])
     return _counters(wobs)

@@ -21,11 +21,10 @@ through its ``_spark_metadata`` log and would not see batch-appended files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paymart.functions import day_of
-from paymart.operators.messages import decode_envelope
+from paymart.operators.messages import decode_envelope, envelope_rejects
 from paymart.session import configure
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,11 +53,42 @@ def landing_rows(stream: DataFrame) -> DataFrame:
                        day_of("sent_dttm").alias("sent_date"))
 
 
+def _drain(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"stream {q.name or q.id} did not drain within {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
+def reject_rows(stream: DataFrame) -> DataFrame:
+    """Messages the landing cannot keep, with a reason (O24), stream form."""
+    return envelope_rejects(stream)
+
+
+def land_stream_rejects(spark: SparkSession, stream: DataFrame, rejects_path: str, checkpoint: str,
+                        timeout_s: float | None = 1800.0) -> StreamingQuery:
+    """Keep the rejected messages of the stream (no state; its own
+    checkpoint). Written to a table of its own: a stream file sink keeps a
+    metadata log that batch writers of the same folder would bypass."""
+    configure(spark)
+    q = (reject_rows(stream).writeStream.format("parquet")
+         .option("path", rejects_path)
+         .option("checkpointLocation", checkpoint)
+         .outputMode("append")
+         .trigger(availableNow=True)
+         .start())
+    return _drain(q, timeout_s)
+
+
 def land_stream(spark: SparkSession, stream: DataFrame, landing_path: str, checkpoint: str,
                 mode: str = "state", timeout_s: float | None = 1800.0) -> StreamingQuery:
     """Run until the source is drained (O43 ``availableNow``), then
     return the finished query. ``checkpoint`` (O45) must be on shared storage,
-    e.g. below ``spark.checkpoint.dir``."""
+    e.g. below ``spark.checkpoint.dir``. Rejects are kept by
+    ``land_stream_rejects`` (state form) or by the batch job (merge form)."""
     configure(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) in (None, ""):
         # one state entry per key for ever: keep it off the JVM heap
@@ -86,10 +116,4 @@ def land_stream(spark: SparkSession, stream: DataFrame, landing_path: str, check
     q = (writer.option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError(f"landing stream did not drain within {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
-    return q
+    return _drain(q, timeout_s)

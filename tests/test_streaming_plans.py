@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paymart.operators import mart
 from paymart.plans import jobs
 from paymart.sources import adapters as A
-from paymart.streaming.landing import land_stream, message_stream
+from paymart.streaming.landing import land_stream, land_stream_rejects, message_stream
 
 from .conftest import SF_SMALL
 
@@ -42,6 +42,10 @@ def test_stream_two_drains_and_replay(spark, scratch):
     # a third drain with nothing new writes nothing
     land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
     assert spark.read.parquet(out).count() == 3
+    # rejects are kept, not dropped
+    land_stream_rejects(spark, message_stream(spark, "text", path=inbox), f"{scratch}/rejects", f"{scratch}/rckpt")
+    rej = spark.read.parquet(f"{scratch}/rejects").collect()
+    assert [(r.stage, r.reason, r.raw) for r in rej] == [("landing", "malformed_json", "not json")]
 
 
 def test_mart_plan_broadcasts_rates_and_has_no_python(spark):
@@ -84,3 +88,15 @@ def test_no_python_cartesian_or_nested_loop_in_any_registered_plan(spark):
         for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                     "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_hot_keys_are_folded_before_the_shuffle(spark):
+    """A key holding most rows moves one row per task: the first aggregate
+    below each exchange is a partial one."""
+    from paymart.operators import changes
+    df = spark.range(0, 1000, numPartitions=4).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS object_id", "0 AS partition", "id AS offset", "'p' AS payload")
+    plan = _plan(changes.first_per_key(df, ["object_id"], ["partition", "offset"]))
+    assert "partial_min(struct(" in plan
+    plan = _plan(mart.global_metrics(A.stg_transactions(spark, SF_SMALL), A.stg_currencies(spark, SF_SMALL)))
+    assert "partial_sum(amount_base" in plan and "partial_count(distinct account_number_from" in plan

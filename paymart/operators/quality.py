@@ -50,6 +50,16 @@ def dedupe_rates(stg_currencies: DataFrame) -> DataFrame:
             .agg(F.min("currency_code_div").alias("currency_code_div")))
 
 
+def missing_rates(settled: DataFrame, rates: DataFrame) -> DataFrame:
+    """Addition: settled transactions that the mart's inner
+    join drops because their (day, currency) has no rate to the base
+    currency. ``settled``/``rates`` as from ``mart.settled_transactions`` and
+    ``mart.base_rates``. The rate keys per day are few, so Spark's size check
+    broadcasts them and the transactions are not shuffled."""
+    return settled.join(rates.select("date_update", "currency_code"), ["date_update", "currency_code"],
+                        "left_anti")
+
+
 def is_empty(df: DataFrame) -> bool:
     """Emptiness test without counting every row."""
     return df.isEmpty()

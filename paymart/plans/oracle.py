@@ -255,6 +255,12 @@ SELECT 'transactions', CAST(transaction_dttm AS DATE), COUNT(*),
     COUNT(*) FILTER (WHERE reason IS NULL), COUNT(*) FILTER (WHERE reason IS NOT NULL)
 FROM src_checked GROUP BY 1, 2""",
 
+    "missing_rates": f"""{WITH},{_SETTLED}
+SELECT s.* FROM settled s
+WHERE NOT EXISTS (SELECT 1 FROM stg_rates r
+                  WHERE r.currency_code = '420' AND r.date_update = s.date_update
+                    AND r.currency_code_with = s.currency_code)""",
+
     "run_day": f"""{WITH},{_PIPE_RATES.format(cond=f"AND CAST(sent_dttm AS DATE) = {RUN_DATE_SQL}",
                                                tx_cond=f"AND CAST(transaction_dttm AS DATE) = {RUN_DATE_SQL}")}
 SELECT * FROM {_metrics('p_tx', 'p_rates', RUN_DATE_SQL)}""",

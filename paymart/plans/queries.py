@@ -177,6 +177,13 @@ def q_global_metrics_upsert(spark, sf_dir):
 
 # ---------------------------------------------------------------- counters, pipeline
 
+def q_missing_rates(spark, sf_dir):
+    """Addition: the settled transactions the mart drops for want of a rate."""
+    configure(spark)
+    return quality.missing_rates(mart.settled_transactions(A.stg_transactions(spark, sf_dir)),
+                                 mart.base_rates(A.stg_currencies(spark, sf_dir)))
+
+
 def q_load_counters(spark, sf_dir):
     """O39 in batch form: rows read, valid and rejected per stage and day
     (landing by message time, rates by sending day, transactions by
@@ -228,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "global_metrics_sql": q_global_metrics_sql,
     "global_metrics_upsert": q_global_metrics_upsert,
     "load_counters": q_load_counters,
+    "missing_rates": q_missing_rates,
     "run_day": q_run_day,
     "run_days": q_run_days,
 }

@@ -23,7 +23,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,8 +132,12 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     checked, obs = observe_split(envelope_checked(records, keep=order), "landing")
     # the decoded batch is used twice (its keys probe the table, its rows are
     # appended): keep it rather than decode twice; a lost block is recomputed
-    valid = (checked.where(F.col("reason").isNull())
-             .select(*order, "object_id", "object_type", "sent_dttm", "payload")
+    valid = checked.where(F.col("reason").isNull()).select(*order, "object_id", "object_type",
+                                                           "sent_dttm", "payload")
+    # A message without a usable sent_dttm is landed but can never be
+    # staged (its day is unknown); count it
+    undated = Observation("landing_undated")
+    valid = (valid.observe(undated, F.count_if(F.col("sent_dttm").isNull()).alias("undated"))
              .persist(StorageLevel.MEMORY_AND_DISK_DESER))
     n_valid = valid.count()
     existing = lake.read_landing(spark)
@@ -148,7 +152,7 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     new, wobs = observe_rows(new, "landing_written")
     append_rows(new, lake.landing, ["object_type", "sent_date"])
     valid.unpersist()
-    out = {**_counters(obs), **_counters(wobs)}
+    out = {**_counters(obs), **_counters(undated), **_counters(wobs)}
     if out.get("rejected"):
         _write_rejects(lake, checked.where(F.col("reason").isNotNull()).select(
             F.lit("landing").alias("stage"), "reason", "raw",

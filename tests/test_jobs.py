@@ -30,6 +30,7 @@ def test_run_day_is_repeatable_and_keeps_other_days(spark, scratch):
     records, src = _inputs(spark)
     out = jobs.run_day(spark, lake, records, src, DAYS[0])
     assert out["landing"]["rejected"] > 0 and out["landing"]["written"] > 0
+    assert out["landing"]["undated"] == 0
     assert out["currencies"]["valid"] == 8 and out["currencies"]["rejected"] == 1
     jobs.run_day(spark, lake, records, src, DAYS[1])
     snap = {n: _rows(getattr(lake, f"read_{n}")(spark))

@@ -178,7 +178,14 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(day_text, F.lit(" 06:00:00")).cast(T.TimestampType()).alias("timestamp"),
         env.alias("value"))
 
-    tx = _with_nation(spark, sf_dir, read_table(spark, sf_dir, "events"), 25, unique=False)
+    ev = read_table(spark, sf_dir, "events")
+    n = spark.sparkContext.defaultParallelism
+    if ev.rdd.getNumPartitions() < n:
+        # a topic is read in parallel, one task per topic partition: spread
+        # the (narrow) events the same way when the file gives fewer splits;
+        # hashing the id keeps a rerun deterministic
+        ev = ev.repartition(n, "event_id")
+    tx = _with_nation(spark, sf_dir, ev, 25, unique=False)
     t = tx.select("event_id", "event_type", "ts", *_tx_columns(F.col("ts").alias("transaction_dt")))
     ts_text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     tx_payload = F.concat(
@@ -201,10 +208,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("ts").cast(T.TimestampType()) + F.make_dt_interval(secs=F.col("copy"))).alias("timestamp"),
         _envelope(F.col("operation_id"), F.lit("TRANSACTION"), ts_text, tx_payload).alias("value"))
     records = rates.unionByName(txm)
-    # a topic is read in parallel, one task per topic partition; spread the
-    # records the same way (hash of the offset: deterministic on a rerun)
-    return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value")) \
-        .repartition(spark.sparkContext.defaultParallelism, "offset")
+    return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value"))
 
 
 # --------------------------------------------------------------------------

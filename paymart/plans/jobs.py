@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paymart.functions import as_date, day_of
+from paymart.functions import as_date, day_of, to_millis
 from paymart.operators.changes import (
-    append_rows, check_unique, insert_ignore, latest_per_key, read_partition, read_table, upsert,
+    append_rows, check_unique, duplicate_keys, insert_ignore, latest_per_key, read_partition, read_table,
+    upsert,
     write_days,
 )
 from paymart.operators.mart import global_metrics
@@ -196,10 +197,18 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
     the source; ``latest`` keeps the largest row per key.
     """
     configure(spark)
-    checked, obs = observe_split(transactions_checked(extract_transactions(src, day)), "transactions")
+    extract = extract_transactions(src, day)
+    checked, obs = observe_split(transactions_checked(extract), "transactions")
     source = checked.where(F.col("reason").isNull()).drop("reason", "raw")
     if on_duplicate == "error":
-        check_unique(source, TRANSACTION_KEY)
+        # D5, in two steps: keys of all extracted rows first (two columns are
+        # read); only if that finds a repeated key, the exact check over the
+        # valid rows (which needs every column)
+        keys = extract.select(F.col("operation_id").try_cast("string").alias("operation_id"),
+                              to_millis(F.col("transaction_dt").try_cast("timestamp_ntz"))
+                              .alias("transaction_dttm"))
+        if not duplicate_keys(keys.dropna(), TRANSACTION_KEY).isEmpty():
+            check_unique(source, TRANSACTION_KEY)
     elif on_duplicate == "latest":
         source = latest_per_key(source, TRANSACTION_KEY, [c for c in source.columns if c not in TRANSACTION_KEY])
     else:

@@ -131,19 +131,24 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     configure(spark)
     order = [c for c in order if c in records.columns]
     checked, obs = observe_split(envelope_checked(records, keep=order), "landing")
-    # the decoded batch is used twice (its keys probe the table, its rows are
-    # appended): keep it rather than decode twice; a lost block is recomputed
-    valid = checked.where(F.col("reason").isNull()).select(*order, "object_id", "object_type",
-                                                           "sent_dttm", "payload")
     # A message without a usable sent_dttm is landed but can never be
     # staged (its day is unknown); count it
     undated = Observation("landing_undated")
-    valid = (valid.observe(undated, F.count_if(F.col("sent_dttm").isNull()).alias("undated"))
+    checked = checked.observe(
+        undated, F.count_if(F.col("reason").isNull() & F.col("sent_dttm").isNull()).alias("undated"))
+    # The decoded batch is used three times (its keys probe the table, its
+    # valid rows are appended, its rejects are kept): decode it once and keep
+    # it, with the raw text only on rejected rows. A lost block is recomputed.
+    batch = (checked.select(*order, "object_id", "object_type", "sent_dttm", "payload", "reason",
+                            F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"))
              .persist(StorageLevel.MEMORY_AND_DISK_DESER))
-    n_valid = valid.count()
+    batch.count()
+    out = {**_counters(obs), **_counters(undated)}
+    valid = batch.where(F.col("reason").isNull()).select(*order, "object_id", "object_type",
+                                                         "sent_dttm", "payload")
     existing = lake.read_landing(spark)
     new = insert_ignore(existing, valid, ["object_id"], order or None,
-                        broadcast_keys=n_valid <= BROADCAST_KEYS_MAX)
+                        broadcast_keys=out["valid"] <= BROADCAST_KEYS_MAX)
     # range-partition the new rows by (type, day, key): each landing partition
     # is written by a few tasks in proportion to its size, so a backfill over
     # many days does not leave a small file per task and day
@@ -152,12 +157,12 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
            .repartitionByRange("object_type", "sent_date", "object_id"))
     new, wobs = observe_rows(new, "landing_written")
     append_rows(new, lake.landing, ["object_type", "sent_date"])
-    valid.unpersist()
-    out = {**_counters(obs), **_counters(undated), **_counters(wobs)}
+    out.update(_counters(wobs))
     if out.get("rejected"):
-        _write_rejects(lake, checked.where(F.col("reason").isNotNull()).select(
+        _write_rejects(lake, batch.where(F.col("reason").isNotNull()).select(
             F.lit("landing").alias("stage"), "reason", "raw",
             F.lit(run_date).cast("date").alias("run_date")))
+    batch.unpersist()
     return out
 
 

@@ -47,9 +47,10 @@ LANDING_STORED = T.StructType(LANDING.fields + [T.StructField("sent_date", T.Dat
 STG_TRANSACTIONS_STORED = T.StructType(STG_TRANSACTIONS.fields + [T.StructField(BUSINESS_DATE, T.DateType())])
 DEFAULT_ORDER = ("partition", "offset")
 # A batch whose valid key count is at most this has its keys broadcast when
-# probing the landing table (a few bytes per key: well below the usual
-# broadcast limits); a larger batch leaves the choice to Spark.
-BROADCAST_KEYS_MAX = 2_000_000
+# probing the landing table: at ~50 bytes per key in the hash relation that
+# is ~25 MB sent to each executor once; a larger batch leaves the choice to
+# Spark (its own size check, else a sort-merge semi-join).
+BROADCAST_KEYS_MAX = 500_000
 
 
 @dataclass(frozen=True)

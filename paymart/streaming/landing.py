@@ -11,8 +11,9 @@ Two forms:
 * ``merge``: ``foreachBatch`` runs the batch job ``plans.jobs.land`` on each
   micro-batch (first wins by partition and offset, anti-join against the
   table). It survives a lost checkpoint like a unique key does. PySpark runs
-  the callback through a local callback server, so this form was not run in
-  this repository's tests (no extra ports may be opened here).
+  the callback through a local callback server, so the stream start of this
+  form was not run in this repository's tests (no extra ports may be opened
+  here); the callback itself, ``micro_batch_lander``, is tested directly.
 
 A landing table is written by one form only: the stream file sink reads back
 through its ``_spark_metadata`` log and would not see batch-appended files.
@@ -83,6 +84,21 @@ def land_stream_rejects(spark: SparkSession, stream: DataFrame, rejects_path: st
     return _drain(q, timeout_s)
 
 
+def micro_batch_lander(spark: SparkSession, lake):
+    """The ``foreachBatch`` callback of the merge form: each micro-batch
+    runs the batch landing job (first wins by partition and offset, anti-join
+    against the table). An empty batch is skipped without counting it (O38);
+    a replayed batch appends nothing (O46)."""
+    from paymart.plans.jobs import land
+
+    def _batch(df: DataFrame, epoch_id: int) -> dict | None:
+        if df.isEmpty():
+            return None
+        return land(spark, lake, df)
+
+    return _batch
+
+
 def land_stream(spark: SparkSession, stream: DataFrame, landing_path: str, checkpoint: str,
                 mode: str = "state", timeout_s: float | None = 1800.0) -> StreamingQuery:
     """Run until the source is drained (O43 ``availableNow``), then
@@ -100,17 +116,10 @@ def land_stream(spark: SparkSession, stream: DataFrame, landing_path: str, check
                   .partitionBy("object_type", "sent_date")
                   .outputMode("append"))
     elif mode == "merge":
-        from paymart.plans.jobs import Lake, land
-
-        lake_root = landing_path.rstrip("/").rsplit("/", 1)[0]
-        lake = Lake(lake_root)
-
-        def _batch(df: DataFrame, epoch_id: int) -> None:  # O44
-            if df.isEmpty():   # O38
-                return
-            land(spark, lake, df)
+        from paymart.plans.jobs import Lake
 
-        writer = stream.writeStream.foreachBatch(_batch)
+        lake = Lake(landing_path.rstrip("/").rsplit("/", 1)[0])
+        writer = stream.writeStream.foreachBatch(micro_batch_lander(spark, lake))
     else:
         raise ValueError(f"mode must be 'state' or 'merge', not {mode!r}")
     q = (writer.option("checkpointLocation", checkpoint)

@@ -219,16 +219,20 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
         source = latest_per_key(source, TRANSACTION_KEY, [c for c in source.columns if c not in TRANSACTION_KEY])
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    target = lake.read_transactions(spark) if day is None else lake.read_transactions_day(spark, day)
+    if day is None:
+        # range form: only the days the source touches are read and rewritten
+        # (a calendar-bounded set, broadcast; the semi-join on the partition
+        # column lets dynamic partition pruning skip the other days' files)
+        days = F.broadcast(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct())
+        target = lake.read_transactions(spark).join(days, BUSINESS_DATE, "left_semi")
+    else:
+        target = lake.read_transactions_day(spark, day)
     merged = upsert(target.drop(BUSINESS_DATE), source, TRANSACTION_KEY)
     merged = merged.withColumn(BUSINESS_DATE, day_of("transaction_dttm"))
     if day is None:
-        # range form: only the days the source touches are rewritten; rows are
-        # range-partitioned by (day, key) so each day is written by a few tasks
-        # in proportion to its size, not as a small file from every task
-        days = F.broadcast(source.select(day_of("transaction_dttm").alias(BUSINESS_DATE)).distinct())
-        merged = (merged.join(days, BUSINESS_DATE, "left_semi")   # days: bounded by the calendar
-                  .repartitionByRange(BUSINESS_DATE, "operation_id"))
+        # rows range-partitioned by (day, key): each day is written by a few
+        # tasks in proportion to its size, not as a small file from every task
+        merged = merged.repartitionByRange(BUSINESS_DATE, "operation_id")
     merged, wobs = observe_rows(merged, "transactions_written")
     write_days(merged, lake.stg_transactions, [BUSINESS_DATE])
     out = {**_counters(obs), **_counters(wobs)}

@@ -100,3 +100,18 @@ def test_hot_keys_are_folded_before_the_shuffle(spark):
     assert "partial_min(struct(" in plan
     plan = _plan(mart.global_metrics(A.stg_transactions(spark, SF_SMALL), A.stg_currencies(spark, SF_SMALL)))
     assert "partial_sum(amount_base" in plan and "partial_count(distinct account_number_from" in plan
+
+
+def test_range_form_target_is_pruned_to_touched_days(spark, scratch):
+    """The range-form upsert reads only the partitions of the days the source
+    touches: dynamic partition pruning from the broadcast set of days."""
+    from paymart.functions import day_of
+    from paymart.operators import changes, staging
+    lake = jobs.Lake(scratch)
+    jobs.stage_transactions(spark, lake, A.src_transactions(spark, SF_SMALL), None)
+    src = A.src_transactions(spark, SF_SMALL).where(F.col("transaction_dt") < F.lit("2024-01-03").cast("timestamp_ntz"))
+    source = staging.conform_transactions(src)
+    days = F.broadcast(source.select(day_of("transaction_dttm").alias("business_date")).distinct())
+    target = lake.read_transactions(spark).join(days, "business_date", "left_semi")
+    plan = _plan(changes.upsert(target.drop("business_date"), source, ["operation_id", "transaction_dttm"]))
+    assert "dynamicpruningexpression(business_date" in plan

@@ -175,7 +175,7 @@ def q_global_metrics_upsert(spark, sf_dir):
     return changes.upsert(target, source, MART_KEY)
 
 
-# ---------------------------------------------------------------- counters, pipeline
+# ---------------------------------------------------------------- counters, whole runs
 
 def q_missing_rates(spark, sf_dir):
     """Addition: the settled transactions the mart drops for want of a rate."""

@@ -104,6 +104,15 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> None:
         raise DuplicateKeyError(f"duplicate keys {list(key)} in upsert source, e.g. {sample}")
 
 
+def check_unique_cheap_first(candidate_keys: DataFrame, df: DataFrame, key: Sequence[str]) -> None:
+    """D5 in two steps: ``candidate_keys`` holds the key of every row that
+    could reach ``df`` (a superset, read from a few columns); only if a key
+    repeats there is ``df`` itself checked, which may need every column."""
+    key = list(key)
+    if not duplicate_keys(candidate_keys.select(*key).dropna(), key).isEmpty():
+        check_unique(df, key)
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Opt-in for D5: keep the last row per key by ``order``."""
     key = list(key)

@@ -63,6 +63,13 @@ def transaction_rejects(src: DataFrame, run_date: _dt.date | None = None) -> Dat
         F.lit(run_date).cast("date").alias("run_date"))
 
 
+def source_keys(src: DataFrame) -> DataFrame:
+    """The staging key of every source row, from the two key columns only
+    (cast and cut to milliseconds as in ``transactions_checked``)."""
+    return src.select(try_cast("operation_id", TRANSACTION_COLUMNS[0][1]).alias("operation_id"),
+                      to_millis(try_cast("transaction_dt", TRANSACTION_COLUMNS[-1][1])).alias("transaction_dttm"))
+
+
 def required_fields(src: DataFrame) -> DataFrame:
     """O23 alone: source rows with none of the nine columns null."""
     cond = F.lit(True)

@@ -27,16 +27,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paymart.functions import as_date, day_of, to_millis
+from paymart.functions import as_date, day_of
 from paymart.operators.changes import (
-    append_rows, check_unique, duplicate_keys, insert_ignore, latest_per_key, read_partition, read_table,
+    append_rows, check_unique_cheap_first, insert_ignore, latest_per_key, read_partition, read_table,
     upsert,
     write_days,
 )
 from paymart.operators.mart import global_metrics
 from paymart.operators.messages import currency_messages, envelope_checked, rates_checked
 from paymart.operators.quality import observe_rows, observe_split
-from paymart.operators.staging import extract_transactions, transactions_checked
+from paymart.operators.staging import extract_transactions, source_keys, transactions_checked
 from paymart.schemas import (
     BUSINESS_DATE, LANDING, MART_GLOBAL_METRICS, MART_KEY, OBJECT_TYPE_CURRENCY, REJECTS,
     STG_CURRENCIES, STG_TRANSACTIONS, TRANSACTION_KEY,
@@ -210,11 +210,7 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
         # D5, in two steps: keys of all extracted rows first (two columns are
         # read); only if that finds a repeated key, the exact check over the
         # valid rows (which needs every column)
-        keys = extract.select(F.col("operation_id").try_cast("string").alias("operation_id"),
-                              to_millis(F.col("transaction_dt").try_cast("timestamp_ntz"))
-                              .alias("transaction_dttm"))
-        if not duplicate_keys(keys.dropna(), TRANSACTION_KEY).isEmpty():
-            check_unique(source, TRANSACTION_KEY)
+        check_unique_cheap_first(source_keys(extract), source, TRANSACTION_KEY)
     elif on_duplicate == "latest":
         source = latest_per_key(source, TRANSACTION_KEY, [c for c in source.columns if c not in TRANSACTION_KEY])
     else:

@@ -126,11 +126,12 @@ def q_transactions_upsert(spark, sf_dir):
     """Target: an earlier load without purchases; source: a new extract of
     the settled rows with corrected amounts."""
     configure(spark)
-    conformed = staging.conform_transactions(A.src_transactions(spark, sf_dir))
+    src = A.src_transactions(spark, sf_dir)
+    conformed = staging.conform_transactions(src)
     target = conformed.where(F.col("transaction_type") != "purchase")
     source = (conformed.where(F.col("status") == "done")
               .withColumn("amount", F.col("amount") + 1))
-    changes.check_unique(source, TRANSACTION_KEY)
+    changes.check_unique_cheap_first(staging.source_keys(src), source, TRANSACTION_KEY)
     return changes.upsert(target, source, TRANSACTION_KEY)
 
 

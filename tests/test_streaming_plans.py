@@ -115,3 +115,15 @@ def test_range_form_target_is_pruned_to_touched_days(spark, scratch):
     target = lake.read_transactions(spark).join(days, "business_date", "left_semi")
     plan = _plan(changes.upsert(target.drop("business_date"), source, ["operation_id", "transaction_dttm"]))
     assert "dynamicpruningexpression(business_date" in plan
+
+
+def test_stream_dedups_across_micro_batches_of_one_drain(spark, scratch):
+    """maxFilesPerTrigger=1 splits one drain into several micro-batches; a key
+    repeated in later files is still written once (state across batches)."""
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/landing", f"{scratch}/ckpt"
+    for keys in (["a", "b"], ["b", "c"], ["a", "c", "d"]):
+        spark.createDataFrame([(_env(k),) for k in keys], "value string").coalesce(1) \
+            .write.mode("append").text(inbox)
+    q = land_stream(spark, message_stream(spark, "text", path=inbox, max_per_trigger=1), out, ckpt)
+    assert q.lastProgress is not None
+    assert sorted(r.object_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]

@@ -36,7 +36,7 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest])
     first = df.groupBy(*key).agg(F.min(packed).alias("_first"))
-    return first.select(*key, *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
@@ -120,7 +120,7 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest])
     last = df.groupBy(*key).agg(F.max(packed).alias("_last"))
-    return last.select(*key, *[F.col(f"_last.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    return last.select(*[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------- storage

@@ -100,3 +100,18 @@ def test_upsert_twice_equals_once(spark):
     s = spark.createDataFrame([("b", dt.date(2024, 1, 1), 20), ("c", dt.date(2024, 1, 1), 30)], KV)
     once = changes.upsert(t, s, ["k", "d"])
     assert _rows(changes.upsert(once, s, ["k", "d"])) == _rows(once)
+
+
+def test_read_partition_and_missing_tables(spark, scratch):
+    path = f"{scratch}/t"
+    assert not changes.table_exists(spark, path)
+    assert changes.read_table(spark, path, spark.createDataFrame([], KV).schema).count() == 0
+    df = spark.createDataFrame([("a", dt.date(2024, 1, 1), 1), ("b", dt.date(2024, 1, 2), 2)], KV)
+    changes.write_days(df, path, ["d"])
+    one = changes.read_partition(spark, path, df.schema, {"d": dt.date(2024, 1, 2)})
+    assert one.columns == ["k", "d", "v"] and [tuple(r) for r in one.collect()] == [("b", dt.date(2024, 1, 2), 2)]
+    assert changes.read_partition(spark, path, df.schema, {"d": dt.date(2030, 1, 1)}).count() == 0
+    # a second write of one day replaces that day only
+    changes.write_days(spark.createDataFrame([("c", dt.date(2024, 1, 2), 3)], KV), path, ["d"])
+    assert _rows(changes.read_table(spark, path, df.schema)) == [("a", dt.date(2024, 1, 1), 1),
+                                                                 ("c", dt.date(2024, 1, 2), 3)]

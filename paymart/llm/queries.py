@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
+from paymart.llm.url_filter import judge_urls, oracle_sql as url_sql, rule_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,11 +27,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, rule_table(spark)).select("page_id", "host", "path", "rule", "verdict")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op7_token_counts": op7_token_counts,
+    "op6_url_filter": op6_url_filter,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": url_sql(),
+}

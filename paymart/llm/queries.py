@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
 from paymart.llm.url_filter import judge_urls, oracle_sql as url_sql, rule_table
@@ -31,14 +32,19 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rule_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_sql(),
+    "op10_source_mixing": mixing_sql(),
 }

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm.near_dedup import near_groups
 from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
@@ -35,12 +36,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op6_url_filter": op6_url_filter,
     "op10_source_mixing": op10_source_mixing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from paymart.llm import token_counts
 from paymart.llm.token_counts import TokenCounter, count_tokens, stable
 
 LIB = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -28,6 +29,16 @@ def test_chunks_equal_whole(seed):
         assert TokenCounter(LIB).counts(texts) == [whole(t) for t in texts]
 
 
+def test_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr(token_counts, "MEMO", 50)
+    rnd = random.Random(1)
+    counter = TokenCounter(LIB)
+    for _ in range(20):
+        texts = [" ".join(rnd.choice(["Word,", "word", "x%d!" % rnd.randint(0, 99), "It's", "<|EndOfText|>."])
+                          for _ in range(30)) for _ in range(4)]
+        assert counter.counts(texts) == [whole(t) for t in texts]
+
+
 def test_no_boundary_at_all():
     counter = TokenCounter(LIB, 50, 10)
     for text in ("a" * 5000, "漢" * 900, "a" * 300 + " " + "b" * 300, " " * 1000, "é" * 400 + "1" * 400, "'s" * 300):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.llm.near_dedup import near_groups
+from paymart.llm.quality_rules import judge_quality
 from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
@@ -40,12 +41,19 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                      "n_repeat_words", "base_failed", "kept", "p_good")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op6_url_filter": op6_url_filter,
     "op10_source_mixing": op10_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

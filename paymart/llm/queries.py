@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm.language_id import identify_languages
 from paymart.llm.near_dedup import near_groups
 from paymart.llm.quality_rules import judge_quality
 from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
@@ -46,6 +47,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                       "n_repeat_words", "base_failed", "kept", "p_good")
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mixing": op10_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op3_language_id": op3_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

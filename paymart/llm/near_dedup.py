@@ -14,15 +14,19 @@ of ``WIDTH``-word runs (a shorter text has one run, all its words) is at least
    probability of the weighted Jaccard similarity, without bias.
 2. Bands of ``ROWS`` components are hashed; texts that share a band are
    candidates. A pair at the threshold shares none of the ``SIZE / ROWS`` bands
-   with probability (1 - 0.8**4)**32, about 5e-8.
-3. Identical texts are one node. In each band bucket every node is verified
-   against the bucket's smallest node (two texts side by side, exact multiset
-   overlap), not against each other, and components are formed.
+   with probability (1 - 0.8**7)**48, about 1e-5; texts that merely share a
+   passage rarely meet (similarity 0.3: 1 %).
+3. Identical texts are one node. In each band bucket, the nodes are verified
+   (two texts side by side, exact multiset overlap) against one leader, not
+   against each other: the node that meets most others in its buckets, which in
+   a family of copies is the text they were made from. Components are formed,
+   and ``ROUNDS - 1`` more rounds take a leader outside the bucket's largest
+   component.
 4. Buckets that still hold several components are finished: each node outside
-   the bucket's largest component is verified against the nodes of other
-   components in it. What is in one component already needs no more links, so
-   a group of very many copies never makes all its pairs, and no link between
-   components is lost.
+   the bucket's largest component is verified against all nodes of other
+   components in it whose numbers of runs allow the threshold. What is in one
+   component already needs no more links, so a group of very many copies does
+   not make all its pairs, and no link between components is lost.
 
 Results: one row per input row: the id and ``group_id``, the smallest id of its
 group (null only if all ids of the group are null). A text without words (null,
@@ -45,10 +49,11 @@ from paymart.session import work_dir
 
 WIDTH = 5
 THRESHOLD = 0.8
-SIZE = 128
-ROWS = 4
+SIZE = 336
+ROWS = 7
+ROUNDS = 3
 _NODE, _T = "__near_node", "__near_text"
-_SIGNATURES = f"{_NODE} binary, bands array<long>"
+_SIGNATURES = f"{_NODE} binary, size int, bands array<long>"
 
 
 def text_node(text: Column) -> Column:
@@ -121,14 +126,17 @@ def _signatures(width: int, size: int, rows: int):
             nodes = batch.column(0)
             for begin, end, data, offsets in tx.text_slices(batch.column(1)):
                 words = tx.words_of(data, offsets)
-                have = np.flatnonzero(np.diff(words.first) > 0)
+                n_words = np.diff(words.first)
+                have = np.flatnonzero(n_words > 0)
                 if not len(have):
                     continue
+                sizes = pa.array(np.maximum(n_words[have] - width + 1, 1), type=pa.int32())
                 bands = band_hashes(bag_minhash(*bag(words, end - begin, width), end - begin, size), rows)[have]
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, bands.size + 1, bands.shape[1]), type=pa.int32()),
                     pa.array(tx.as_signed(np.ascontiguousarray(bands).reshape(-1)), type=pa.int64()))
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(have + begin)), lists], names=[_NODE, "bands"])
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(have + begin)), sizes, lists],
+                                                 names=[_NODE, "size", "bands"])
     return run
 
 
@@ -180,37 +188,64 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def near_components(base: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, size: int = SIZE,
-                    rows: int = ROWS) -> DataFrame:
-    """(node, label) for every text with a near copy other than itself."""
-    texts = base.select(_NODE, _T)
+def _buckets(texts: DataFrame, width: int, size: int, rows: int) -> DataFrame:
+    """(band, node, size, degree) of the nodes that share a band with others;
+    ``degree``: nodes in all buckets of the node."""
     bands = texts.mapInArrow(_signatures(width, size, rows), _SIGNATURES)
-    entries = _stored(bands.dropDuplicates([_NODE]), "near-bands").select(F.explode("bands").alias("band"), _NODE)
-    leaders = entries.groupBy("band").agg(F.min(_NODE).alias("leader"), F.max(_NODE).alias("last"))
-    buckets = _stored(entries.join(leaders.where("leader <> last").drop("last"), "band"), "near-buckets")
+    entries = (_stored(bands.dropDuplicates([_NODE]), "near-bands")
+               .select(F.explode("bands").alias("band"), _NODE, "size"))
+    many = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = _stored(entries.join(many, "band"), "near-shared")
+    degree = shared.groupBy(_NODE).agg(F.sum("n").alias("degree"))
+    return _stored(shared.drop("n").join(degree, _NODE), "near-buckets")
 
-    star = _stored(buckets.where(F.col(_NODE) != F.col("leader"))
-                   .select(F.col(_NODE).alias("a"), F.col("leader").alias("b")).distinct(), "near-star")
-    nodes = buckets.select(_NODE).distinct()
-    wanted = _stored(texts.join(nodes, _NODE, "left_semi").dropDuplicates([_NODE]), "near-texts")
-    links = _stored(verified(star, wanted, width, threshold), "near-links")
-    labels = connected_components(links)
 
-    # buckets that hold more than one component
+def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of the buckets with several components, with the entry's label
+    and the label of the bucket's largest component (``top``)."""
     member = (buckets.join(labels.withColumnRenamed("node", _NODE), _NODE, "left")
-              .select("band", _NODE, F.coalesce("label", _NODE).alias("label")))
+              .withColumn("label", F.coalesce("label", _NODE)))
     sizes = member.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").select("band", F.col("top.label").alias("top")))
-    open_ = _stored(member.join(largest, "band"), "near-open")
-    rest = open_.where("label <> top").select("band", F.col(_NODE).alias("x"), F.col("label").alias("x_label"))
-    cross = (rest.join(open_.select("band", F.col(_NODE).alias("y"), F.col("label").alias("y_label"), "top"), "band")
-             .where((F.col("x_label") != F.col("y_label")) & ((F.col("y_label") == F.col("top")) | (F.col("x") < F.col("y"))))
-             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-    more = _stored(verified(cross.join(star, ["a", "b"], "left_anti"), wanted, width, threshold), "near-links")
-    if more.isEmpty():
-        return labels
-    return connected_components(links.unionByName(more))
+    return member.join(largest, "band")
+
+
+def near_components(base: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, size: int = SIZE,
+                    rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+    """(node, label) for every text with a near copy other than itself."""
+    texts = base.select(_NODE, _T)
+    buckets = _buckets(texts, width, size, rows)
+    nodes = buckets.select(_NODE).distinct()
+    wanted = _stored(texts.join(nodes, _NODE, "left_semi").dropDuplicates([_NODE]), "near-texts")
+    open_ = buckets.withColumns({"label": F.col(_NODE), "top": F.lit(None).cast("binary")})
+    allowed = F.least("size", "other_size") >= threshold * F.greatest("size", "other_size")
+    links = labels = tried = None
+    for turn in range(rounds + 1):
+        if turn < rounds:
+            outside = F.col("top").isNull() | (F.col("label") != F.col("top"))
+            leaders = (open_.where(outside).groupBy("band")
+                       .agg(F.max(F.struct("degree", _NODE, "label", "size")).alias("lead"))
+                       .select("band", F.col(f"lead.{_NODE}").alias("other"), F.col("lead.label").alias("other_label"),
+                               F.col("lead.size").alias("other_size")))
+            pairs = open_.join(leaders, "band").where((F.col("label") != F.col("other_label")) & allowed)
+        else:  # whoever is left, against all other components of the bucket
+            rest = (open_.where("label <> top").select("band", F.col(_NODE).alias("other"),
+                    F.col("label").alias("other_label"), F.col("size").alias("other_size")))
+            once = (F.col("label") == F.col("top")) | (F.col(_NODE) < F.col("other"))
+            pairs = open_.join(rest, "band").where((F.col("label") != F.col("other_label")) & allowed & once)
+        pairs = pairs.select(F.greatest(_NODE, "other").alias("a"), F.least(_NODE, "other").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = _stored(pairs, "near-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = _stored(verified(pairs, wanted, width, threshold), "near-links")
+        links = found if links is None else links.unionByName(found)
+        if labels is None or not found.isEmpty():
+            labels = connected_components(links)
+        if turn < rounds:
+            open_ = _stored(_open_buckets(buckets, labels), "near-open")
+    return labels
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:

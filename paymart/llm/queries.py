@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm.decontamination import judge_documents
 from paymart.llm.language_id import identify_languages
 from paymart.llm.near_dedup import near_groups
+from paymart.llm.quality_classifier import classify_quality
 from paymart.llm.quality_rules import judge_quality
 from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
@@ -51,6 +53,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (judge_documents(docs, _table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "contaminated", "items"))
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return (classify_quality(docs, _table(spark, sf_dir, "labels"))
+            .select("doc_id", "p_quality", "p_toxic", "p_good", "kept"))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -60,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op3_language_id": op3_language_id,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

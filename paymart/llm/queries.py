@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paymart.llm.decontamination import judge_documents
 from paymart.llm.language_id import identify_languages
+from paymart.llm.lm_scoring import score_documents
 from paymart.llm.near_dedup import near_groups
 from paymart.llm.quality_classifier import classify_quality
 from paymart.llm.quality_rules import judge_quality
@@ -63,6 +64,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (classify_quality(docs, _table(spark, sf_dir, "labels"))
             .select("doc_id", "p_quality", "p_toxic", "p_good", "kept"))
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
+    "op2_lm_scoring": op2_lm_scoring,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

@@ -10,7 +10,8 @@ margins and then to the smaller name.
 Training rows are the labelled rows outside the held-out third (crc32 of the id
 as text, modulo 3, is 1 there). The machines are fitted on a sample of at most
 about ``PER_LANGUAGE`` rows of each language, the ones with the smallest hashes
-of their ids, and ``SAMPLE_LIMIT`` rows in all: this is the only bounded part.
+of their ids, of the ``LANGUAGES`` most frequent languages, and ``SAMPLE_LIMIT`` rows in
+all: this is the only bounded part.
 Language counts that steer the sample and the predictions cover every row.
 Language, source and id are never features.
 
@@ -37,6 +38,7 @@ from paymart.llm import textops as tx
 BUCKETS = 2048
 PER_LANGUAGE = 500
 SAMPLE_LIMIT = 20_000
+LANGUAGES = 1000
 UNKNOWN = "und"
 _ROWS = 256
 _SLOPE = 4.0
@@ -181,7 +183,9 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
     """The machines, from a bounded sample of the rows that are not held out."""
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(doc_id).alias("id")).where(
         F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # at most LANGUAGES rows are broadcast
+    counts = F.broadcast(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+                         .orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     place = F.pmod(F.xxhash64(F.lit("lang-sample"), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
     chosen = (known.withColumn("place", place).join(counts, "lang")
               .where((F.col("place") * F.col("n") < per_language) & _has_letter(F.col("text"))))

@@ -35,6 +35,8 @@ HEADLINE = [
     "global_metrics_upsert",
     "load_counters",
     "run_day",
+    "run_days",
+    "landing_stream",
 ]
 
 

@@ -1,13 +1,10 @@
 """Column-level helpers (built-in Spark expressions only)."""
 
 from paymart.functions.columns import (  # noqa: F401
-    all_not_null,
     as_date,
     as_text,
-    day_literal,
     day_of,
     day_range_predicate,
-    decode_json,
     first_null,
     to_millis,
     try_cast,

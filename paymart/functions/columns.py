@@ -15,15 +15,6 @@ def as_text(c: Column | str) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
-def decode_json(text: Column, schema: T.StructType) -> Column:
-    """Permissive JSON decode to a struct of fixed fields.
-
-    Malformed text gives a struct of nulls; unknown keys are ignored and an
-    absent key is null.
-    """
-    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
-
-
 def day_of(ts: Column | str) -> Column:
     """The date of a timestamp (``x::date``)."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -46,10 +37,6 @@ def try_cast(c: Column | str, dtype: T.DataType) -> Column:
     return col.try_cast(dtype)
 
 
-def day_literal(day: _dt.date | str) -> Column:
-    return F.lit(as_date(day))
-
-
 def as_date(day: _dt.date | str) -> _dt.date:
     if isinstance(day, _dt.datetime):
         return day.date()
@@ -68,14 +55,6 @@ def day_range_predicate(ts: Column | str, day: _dt.date | str) -> Column:
     return (c >= lo) & (c < hi)
 
 
-def all_not_null(cols: list[str]) -> Column:
-    """True when none of the named columns is null."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def first_null(cols: list[str], prefix: str = "missing_") -> Column:
     """Name of the first null column, as a reject reason; null if none."""
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(prefix + c)) for c in cols])

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,44 +24,47 @@ class DuplicateKeyError(ValueError):
 
 # ---------------------------------------------------------------- pure forms
 
+class MissingOrderError(ValueError):
+    """First or last needs a declared order."""
+
+
+def need_order(df: DataFrame, order: Sequence[str]) -> list[str]:
+    order = list(order)
+    missing = [c for c in order if c not in df.columns]
+    if not order or missing:
+        raise MissingOrderError(f"an order is needed to pick a row per key; missing: {missing or 'any column'}")
+    return order
+
+
+def _packed(df: DataFrame, key: list[str], order: list[str]):
+    rest = [c for c in df.columns if c not in key and c not in order]
+    return F.struct(*[F.col(c) for c in order + rest])
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in ``order`` (D14, deterministic).
+    """One row per key: the first in ``order`` (D14, deterministic). Raises if
+    the order is empty or not in the frame.
 
     Written as ``min(struct(order..., rest...))`` per key: an aggregate, so
     each task folds its rows of a key before the shuffle and a hot key moves
     one row per task, not all its rows. Ties in ``order`` fall to the
     remaining columns, so the pick never depends on task timing.
     """
-    key = list(key)
-    order = list(order)
-    rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    first = df.groupBy(*key).agg(F.min(packed).alias("_first"))
+    key, order = list(key), need_order(df, order)
+    first = df.groupBy(*key).agg(F.min(_packed(df, key, order)).alias("_first"))
     return first.select(*[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
-def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
-                  order: Sequence[str] | None = None, broadcast_keys: bool = False) -> DataFrame:
+def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (first writer
     wins, within the batch by ``order`` and across batches by the anti-join).
     Returns only the rows to append; a replayed batch yields nothing (O46).
 
-    The table is only probed: its key column is semi-joined with the batch's
-    keys, so with ``broadcast_keys`` (for a batch whose key count the caller
-    has checked) the table is scanned without being shuffled, and only the
-    keys found meet the batch in the final anti-join. Without it Spark's own
-    size check picks the join.
+    The batch is folded once, and one anti-join reads the table's key columns
+    only. Spark's own size check picks the join.
     """
     key = list(key)
-    if order:
-        new = first_per_key(new, key, order)
-    else:
-        new = new.dropDuplicates(key)
-    batch_keys = new.select(*key)
-    if broadcast_keys:
-        batch_keys = F.broadcast(batch_keys)
-    seen = existing.select(*key).join(batch_keys, key, "left_semi")
-    return new.join(seen, key, "left_anti")
+    return first_per_key(new, key, order).join(existing.select(*key), key, "left_anti")
 
 
 def replace_by_date(old: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
@@ -104,42 +108,39 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> None:
         raise DuplicateKeyError(f"duplicate keys {list(key)} in upsert source, e.g. {sample}")
 
 
-def check_unique_cheap_first(candidate_keys: DataFrame, df: DataFrame, key: Sequence[str]) -> None:
-    """D5 in two steps: ``candidate_keys`` holds the key of every row that
-    could reach ``df`` (a superset, read from a few columns); only if a key
-    repeats there is ``df`` itself checked, which may need every column."""
-    key = list(key)
-    if not duplicate_keys(candidate_keys.select(*key).dropna(), key).isEmpty():
-        check_unique(df, key)
-
-
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Opt-in for D5: keep the last row per key by ``order``."""
-    key = list(key)
-    order = list(order)
-    rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    last = df.groupBy(*key).agg(F.max(packed).alias("_last"))
+    """Opt-in for D5: keep the last row per key by the declared ``order`` (an
+    arrival time or number); ties fall to the remaining columns."""
+    key, order = list(key), need_order(df, order)
+    last = df.groupBy(*key).agg(F.max(_packed(df, key, order)).alias("_last"))
     return last.select(*[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in df.columns])
 
 
+def replace_day(target: DataFrame, source: DataFrame, date_col: str, day) -> DataFrame:
+    """D13 opt-in: the target's rows of ``day`` become the source's, so groups
+    that no longer qualify go (an upsert keeps them)."""
+    day = F.lit(day).cast("date")
+    return target.where(~F.col(date_col).eqNullSafe(day)).unionByName(source.where(F.col(date_col) == day))
+
+
 # ---------------------------------------------------------------- storage
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, asked of the path's Hadoop file system (works
-    for any scheme the cluster is configured for)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+def _read(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame | None:
+    """A Parquet folder with its declared schema, or None if there is none."""
+    try:
+        return spark.read.schema(schema).options(**options).parquet(path).select(*schema.fieldNames())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a partitioned Parquet table with its declared schema, columns in
     declared order (the reader puts partition columns last); a table that was
     never written reads as empty."""
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    found = _read(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, spec: dict) -> DataFrame:
@@ -149,10 +150,8 @@ def read_partition(spark: SparkSession, path: str, schema: T.StructType, spec: d
     partition of the table; a missing partition reads as empty."""
     sub = "/".join(f"{k}={v}" for k, v in spec.items())
     part = f"{path.rstrip('/')}/{sub}"
-    if not table_exists(spark, part):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", path).parquet(part)
-    return df.select(*schema.fieldNames())
+    found = _read(spark, part, schema, basePath=path)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def write_days(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:

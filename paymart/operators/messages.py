@@ -37,12 +37,19 @@ def parsed_once(parsed: Column) -> Column:
     return F.inline(F.array(parsed))
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Text of a JSON timestamp as a zoned timestamp in the session zone:
-    ISO 8601 with ``T`` or a space, optional fraction and offset (an offset is
-    converted, D7); a bare number is epoch seconds; anything else is null."""
+def parse_timestamp(text: Column, quoted: Column) -> Column:
+    """A JSON time as a zoned timestamp in the session zone: text of ISO 8601
+    with a date, ``T`` or a space, optional fraction and offset (an offset is
+    converted, D7), or an unquoted number, which is epoch seconds. Anything
+    else is null: quoted digits, a time without a date."""
     epoch = F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), F.timestamp_seconds(text.try_cast("double")))
-    return F.coalesce(text.try_cast(T.TimestampType()), epoch)
+    dated = F.when(text.rlike(r"^\s*[+-]?[0-9]{4,7}-[0-9]"), text.try_cast(T.TimestampType()))
+    return F.when(quoted, dated).otherwise(epoch)
+
+
+def _sent_is_quoted(raw: Column) -> Column:
+    """Whether the envelope gives ``sent_dttm`` as a JSON string."""
+    return F.coalesce(raw.rlike(r'"sent_dttm"\s*:\s*"'), F.lit(True))
 
 
 def _rejects(df: DataFrame, stage: str, raw: Column, run_date: _dt.date | None) -> DataFrame:
@@ -72,7 +79,7 @@ def envelope_checked(records: DataFrame, keep: list[str] | tuple[str, ...] = ())
         *keep,
         "object_id",
         "object_type",
-        parse_timestamp(F.col("sent_dttm")).cast(T.TimestampNTZType()).alias("sent_dttm"),
+        parse_timestamp(F.col("sent_dttm"), _sent_is_quoted(F.col("raw"))).cast(T.TimestampNTZType()).alias("sent_dttm"),
         "payload",
         reason.alias("reason"),
         "raw")

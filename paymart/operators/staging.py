@@ -14,11 +14,13 @@ from paymart.schemas import TRANSACTION_COLUMNS
 SOURCE_COLUMNS = [n for n, _ in TRANSACTION_COLUMNS]
 
 
-def extract_transactions(src: DataFrame, day: _dt.date | str | None = None) -> DataFrame:
+def extract_transactions(src: DataFrame, day: _dt.date | str | None = None,
+                         keep: dict[str, str] | None = None) -> DataFrame:
     """The nine source columns where ``transaction_dt::date = day``.
-    Written as a range on the bare column, so Parquet skips row groups."""
+    Written as a range on the bare column, so Parquet skips row groups.
+    ``keep``: more source columns and their new names."""
     df = src if day is None else src.where(day_range_predicate("transaction_dt", day))
-    return df.select(*SOURCE_COLUMNS)
+    return df.select(*SOURCE_COLUMNS, *[F.col(c).alias(n) for c, n in (keep or {}).items()])
 
 
 def _raw_text(cols: list[str]) -> Column:
@@ -34,7 +36,7 @@ def _raw_text(cols: list[str]) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def transactions_checked(src: DataFrame) -> DataFrame:
+def transactions_checked(src: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """O23 + O14 + O15 with a reject reason.
 
     A null in any of the nine columns rejects the row (O23). Values are then
@@ -48,12 +50,13 @@ def transactions_checked(src: DataFrame) -> DataFrame:
         *[F.when(typed[n].isNull(), F.lit("bad_" + n)) for n in SOURCE_COLUMNS])
     out = [typed[n].alias(n) for n in SOURCE_COLUMNS[:-1]]
     out.append(to_millis(typed["transaction_dt"]).alias("transaction_dttm"))
-    return src.select(*out, reason.alias("reason"), _raw_text(SOURCE_COLUMNS).alias("raw"))
+    return src.select(*keep, *out, reason.alias("reason"), _raw_text(SOURCE_COLUMNS).alias("raw"),
+                      typed["transaction_dt"].cast("date").alias("run_date"))
 
 
 def conform_transactions(src: DataFrame) -> DataFrame:
     """Valid rows in the ``stg_transactions`` shape."""
-    return transactions_checked(src).where(F.col("reason").isNull()).drop("reason", "raw")
+    return transactions_checked(src).where(F.col("reason").isNull()).drop("reason", "raw", "run_date")
 
 
 def transaction_rejects(src: DataFrame, run_date: _dt.date | None = None) -> DataFrame:
@@ -63,13 +66,6 @@ def transaction_rejects(src: DataFrame, run_date: _dt.date | None = None) -> Dat
         F.lit(run_date).cast("date").alias("run_date"))
 
 
-def source_keys(src: DataFrame) -> DataFrame:
-    """The staging key of every source row, from the two key columns only
-    (cast and cut to milliseconds as in ``transactions_checked``)."""
-    return src.select(try_cast("operation_id", TRANSACTION_COLUMNS[0][1]).alias("operation_id"),
-                      to_millis(try_cast("transaction_dt", TRANSACTION_COLUMNS[-1][1])).alias("transaction_dttm"))
-
-
 def required_fields(src: DataFrame) -> DataFrame:
     """O23 alone: source rows with none of the nine columns null."""
     cond = F.lit(True)

@@ -1,19 +1,21 @@
 """The end-to-end jobs (O47-O51) over a lake of date-partitioned Parquet
-tables. Each job is one Spark plan from read to write; only the writes and
-the optional reject writes are actions.
+tables.
 
 Table layout below ``Lake.root`` (partition columns in brackets):
 
-* ``landing``             [object_type, sent_date]  key ``object_id``
+* ``inbox/<id>``          [drain]                   raw messages of a stream, one folder per checkpoint
+* ``landing``             [object_class, sent_date] key ``object_id``; class ``CURRENCY`` or ``OTHER``
 * ``stg_currencies``      [date_update]             replaced by date
 * ``stg_transactions``    [business_date]           upsert on (operation_id, transaction_dttm)
 * ``mart_global_metrics`` [date_update]             upsert on (date_update, currency_from)
-* ``rejects``             [stage, run_date]
+* ``rejects_landing``                               one row per rejected message (partition, offset)
+* ``rejects/stage=<s>``   [run_date]                rejects of the staging steps
 
 Every change rewrites whole day partitions with dynamic overwrite, so a
 rerun of a day gives the same tables. The staged day is stored
 (``business_date``, ``sent_date``) so that day predicates prune partitions
-on both sides of the mart join.
+on both sides of the mart join. A job reads each source once: what is used
+several times is written to the shared checkpoint folder first.
 """
 
 from __future__ import annotations
@@ -22,35 +24,34 @@ import datetime as _dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paymart.functions import as_date, day_of
+from paymart.operators import changes
 from paymart.operators.changes import (
-    append_rows, check_unique_cheap_first, insert_ignore, latest_per_key, read_partition, read_table,
-    upsert,
-    write_days,
+    append_rows, check_unique, insert_ignore, latest_per_key, read_partition, read_table, upsert, write_days,
 )
 from paymart.operators.mart import global_metrics
 from paymart.operators.messages import currency_messages, envelope_checked, rates_checked
-from paymart.operators.quality import observe_rows, observe_split
-from paymart.operators.staging import extract_transactions, source_keys, transactions_checked
+from paymart.operators.quality import dedupe_rates as one_rate_each
+from paymart.operators.quality import SPLIT, counted, observe_rows, observe_split
+from paymart.operators.staging import extract_transactions, transactions_checked
 from paymart.schemas import (
     BUSINESS_DATE, LANDING, MART_GLOBAL_METRICS, MART_KEY, OBJECT_TYPE_CURRENCY, REJECTS,
     STG_CURRENCIES, STG_TRANSACTIONS, TRANSACTION_KEY,
 )
-from paymart.session import configure
+from paymart.session import configure, stored_once
 
-LANDING_STORED = T.StructType(LANDING.fields + [T.StructField("sent_date", T.DateType())])
+OTHER_CLASS = "OTHER"
+LANDING_STORED = T.StructType(LANDING.fields + [T.StructField("object_class", T.StringType()),
+                                                T.StructField("sent_date", T.DateType())])
+LANDING_REJECTS = T.StructType(REJECTS.fields + [T.StructField("partition", T.IntegerType()),
+                                                 T.StructField("offset", T.LongType())])
 STG_TRANSACTIONS_STORED = T.StructType(STG_TRANSACTIONS.fields + [T.StructField(BUSINESS_DATE, T.DateType())])
 DEFAULT_ORDER = ("partition", "offset")
-# A batch whose valid key count is at most this has its keys broadcast when
-# probing the landing table: at ~50 bytes per key in the hash relation that
-# is ~25 MB sent to each executor once; a larger batch leaves the choice to
-# Spark (its own size check, else a sort-merge semi-join).
-BROADCAST_KEYS_MAX = 500_000
+UNDATED = "undated"
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,17 @@ class Lake:
     def rejects(self) -> str:
         return self._p("rejects")
 
+    @property
+    def landing_rejects(self) -> str:
+        return self._p("rejects_landing")
+
+    def inbox(self, name: str) -> str:
+        return self._p(f"inbox/{name}")
+
+    @property
+    def landed_drains(self) -> str:
+        return self._p("landed_drains")
+
     # readers with declared schemas (a table never written reads as empty)
     def read_landing(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.landing, LANDING_STORED)
@@ -94,7 +106,10 @@ class Lake:
         return read_table(spark, self.mart, MART_GLOBAL_METRICS)
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.rejects, REJECTS)
+        """Rejects of all stages; a message's place in its topic is left out."""
+        names = REJECTS.fieldNames()
+        landing = read_table(spark, self.landing_rejects, LANDING_REJECTS).select(*names)
+        return landing.unionByName(read_table(spark, self.rejects, REJECTS).select(*names))
 
     # one day, read by its folder (no listing of the other partitions)
     def read_transactions_day(self, spark: SparkSession, day) -> DataFrame:
@@ -107,19 +122,20 @@ class Lake:
     def read_mart_day(self, spark: SparkSession, day) -> DataFrame:
         return read_partition(spark, self.mart, MART_GLOBAL_METRICS, {"date_update": as_date(day)})
 
-    def read_landing_day(self, spark: SparkSession, object_type: str, day) -> DataFrame:
+    def read_landing_day(self, spark: SparkSession, object_class: str, day) -> DataFrame:
         return read_partition(spark, self.landing, LANDING_STORED,
-                              {"object_type": object_type, "sent_date": as_date(day)})
-
+                              {"object_class": object_class, "sent_date": as_date(day)})
 
-def _counters(obs) -> dict:
-    return dict(obs.get) if obs is not None else {}
 
-
-def _write_rejects(lake: Lake, rejects: DataFrame) -> None:
-    """Rejects of one (stage, run date) replace that partition, so a rerun
-    of a day does not count its rejects twice."""
-    write_days(rejects, lake.rejects, ["stage", "run_date"])
+def _write_stage_rejects(lake: Lake, stage: str, rejects: DataFrame, day) -> None:
+    """The rejects of one staging run replace those of the run before, also
+    when there are none now: of ``day``, or of the whole stage (range form)."""
+    path = f"{lake.rejects}/stage={stage}"
+    if day is None:
+        rejects.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_date").parquet(path)
+    else:
+        rejects.drop("run_date").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/run_date={as_date(day)}")
 
 
 # ---------------------------------------------------------------- landing
@@ -127,43 +143,40 @@ def _write_rejects(lake: Lake, rejects: DataFrame) -> None:
 def land(spark: SparkSession, lake: Lake, records: DataFrame,
          order: Sequence[str] = DEFAULT_ORDER, run_date: _dt.date | None = None) -> dict:
     """O47 in batch form: decode, keep the first message per ``object_id``
-    (by ``order`` within the batch, against the table across batches) and
-    append. A replayed batch appends nothing (O46)."""
+    (by ``order``, which must be there, within the batch; against the table
+    across batches) and append. A replayed batch appends nothing (O46).
+    Messages that can't be kept, and kept ones without a usable time (they can
+    never be staged, D1), are stored as rejects once per (partition, offset)."""
     configure(spark)
-    order = [c for c in order if c in records.columns]
+    order = changes.need_order(records, order)
     checked, obs = observe_split(envelope_checked(records, keep=order), "landing")
-    # A message without a usable sent_dttm is landed but can never be
-    # staged (its day is unknown); count it
-    undated = Observation("landing_undated")
-    checked = checked.observe(
-        undated, F.count_if(F.col("reason").isNull() & F.col("sent_dttm").isNull()).alias("undated"))
-    # The decoded batch is used three times (its keys probe the table, its
-    # valid rows are appended, its rejects are kept): decode it once and keep
-    # it, with the raw text only on rejected rows. A lost block is recomputed.
-    batch = (checked.select(*order, "object_id", "object_type", "sent_dttm", "payload", "reason",
-                            F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"))
-             .persist(StorageLevel.MEMORY_AND_DISK_DESER))
-    batch.count()
-    out = {**_counters(obs), **_counters(undated)}
-    valid = batch.where(F.col("reason").isNull()).select(*order, "object_id", "object_type",
-                                                         "sent_dttm", "payload")
-    existing = lake.read_landing(spark)
-    new = insert_ignore(existing, valid, ["object_id"], order or None,
-                        broadcast_keys=out["valid"] <= BROADCAST_KEYS_MAX)
-    # range-partition the new rows by (type, day, key): each landing partition
+    undated = F.col("reason").isNull() & F.col("sent_dttm").isNull()
+    # decoded once; the raw text only where a reject needs it
+    batch = stored_once(checked.select(
+        *order, "object_id", "object_type", "sent_dttm", "payload", "reason",
+        F.when(F.col("reason").isNotNull() | F.col("sent_dttm").isNull(), F.col("raw")).alias("raw")), "landing-batch")
+    out = {**counted(obs, *SPLIT), "undated": batch.where(undated).count()}
+    valid = batch.where(F.col("reason").isNull()).select(*order, "object_id", "object_type", "sent_dttm", "payload")
+    new = insert_ignore(lake.read_landing(spark), valid, ["object_id"], order)
+    # range-partition the new rows by (class, day, key): each landing partition
     # is written by a few tasks in proportion to its size, so a backfill over
-    # many days does not leave a small file per task and day
-    new = (new.select("object_id", "object_type", "sent_dttm", "payload",
-                      day_of("sent_dttm").alias("sent_date"))
-           .repartitionByRange("object_type", "sent_date", "object_id"))
-    new, wobs = observe_rows(new, "landing_written")
-    append_rows(new, lake.landing, ["object_type", "sent_date"])
-    out.update(_counters(wobs))
-    if out.get("rejected"):
-        _write_rejects(lake, batch.where(F.col("reason").isNotNull()).select(
-            F.lit("landing").alias("stage"), "reason", "raw",
-            F.lit(run_date).cast("date").alias("run_date")))
-    batch.unpersist()
+    # many days does not leave a small file per task and day. A class, not the
+    # message's own type, is the folder: a type is free text
+    is_rate = F.col("object_type") == F.lit(OBJECT_TYPE_CURRENCY)
+    new = stored_once(new.select("object_id", "object_type", "sent_dttm", "payload",
+                                 F.when(is_rate, F.lit(OBJECT_TYPE_CURRENCY)).otherwise(F.lit(OTHER_CLASS))
+                                 .alias("object_class"), day_of("sent_dttm").alias("sent_date")), "landing-new")
+    out["written"] = new.count()
+    append_rows(new.repartitionByRange("object_class", "sent_date", "object_id"), lake.landing,
+                ["object_class", "sent_date"])
+    place = [F.col(c).cast(LANDING_REJECTS[c].dataType).alias(c) if c in order
+             else F.lit(None).cast(LANDING_REJECTS[c].dataType).alias(c) for c in DEFAULT_ORDER]
+    rejects = batch.where(F.col("reason").isNotNull() | undated).select(
+        F.lit("landing").alias("stage"), F.coalesce("reason", F.lit(UNDATED)).alias("reason"), "raw",
+        F.lit(run_date).cast("date").alias("run_date"), *place).dropDuplicates(list(DEFAULT_ORDER))
+    known = read_table(spark, lake.landing_rejects, LANDING_REJECTS).select(*DEFAULT_ORDER)
+    stored_once(rejects.join(known, list(DEFAULT_ORDER), "left_anti"), "landing-rejects").write.mode("append").parquet(
+        lake.landing_rejects)
     return out
 
 
@@ -171,50 +184,60 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
 
 def _landing_day(spark: SparkSession, lake: Lake, day) -> DataFrame:
     if day is None:
-        landing = lake.read_landing(spark).where(F.col("object_type") == F.lit(OBJECT_TYPE_CURRENCY))
+        landing = lake.read_landing(spark).where(F.col("object_class") == F.lit(OBJECT_TYPE_CURRENCY))
     else:
         landing = lake.read_landing_day(spark, OBJECT_TYPE_CURRENCY, day)
     return currency_messages(landing, day)
 
 
-def stage_currencies(spark: SparkSession, lake: Lake, day: _dt.date | str | None) -> dict:
+def _split(checked: DataFrame, stage: str) -> tuple[DataFrame, dict]:
+    """The checked rows, stored once, and their counters."""
+    checked, obs = observe_split(checked, stage)
+    checked = stored_once(checked, f"{stage}-checked")
+    return checked, counted(obs, *SPLIT)
+
+
+def stage_currencies(spark: SparkSession, lake: Lake, day: _dt.date | str | None,
+                     dedupe_rates: bool = False) -> dict:
     """Rate messages of ``day`` -> typed rates -> replace every date
-    present in the valid rows (D2). No valid rows: nothing changes (D3)."""
+    present in the valid rows (D2). No valid rows: nothing changes (D3).
+    ``dedupe_rates`` keeps one rate per (day, base, quoted) (D4 opt-in)."""
     configure(spark)
-    checked, obs = observe_split(rates_checked(_landing_day(spark, lake, day)), "currencies")
+    checked, out = _split(rates_checked(_landing_day(spark, lake, day), keep=["sent_dttm"]), "currencies")
     valid = checked.where(F.col("reason").isNull()).select(
         "date_update", "currency_code", "currency_code_with", "currency_code_div")
+    if dedupe_rates:
+        valid = one_rate_each(valid).select(*valid.columns)
     valid, wobs = observe_rows(valid, "currencies_written")
     write_days(valid, lake.stg_currencies, ["date_update"])
-    out = {**_counters(obs), **_counters(wobs)}
-    if out.get("rejected"):
-        _write_rejects(lake, checked.where(F.col("reason").isNotNull()).select(
-            F.lit("currencies").alias("stage"), "reason", "raw",
-            F.lit(as_date(day) if day is not None else None).cast("date").alias("run_date")))
-    return out
+    _write_stage_rejects(lake, "currencies", checked.where(F.col("reason").isNotNull()).select(
+        "reason", "raw", day_of("sent_dttm").alias("run_date")), day)
+    return {**out, **counted(wobs, "written")}
 
 
-def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
-                       day: _dt.date | str | None, on_duplicate: str = "error") -> dict:
+def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame, day: _dt.date | str | None,
+                       on_duplicate: str = "error", arrival: Sequence[str] = ()) -> dict:
     """Source rows of ``day`` -> required fields and types -> upsert on
-    (operation_id, transaction_dttm) into the day's partition.
+    (operation_id, transaction_dttm) into the day's partition. The source is
+    read once.
 
     ``on_duplicate``: ``error`` (D5, default) raises on a duplicate key in
-    the source; ``latest`` keeps the largest row per key.
+    the source; ``latest`` keeps the last row per key by the ``arrival``
+    columns of the source, which the caller must name.
     """
     configure(spark)
-    extract = extract_transactions(src, day)
-    checked, obs = observe_split(transactions_checked(extract), "transactions")
-    source = checked.where(F.col("reason").isNull()).drop("reason", "raw")
+    if on_duplicate not in ("error", "latest"):
+        raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+    if on_duplicate == "latest" and not arrival:
+        raise changes.MissingOrderError("on_duplicate='latest' needs the arrival columns of the source")
+    keep = [f"arrival_{c}" for c in arrival]
+    extract = extract_transactions(src, day, keep=dict(zip(arrival, keep)))
+    checked, out = _split(transactions_checked(extract, keep=keep), "transactions")
+    source = checked.where(F.col("reason").isNull()).drop("reason", "raw", "run_date")
     if on_duplicate == "error":
-        # D5, in two steps: keys of all extracted rows first (two columns are
-        # read); only if that finds a repeated key, the exact check over the
-        # valid rows (which needs every column)
-        check_unique_cheap_first(source_keys(extract), source, TRANSACTION_KEY)
-    elif on_duplicate == "latest":
-        source = latest_per_key(source, TRANSACTION_KEY, [c for c in source.columns if c not in TRANSACTION_KEY])
+        check_unique(source, TRANSACTION_KEY)
     else:
-        raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+        source = stored_once(latest_per_key(source, TRANSACTION_KEY, keep).drop(*keep), "transactions-latest")
     if day is None:
         # range form: only the days the source touches are read and rewritten
         # (a calendar-bounded set, broadcast; the semi-join on the partition
@@ -231,57 +254,83 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame,
         merged = merged.repartitionByRange(BUSINESS_DATE, "operation_id")
     merged, wobs = observe_rows(merged, "transactions_written")
     write_days(merged, lake.stg_transactions, [BUSINESS_DATE])
-    out = {**_counters(obs), **_counters(wobs)}
-    if out.get("rejected"):
-        _write_rejects(lake, checked.where(F.col("reason").isNotNull()).select(
-            F.lit("transactions").alias("stage"), "reason", "raw",
-            F.lit(as_date(day) if day is not None else None).cast("date").alias("run_date")))
-    return out
+    _write_stage_rejects(lake, "transactions", checked.where(F.col("reason").isNotNull())
+                         .select("reason", "raw", "run_date"), day)
+    return {**out, **counted(wobs, "written")}
 
 
 # ---------------------------------------------------------------- mart
 
-def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str | None) -> dict:
+def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str | None,
+                         replace: bool = False) -> dict:
     """The day's mart rows upserted on (date_update, currency_from).
-    Groups that no longer qualify stay as they were (D13)."""
+    Groups that no longer qualify stay as they were (D13), unless ``replace``
+    (a day is needed then): the day's rows become exactly the new ones.
+    The join with the rates runs once; its result is a row per day and currency."""
     configure(spark)
     if day is None:
-        source = global_metrics(lake.read_transactions(spark), lake.read_currencies(spark))
+        if replace:
+            raise ValueError("replace needs a day")
+        source = stored_once(global_metrics(lake.read_transactions(spark), lake.read_currencies(spark)), "mart-rows")
         # only the days the source has (a calendar-bounded set: broadcast)
         target = lake.read_mart(spark).join(F.broadcast(source.select("date_update").distinct()),
                                             "date_update", "left_semi")
     else:
-        source = global_metrics(lake.read_transactions_day(spark, day), lake.read_currencies_day(spark, day), day)
+        source = stored_once(global_metrics(lake.read_transactions_day(spark, day),
+                                            lake.read_currencies_day(spark, day), day), "mart-rows")
         target = lake.read_mart_day(spark, day)
-    merged, wobs = observe_rows(upsert(target, source, MART_KEY), "mart_written")
-    write_days(merged, lake.mart, ["date_update"])
-    return _counters(wobs)
+    if replace:
+        merged, wobs = observe_rows(source, "mart_written")
+        (merged.drop("date_update").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{lake.mart}/date_update={as_date(day)}"))
+    else:
+        merged, wobs = observe_rows(upsert(target, source, MART_KEY), "mart_written")
+        write_days(merged, lake.mart, ["date_update"])
+    return counted(wobs, "written")
 
 
 # ---------------------------------------------------------------- whole day
 
-def run_day(spark: SparkSession, lake: Lake, records: DataFrame, src: DataFrame,
-            day: _dt.date | str, order: Sequence[str] = DEFAULT_ORDER) -> dict:
-    """Land, then stage rates and transactions, then build the mart.
-    A failing step raises (D10, D11)."""
-    d = as_date(day)
+def take_in(spark: SparkSession, lake: Lake, messages: DataFrame, order: Sequence[str] = DEFAULT_ORDER,
+            run_date: _dt.date | None = None, checkpoint: str | None = None) -> dict:
+    """Land what is new: a stream is drained from its checkpoint, a static
+    frame is landed as it is."""
+    if messages.isStreaming:
+        from paymart.streaming.landing import land_stream
+
+        if not checkpoint:
+            raise ValueError("a stream needs its checkpoint folder")
+        return land_stream(spark, lake, messages, checkpoint, order=order, run_date=run_date)
+    return land(spark, lake, messages, order, run_date)
+
+
+def _load_day(spark: SparkSession, lake: Lake, src: DataFrame, d: _dt.date) -> dict:
     return {
-        "landing": land(spark, lake, records, order, d),
         "currencies": stage_currencies(spark, lake, d),
         "transactions": stage_transactions(spark, lake, src, d),
         "mart": build_global_metrics(spark, lake, d),
     }
 
 
-def run_days(spark: SparkSession, lake: Lake, records: DataFrame, src: DataFrame,
+def run_day(spark: SparkSession, lake: Lake, messages: DataFrame, src: DataFrame, day: _dt.date | str,
+            order: Sequence[str] = DEFAULT_ORDER, checkpoint: str | None = None) -> dict:
+    """Land what is new, then stage rates and transactions, then build the
+    mart. A failing step raises (D10, D11)."""
+    d = as_date(day)
+    return {"landing": take_in(spark, lake, messages, order, d, checkpoint), **_load_day(spark, lake, src, d)}
+
+
+def run_days(spark: SparkSession, lake: Lake, messages: DataFrame, src: DataFrame,
              days: Iterable[_dt.date | str] | None = None,
-             order: Sequence[str] = DEFAULT_ORDER) -> dict:
-    """Range form: with ``days=None`` every day is loaded by one job per
-    stage (the grouping already contains the day); else day by day."""
+             order: Sequence[str] = DEFAULT_ORDER, checkpoint: str | None = None) -> dict:
+    """Range form: messages are landed once; with ``days=None`` every day is
+    loaded by one job per stage (the grouping already contains the day); else
+    day by day."""
+    landing = take_in(spark, lake, messages, order, None, checkpoint)
     if days is not None:
-        return {str(as_date(d)): run_day(spark, lake, records, src, d, order) for d in days}
+        return {"landing": landing, **{str(as_date(d)): _load_day(spark, lake, src, as_date(d)) for d in days}}
     return {
-        "landing": land(spark, lake, records, order),
+        "landing": landing,
         "currencies": stage_currencies(spark, lake, None),
         "transactions": stage_transactions(spark, lake, src, None),
         "mart": build_global_metrics(spark, lake, None),

@@ -12,19 +12,25 @@ RUN_DATE_SQL = "DATE '2024-01-05'"
 _CHECKS = """
 rec_json AS (
     SELECT "partition", "offset", "timestamp", value AS raw,
-        value IS NOT NULL AND trim(value) <> '' AND json_valid(value) AS ok
+        CASE WHEN value IS NOT NULL AND trim(value) <> '' AND json_valid(value) THEN value END AS js
     FROM records
 ),
+rec_fields AS (
+    SELECT *, json_extract_string(js, '$.object_id') AS object_id, json_extract_string(js, '$.object_type') AS object_type,
+        json_extract_string(js, '$.payload') AS payload, json_extract_string(js, '$.sent_dttm') AS sent,
+        json_type(js, '$.sent_dttm') = 'VARCHAR' AS quoted
+    FROM rec_json
+),
 decoded AS (
-    SELECT "partition", "offset", "timestamp", raw,
-        CASE WHEN ok THEN json_extract_string(raw, '$.object_id') END AS object_id,
-        CASE WHEN ok THEN json_extract_string(raw, '$.object_type') END AS object_type,
-        CASE WHEN ok THEN CAST(json_extract_string(raw, '$.sent_dttm') AS TIMESTAMP) END AS sent_dttm,
-        CASE WHEN ok THEN json_extract_string(raw, '$.payload') END AS payload,
+    SELECT "partition", "offset", "timestamp", raw, object_id, object_type,
+        CASE WHEN NOT quoted THEN make_timestamp(TRY_CAST(sent AS BIGINT) * 1000000)
+             WHEN ends_with(sent, '+03:00') THEN TRY_CAST(left(sent, length(sent) - 6) AS TIMESTAMP) - INTERVAL 3 HOUR
+             WHEN regexp_matches(sent, '^[0-9]{4}-') THEN TRY_CAST(sent AS TIMESTAMP) END AS sent_dttm,
+        payload,
         CASE WHEN raw IS NULL OR trim(raw) = '' THEN 'empty_value'
-             WHEN NOT ok THEN 'malformed_json'
-             WHEN json_extract_string(raw, '$.object_id') IS NULL THEN 'missing_object_id' END AS reason
-    FROM rec_json
+             WHEN js IS NULL THEN 'malformed_json'
+             WHEN object_id IS NULL THEN 'missing_object_id' END AS reason
+    FROM rec_fields
 ),
 landing AS (
     SELECT object_id, object_type, sent_dttm, payload
@@ -88,41 +94,37 @@ conformed AS (
 WITH = "WITH " + ORACLE_CTES.strip() + "," + _CHECKS
 
 
+def _settled(tx: str, where: str = "TRUE") -> str:
+    """Settled transactions with their day: done, no authorisation, a positive account."""
+    return f"""SELECT CAST(transaction_dttm AS DATE) AS date_update, currency_code, amount, operation_id,
+        account_number_from
+    FROM {tx}
+    WHERE ({where}) AND account_number_from > 0 AND status = 'done' AND transaction_type != 'authorisation'"""
+
+
 def _metrics(tx: str, rates: str, day: str | None = None, tx_where: str = "TRUE") -> str:
-    """Mart rows over a transactions relation and a rates relation."""
-    day_tx = f"AND CAST(transaction_dttm AS DATE) = {day}" if day else ""
-    day_r = f"AND date_update = {day}" if day else ""
+    """Mart rows over a transactions relation and a rates relation: what each
+    account paid per day and currency, in the base currency, then summed up."""
+    only = f"s.date_update = {day}" if day else "TRUE"
     return f"""(
-    WITH q AS (
-        SELECT CAST(t.transaction_dttm AS DATE) AS date_update, t.currency_code AS currency_from,
-            t.operation_id, t.account_number_from,
-            CAST(t.amount * r.currency_code_div AS DECIMAL(38,6)) AS amount_base
-        FROM {tx} t
-        JOIN {rates} r
-          ON r.date_update = CAST(t.transaction_dttm AS DATE)
-         AND r.currency_code_with = t.currency_code
-         AND r.currency_code = '420' {day_r.replace('date_update', 'r.date_update')}
-        WHERE t.status = 'done' AND t.transaction_type <> 'authorisation'
-          AND t.account_number_from > 0 {day_tx.replace('transaction_dttm', 't.transaction_dttm')}
-          AND ({tx_where})
-    )
-    SELECT date_update, currency_from,
-        CAST(SUM(amount_base) AS DECIMAL(38,6)) AS amount_total,
-        COUNT(operation_id) AS cnt_transactions,
-        CAST(COUNT(operation_id) AS DOUBLE) / COUNT(DISTINCT account_number_from)
-            AS avg_transactions_per_account,
-        COUNT(DISTINCT account_number_from) AS cnt_accounts_make_transactions
-    FROM q
-    GROUP BY date_update, currency_from
+    WITH accounts AS (
+        SELECT date_update, s.currency_code, account_number_from, count(operation_id) AS n,
+            sum(CAST(amount * currency_code_div AS DECIMAL(38,6))) AS paid
+        FROM ({_settled(tx, tx_where)}) s
+        JOIN (SELECT date_update, currency_code_with AS currency_code, currency_code_div
+              FROM {rates} WHERE currency_code = '420') USING (date_update, currency_code)
+        WHERE {only} GROUP BY ALL)
+    SELECT date_update, currency_code AS currency_from, CAST(sum(paid) AS DECIMAL(38,6)) AS amount_total,
+        CAST(sum(n) AS BIGINT) AS cnt_transactions,
+        CAST(sum(n) AS DOUBLE) / count(*) AS avg_transactions_per_account,
+        count(*) AS cnt_accounts_make_transactions
+    FROM accounts GROUP BY date_update, currency_code
 )"""
 
 
-_SETTLED = """
+_SETTLED = f"""
 settled AS (
-    SELECT CAST(transaction_dttm AS DATE) AS date_update, currency_code, amount, operation_id,
-        account_number_from
-    FROM stg_tx
-    WHERE status = 'done' AND transaction_type != 'authorisation' AND account_number_from > 0
+    {_settled('stg_tx')}
 )"""
 
 _PIPE_RATES = """
@@ -134,6 +136,32 @@ p_tx AS (
     SELECT * FROM conformed WHERE TRUE {tx_cond}
 )"""
 
+# what the first drain has stays; then the first message of each new key
+_TWO_DRAINS = """
+two_drains AS (
+    SELECT object_id, object_type, sent_dttm, payload FROM decoded WHERE reason IS NULL
+    QUALIFY row_number() OVER (
+        PARTITION BY object_id
+        ORDER BY "timestamp" >= TIMESTAMP '2024-01-16 00:00:00', "partition", "offset") = 1
+)"""
+
+
+def _text_checked(where: str = "TRUE") -> str:
+    """The all-text source, checked: a null is missing, what does not cast is bad."""
+    columns = ["operation_id", "account_number_from", "account_number_to", "currency_code", "country", "status",
+               "transaction_type", "amount", "transaction_dt"]
+    kinds = {"account_number_from": "BIGINT", "account_number_to": "BIGINT", "amount": "BIGINT",
+             "transaction_dt": "TIMESTAMP"}
+    missing = " ".join(f"WHEN {c} IS NULL THEN 'missing_{c}'" for c in columns)
+    bad = " ".join(f"WHEN TRY_CAST({c} AS {k}) IS NULL THEN 'bad_{c}'" for c, k in kinds.items())
+    typed = ", ".join(f"TRY_CAST({c} AS {kinds[c]}) AS {c}" if c in kinds else c for c in columns[:-1])
+    raw = ", ".join(f"coalesce({c}, '')" for c in columns)
+    return f"""SELECT {typed}, date_trunc('millisecond', TRY_CAST(transaction_dt AS TIMESTAMP)) AS transaction_dttm,
+        CASE {missing} {bad} END AS reason, concat_ws('|', {raw}) AS raw,
+        CAST(TRY_CAST(transaction_dt AS TIMESTAMP) AS DATE) AS run_date
+    FROM src_text WHERE {where}"""
+
+
 ORACLE: dict[str, str] = {
     "envelope_decode": f"""{WITH}
 SELECT object_id, object_type, sent_dttm, payload FROM decoded WHERE reason IS NULL""",
@@ -142,19 +170,14 @@ SELECT object_id, object_type, sent_dttm, payload FROM decoded WHERE reason IS N
 SELECT 'landing' AS stage, reason, raw, CAST(NULL AS DATE) AS run_date
 FROM decoded WHERE reason IS NOT NULL""",
 
-    "landing_insert_ignore": f"""{WITH},
-first_drain AS (
-    SELECT object_id, object_type, sent_dttm, payload FROM decoded
-    WHERE reason IS NULL AND "timestamp" < TIMESTAMP '2024-01-16 00:00:00'
-    QUALIFY row_number() OVER (PARTITION BY object_id ORDER BY "partition", "offset") = 1
-)
-SELECT * FROM first_drain
-UNION ALL
-SELECT l.* FROM landing l
-WHERE NOT EXISTS (SELECT 1 FROM first_drain f WHERE f.object_id = l.object_id)""",
+    "landing_insert_ignore": f"""{WITH}, {_TWO_DRAINS}
+SELECT * FROM two_drains""",
 
-    "landing_stream": f"""{WITH}
-SELECT object_id, object_type, sent_dttm, payload FROM landing""",
+    "landing_stream": f"""{WITH}, {_TWO_DRAINS}
+SELECT * FROM two_drains""",
+
+    "landing_checkpoint_lost": f"""{WITH}, {_TWO_DRAINS}
+SELECT * FROM two_drains""",
 
     "currency_extract": f"""{WITH}
 SELECT object_id, payload, sent_dttm FROM landing
@@ -199,6 +222,13 @@ SELECT * FROM conformed""",
 SELECT 'transactions' AS stage, reason, raw, CAST(NULL AS DATE) AS run_date
 FROM src_checked WHERE reason IS NOT NULL""",
 
+    "transactions_text_conform": f"""{WITH}
+SELECT * EXCLUDE (reason, raw, run_date) FROM ({_text_checked()}) WHERE reason IS NULL""",
+
+    "transactions_text_rejects": f"""{WITH}
+SELECT 'transactions' AS stage, reason, raw, CAST(NULL AS DATE) AS run_date
+FROM ({_text_checked()}) WHERE reason IS NOT NULL""",
+
     "transactions_upsert": f"""{WITH},
 tgt AS (SELECT * FROM conformed WHERE transaction_type <> 'purchase'),
 srcu AS (
@@ -233,14 +263,27 @@ SELECT * FROM {_metrics('stg_tx', 'stg_rates', RUN_DATE_SQL)}""",
 
     "global_metrics_upsert": f"""{WITH},
 tgt AS (SELECT * FROM {_metrics('stg_tx', 'stg_rates', None,
-                                "t.transaction_type <> 'purchase' AND t.currency_code <> '419'")}),
-src AS (SELECT * FROM {_metrics('stg_tx', 'stg_rates', None, "t.currency_code <> '416'")})
+                                "transaction_type <> 'purchase' AND currency_code <> '419'")}),
+src AS (SELECT * FROM {_metrics('stg_tx', 'stg_rates', None, "currency_code <> '416'")})
 SELECT * FROM src
 UNION ALL
 SELECT * FROM tgt t
 WHERE NOT EXISTS (SELECT 1 FROM src s
                   WHERE s.date_update = t.date_update AND s.currency_from = t.currency_from)""",
 
+    "mart_replace_day": f"""{WITH}
+SELECT * FROM {_metrics('stg_tx', 'stg_rates')} WHERE date_update <> {RUN_DATE_SQL}
+UNION ALL
+SELECT * FROM {_metrics('stg_tx', 'stg_rates', RUN_DATE_SQL, "currency_code <> '416'")}""",
+
+    "currencies_deduped": f"""{WITH}
+SELECT date_update, currency_code, currency_code_with, min(currency_code_div) AS currency_code_div
+FROM stg_rates_repeated GROUP BY ALL""",
+
+    "emptiness": f"""{WITH},{_SETTLED},
+asked AS (SELECT unnest([{RUN_DATE_SQL}, DATE '2031-01-01']) AS run_date)
+SELECT run_date, run_date NOT IN (SELECT date_update FROM settled) AS is_empty FROM asked""",
+
     "load_counters": f"""{WITH}
 SELECT 'landing' AS stage, CAST("timestamp" AS DATE) AS run_date, COUNT(*) AS rows_read,
     COUNT(*) FILTER (WHERE reason IS NULL) AS rows_valid,
@@ -267,4 +310,12 @@ SELECT * FROM {_metrics('p_tx', 'p_rates', RUN_DATE_SQL)}""",
 
     "run_days": f"""{WITH},{_PIPE_RATES.format(cond="", tx_cond="")}
 SELECT * FROM {_metrics('p_tx', 'p_rates')}""",
+
+    "run_days_rejects": f"""{WITH}
+SELECT 'landing' AS stage, coalesce(reason, 'undated') AS reason, raw, CAST(NULL AS DATE) AS run_date
+FROM decoded WHERE reason IS NOT NULL OR sent_dttm IS NULL
+UNION ALL
+SELECT 'currencies', reason, raw, CAST(sent_dttm AS DATE) FROM rates_checked WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'transactions', reason, raw, run_date FROM ({_text_checked()}) WHERE reason IS NOT NULL""",
 }

@@ -12,17 +12,18 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.functions import day_of
 from paymart.operators import changes, mart, messages, quality, staging
 from paymart.plans import jobs
 from paymart.schemas import MART_KEY, TRANSACTION_KEY
-from paymart.session import configure, work_dir
+from paymart.session import configure, stored_once, work_dir
 from paymart.sources import adapters as A
 
 RUN_DATE = _dt.date(2024, 1, 5)
+NO_EVENTS = _dt.date(2031, 1, 1)
 REPLACED_DATES = (_dt.date(2024, 1, 5), _dt.date(2024, 1, 6))
 # the first drain of the landing holds the messages stamped before this time
 FIRST_DRAIN_END = "2024-01-16 00:00:00"
@@ -53,29 +54,43 @@ def q_envelope_rejects(spark, sf_dir):
     return messages.envelope_rejects(_records(spark, sf_dir))
 
 
+def _early() -> Column:
+    return F.col("timestamp") < F.lit(FIRST_DRAIN_END).cast("timestamp")
+
+
 def q_landing_insert_ignore(spark, sf_dir):
-    dec = messages.decode_envelope(_records(spark, sf_dir), keep=ORDER + ["timestamp"])
-    first_drain = dec.where(F.col("timestamp") < F.lit(FIRST_DRAIN_END).cast("timestamp"))
-    existing = changes.first_per_key(first_drain.drop("timestamp"), ["object_id"], ORDER).select(*LANDING_COLUMNS)
+    """The first drain's content and what a batch with every message adds to
+    it. The batch is decoded once and stored."""
+    dec = stored_once(messages.decode_envelope(_records(spark, sf_dir), keep=ORDER + ["timestamp"]), "decoded")
+    existing = changes.first_per_key(dec.where(_early()).drop("timestamp"), ["object_id"], ORDER).select(*LANDING_COLUMNS)
+    existing = stored_once(existing, "landed")
     added = changes.insert_ignore(existing, dec.drop("timestamp"), ["object_id"], ORDER).select(*LANDING_COLUMNS)
     return existing.unionByName(added)
 
 
-def q_landing_stream(spark, sf_dir):
-    """Two drains of a growing message directory into one landing table with
-    one checkpoint; the second drain also replays every message of the first."""
+def _two_drains(spark, sf_dir, second_checkpoint: str) -> jobs.Lake:
+    """Two drains of a growing message directory; the second also replays every
+    message of the first."""
     from paymart.streaming.landing import land_stream, message_stream
 
-    base = work_dir(spark, "landing_stream")
-    inbox, out, ckpt = f"{base}/inbox", f"{base}/landing", f"{base}/checkpoint"
+    lake = jobs.Lake(work_dir(spark, "landing_stream"))
+    topic = f"{lake.root}/topic"
     recs = _records(spark, sf_dir)
-    early = F.col("timestamp") < F.lit(FIRST_DRAIN_END).cast("timestamp")
-    text = F.col("value").cast("string").alias("value")
-    recs.where(early).select(text).write.mode("append").text(inbox)
-    land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
-    recs.select(text).write.mode("append").text(inbox)     # the rest, plus a replay of the first part
-    land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
-    return spark.read.parquet(out).select(*LANDING_COLUMNS)
+    recs.where(_early()).write.mode("append").parquet(topic)
+    land_stream(spark, lake, message_stream(spark, "parquet", path=topic), f"{lake.root}/checkpoint")
+    recs.write.mode("append").parquet(topic)               # the rest, plus a replay of the first part
+    land_stream(spark, lake, message_stream(spark, "parquet", path=topic), f"{lake.root}/{second_checkpoint}")
+    return lake
+
+
+def q_landing_stream(spark, sf_dir):
+    """Two drains with one checkpoint."""
+    return _two_drains(spark, sf_dir, "checkpoint").read_landing(spark).select(*LANDING_COLUMNS)
+
+
+def q_landing_checkpoint_lost(spark, sf_dir):
+    """Two drains; the second has lost its checkpoint and starts anew."""
+    return _two_drains(spark, sf_dir, "another").read_landing(spark).select(*LANDING_COLUMNS)
 
 
 # ---------------------------------------------------------------- rates
@@ -122,16 +137,26 @@ def q_transactions_rejects(spark, sf_dir):
     return staging.transaction_rejects(A.src_transactions(spark, sf_dir))
 
 
+def q_transactions_text_conform(spark, sf_dir):
+    """An all-text source: what casts, cast."""
+    configure(spark)
+    return staging.conform_transactions(A.src_transactions_text(spark, sf_dir))
+
+
+def q_transactions_text_rejects(spark, sf_dir):
+    configure(spark)
+    return staging.transaction_rejects(A.src_transactions_text(spark, sf_dir))
+
+
 def q_transactions_upsert(spark, sf_dir):
     """Target: an earlier load without purchases; source: a new extract of
     the settled rows with corrected amounts."""
     configure(spark)
-    src = A.src_transactions(spark, sf_dir)
-    conformed = staging.conform_transactions(src)
+    conformed = stored_once(staging.conform_transactions(A.src_transactions(spark, sf_dir)), "conformed")
     target = conformed.where(F.col("transaction_type") != "purchase")
     source = (conformed.where(F.col("status") == "done")
               .withColumn("amount", F.col("amount") + 1))
-    changes.check_unique_cheap_first(staging.source_keys(src), source, TRANSACTION_KEY)
+    changes.check_unique(source, TRANSACTION_KEY)
     return changes.upsert(target, source, TRANSACTION_KEY)
 
 
@@ -172,10 +197,33 @@ def q_global_metrics_upsert(spark, sf_dir):
     rates = A.stg_currencies(spark, sf_dir)
     target = mart.global_metrics(
         tx.where((F.col("transaction_type") != "purchase") & (F.col("currency_code") != "419")), rates)
-    source = mart.global_metrics(tx.where(F.col("currency_code") != "416"), rates)
+    source = stored_once(mart.global_metrics(tx.where(F.col("currency_code") != "416"), rates), "mart-rows")
     return changes.upsert(target, source, MART_KEY)
 
 
+def q_mart_replace_day(spark, sf_dir):
+    """D13 opt-in: one day rebuilt without currency 416, which goes."""
+    configure(spark)
+    tx, rates = A.stg_transactions(spark, sf_dir), A.stg_currencies(spark, sf_dir)
+    source = mart.global_metrics(tx.where(F.col("currency_code") != "416"), rates, RUN_DATE)
+    return changes.replace_day(mart.global_metrics(tx, rates), source, "date_update", RUN_DATE)
+
+
+def q_currencies_deduped(spark, sf_dir):
+    """D4 opt-in: one rate per (day, base, quoted)."""
+    configure(spark)
+    return quality.dedupe_rates(A.stg_currencies_repeated(spark, sf_dir))
+
+
+def q_emptiness(spark, sf_dir):
+    """Whether the settled transactions of a day are none, for a day with
+    and one without events."""
+    configure(spark)
+    tx = A.stg_transactions(spark, sf_dir)
+    found = [(d, quality.is_empty(mart.settled_transactions(tx, d))) for d in (RUN_DATE, NO_EVENTS)]
+    return spark.createDataFrame(found, "run_date date, is_empty boolean")
+
+
 # ---------------------------------------------------------------- counters, whole runs
 
 def q_missing_rates(spark, sf_dir):
@@ -190,10 +238,10 @@ def q_load_counters(spark, sf_dir):
     (landing by message time, rates by sending day, transactions by
     transaction day)."""
     configure(spark)
-    recs = _records(spark, sf_dir)
-    landing = quality.counts_by_day(messages.envelope_checked(recs, keep=["timestamp"]),
-                                    "landing", day_of("timestamp"))
-    cm = messages.currency_messages(_landing(spark, sf_dir))
+    checked = stored_once(messages.envelope_checked(_records(spark, sf_dir), keep=ORDER + ["timestamp"]), "checked")
+    landing = quality.counts_by_day(checked, "landing", day_of("timestamp"))
+    valid = checked.where(F.col("reason").isNull()).select(*ORDER, *LANDING_COLUMNS)
+    cm = messages.currency_messages(changes.first_per_key(valid, ["object_id"], ORDER))
     rates = quality.counts_by_day(messages.rates_checked(cm, keep=["sent_dttm"]),
                                   "currencies", day_of("sent_dttm"))
     txs = quality.counts_by_day(staging.transactions_checked(A.src_transactions(spark, sf_dir)),
@@ -215,11 +263,22 @@ def q_run_days(spark, sf_dir):
     return lake.read_mart(spark)
 
 
+def q_run_days_rejects(spark, sf_dir):
+    """The stored rejects of a run over all days, twice: the rerun stores none
+    a second time."""
+    configure(spark)
+    lake = jobs.Lake(work_dir(spark, "run_days_rejects"))
+    for _ in range(2):
+        jobs.run_days(spark, lake, _records(spark, sf_dir), A.src_transactions_text(spark, sf_dir))
+    return lake.read_rejects(spark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_decode": q_envelope_decode,
     "envelope_rejects": q_envelope_rejects,
     "landing_insert_ignore": q_landing_insert_ignore,
     "landing_stream": q_landing_stream,
+    "landing_checkpoint_lost": q_landing_checkpoint_lost,
     "currency_extract": q_currency_extract,
     "currency_payload": q_currency_payload,
     "currency_rejects": q_currency_rejects,
@@ -228,6 +287,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions_required": q_transactions_required,
     "transactions_conform": q_transactions_conform,
     "transactions_rejects": q_transactions_rejects,
+    "transactions_text_conform": q_transactions_text_conform,
+    "transactions_text_rejects": q_transactions_text_rejects,
     "transactions_upsert": q_transactions_upsert,
     "settled_transactions": q_settled_transactions,
     "rate_join": q_rate_join,
@@ -235,8 +296,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "global_metrics_day": q_global_metrics_day,
     "global_metrics_sql": q_global_metrics_sql,
     "global_metrics_upsert": q_global_metrics_upsert,
+    "mart_replace_day": q_mart_replace_day,
+    "currencies_deduped": q_currencies_deduped,
+    "emptiness": q_emptiness,
     "load_counters": q_load_counters,
     "missing_rates": q_missing_rates,
     "run_day": q_run_day,
     "run_days": q_run_days,
+    "run_days_rejects": q_run_days_rejects,
 }

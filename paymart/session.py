@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators depend on. Applied by ``configure`` to any session.
 REQUIRED_CONF = {
@@ -64,13 +64,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever runs the job and points at shared
-    storage. Only when it is unset (tests, local runs) a folder of our own is
-    made and set.
+    storage; unset, that is an error. Only a local session, where driver and
+    executors are one process, gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="paymart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -82,3 +84,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/paymart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: whatever uses it
+    several times sees one snapshot, and its plan ends here."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,11 @@ currency 420, status ``done`` and type ``authorisation`` of the load itself):
 * rate message k = 8 is broken JSON, k = 9 lacks ``currency_with_div``
 * status ``failed`` for event type ``error``, else ``done``;
   type ``authorisation`` for event type ``signup``
-* transaction messages of ``error`` events are sent twice (exact replay)
+* transaction messages of ``error`` events are sent twice; the second, with the
+  larger offset, differs (status ``replayed``)
+* every 20th event has one more message on partition 2, each with one fault or
+  peculiarity (``ODD_KINDS``)
+* the text-typed source has a fault in every 10th row (``TEXT_FAULTS``)
 """
 
 from __future__ import annotations
@@ -30,6 +34,16 @@ BROKEN_RATE_SLOT = 8
 NO_DIV_RATE_SLOT = 9
 
 
+# One peculiarity per message of partition 2, by (event_id / 20) % their number.
+ODD_KINDS = ("null_value", "blank_value", "no_object_id", "bad_time", "offset_time", "epoch_time", "quoted_digits",
+             "empty_type", "null_payload", "bad_payload", "bad_date", "bad_rate", "no_date", "no_code", "no_quoted_code")
+ODD_EVERY = 20
+# One fault per faulty row of the text-typed source: column and its text.
+TEXT_FAULTS = (("operation_id", None), ("account_number_from", "x"), ("account_number_to", ""), ("currency_code", None),
+               ("status", None), ("transaction_type", None), ("amount", "12.5x"), ("transaction_dt", "never"),
+               ("amount", None), ("account_number_from", None), ("account_number_to", None), ("transaction_dt", None))
+TEXT_FAULT_EVERY = 10
+
 _LOADED: dict[tuple[int, str], DataFrame] = {}
 
 
@@ -171,7 +185,9 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     object_id = F.concat(day_text, F.lit("/"), k.cast("string"))
     env = _envelope(object_id, F.lit("CURRENCY"), F.concat(day_text, F.lit("T06:00:00")), payload)
     # broken JSON: '=' instead of the first ':'
-    env = F.when(k == BROKEN_RATE_SLOT, F.concat(F.lit('{"object_id"='), F.substring(env, 14, 1 << 20))).otherwise(env)
+    s = s.withColumn("env", env)
+    env = (F.when(k == BROKEN_RATE_SLOT, F.concat(F.lit('{"object_id"='), F.expr("substring(env, 14)")))
+           .otherwise(F.col("env")))
     rates = s.select(
         F.lit(0).alias("partition"),
         (F.unix_date(F.col("date_update")).cast("bigint") * RATE_SLOTS + k).alias("offset"),
@@ -179,38 +195,90 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         env.alias("value"))
 
     ev = read_table(spark, sf_dir, "events")
-    n = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < n:
-        # a topic is read in parallel, one task per topic partition: spread
-        # the (narrow) events the same way when the file gives fewer splits;
-        # hashing the id keeps a rerun deterministic
-        ev = ev.repartition(n, "event_id")
     tx = _with_nation(spark, sf_dir, ev, 25, unique=False)
-    t = tx.select("event_id", "event_type", "ts", *_tx_columns(F.col("ts").alias("transaction_dt")))
+    # copy 0 is the original; messages of error events get copy 1, a differing
+    # replay right after it (one scan of events, no self-union)
+    copies = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    t = tx.select("event_id", "event_type", "ts", *_tx_columns(F.col("ts").alias("transaction_dt")),
+                  F.explode(copies).alias("copy"))
     ts_text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    status = F.when(F.col("copy") == 1, F.lit("replayed")).otherwise(F.col("status"))
     tx_payload = F.concat(
         F.lit('{"operation_id":"'), F.col("operation_id"),
         F.lit('","account_number_from":'), F.col("account_number_from").cast("string"),
         F.lit(',"account_number_to":'), F.col("account_number_to").cast("string"),
         F.lit(',"currency_code":"'), F.col("currency_code"),
         F.lit('","country":"'), F.col("country"),
-        F.lit('","status":"'), F.col("status"),
+        F.lit('","status":"'), status,
         F.lit('","transaction_type":"'), F.col("transaction_type"),
         F.lit('","amount":'), F.col("amount").cast("string"),
         F.lit(',"transaction_dt":"'), ts_text, F.lit('"}'))
-    # copy 0 is the original; messages of error events get copy 1, an exact
-    # replay right after it (one scan of events, no self-union)
-    copies = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    t = t.select("*", F.explode(copies).alias("copy"))
     txm = t.select(
         F.lit(1).alias("partition"),
         (F.col("event_id") * 2 + F.col("copy")).alias("offset"),
         (F.col("ts").cast(T.TimestampType()) + F.make_dt_interval(secs=F.col("copy"))).alias("timestamp"),
         _envelope(F.col("operation_id"), F.lit("TRANSACTION"), ts_text, tx_payload).alias("value"))
-    records = rates.unionByName(txm)
+    odd = ev.where(F.col("event_id") % ODD_EVERY == 0).select(
+        F.lit(2).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast(T.TimestampType()).alias("timestamp"),
+        _odd_value().alias("value"))
+    records = rates.unionByName(txm).unionByName(odd)
     return records.select("partition", "offset", "timestamp", F.col("value").cast("binary").alias("value"))
 
 
+def _odd_value() -> Column:
+    """The text of the message with the event's peculiarity."""
+    kind = F.element_at(F.array(*map(F.lit, ODD_KINDS)),
+                        ((F.col("event_id") / ODD_EVERY).cast("int") % len(ODD_KINDS)) + 1)
+    day = F.col("ts").cast("date").cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    sent = (F.when(kind == "bad_time", F.lit('"soon"'))
+            .when(kind == "offset_time", quoted(F.concat(day, F.lit("T01:30:00+03:00"))))
+            .when(kind == "epoch_time", F.lit("1704067200"))
+            .when(kind == "quoted_digits", F.lit('"1704067200"'))
+            .otherwise(quoted(F.concat(day, F.lit("T07:00:00")))))
+    parts = [(F.when(kind == "bad_date", F.lit("someday")).otherwise(day), "date_update", "no_date"),
+             (F.lit("430"), "currency_code", "no_code"), (F.lit("416"), "currency_code_with", "no_quoted_code"),
+             (F.when(kind == "bad_rate", F.lit("1,5")).otherwise(F.lit("1.5")), "currency_with_div", "")]
+    payload = F.concat(*[F.when(kind == without, F.lit("")).otherwise(
+        F.concat(F.lit(f'\\"{name}\\":\\"'), value, F.lit('\\",'))) for value, name, without in parts])
+    payload = F.concat(F.lit('"{'), payload, F.lit('\\"end\\":1}"'))
+    is_rate = kind.isin("null_payload", "bad_payload", "bad_date", "bad_rate", "no_date", "no_code", "no_quoted_code")
+    text = F.concat(
+        F.when(kind == "no_object_id", F.lit("{")).otherwise(
+            F.concat(F.lit('{"object_id":"odd/'), F.col("event_id").cast("string"), F.lit('",'))),
+        F.lit('"object_type":"'), F.when(is_rate, F.lit("CURRENCY")).when(kind == "empty_type", F.lit("")).otherwise(F.lit("NOTE")),
+        F.lit('","sent_dttm":'), sent, F.lit(',"payload":'),
+        F.when(kind == "null_payload", F.lit("null")).when(kind == "bad_payload", F.lit('"{oops"')).otherwise(payload),
+        F.lit("}"))
+    return F.when(kind == "null_value", F.lit(None).cast("string")).when(kind == "blank_value", F.lit("  ")).otherwise(text)
+
+
+@_memo
+def src_transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source transactions as an untyped source gives them: all text, with
+    a fault in every ``TEXT_FAULT_EVERY``th row."""
+    src = src_transactions(spark, sf_dir)
+    key = F.col("operation_id").cast("bigint")
+    fault = F.when(key % TEXT_FAULT_EVERY == 7, (key / TEXT_FAULT_EVERY).cast("int") % len(TEXT_FAULTS))
+    out = []
+    for c in src.columns:
+        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if c == "transaction_dt" else F.col(c).cast("string")
+        for n, (column, value) in enumerate(TEXT_FAULTS):
+            if column == c:
+                text = F.when(fault.eqNullSafe(F.lit(n)), F.lit(value).cast("string")).otherwise(text)
+        out.append(text.alias(c))
+    return src.select(*out)
+
+
+@_memo
+def stg_currencies_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rates of which some come twice, the second time one higher."""
+    rates = stg_currencies(spark, sf_dir)
+    again = rates.where(F.col("currency_code_with") != "416").withColumn(
+        "currency_code_div", (F.col("currency_code_div") + 1).cast(RATE_DECIMAL))
+    return rates.unionByName(again)
+
+
 # --------------------------------------------------------------------------
 # DuckDB twins (same rows and types), used as CTEs by the oracle queries.
 # --------------------------------------------------------------------------
@@ -232,6 +300,20 @@ _RATE_SLOTS_SQL = """
         FROM (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events) span
     ) d"""
 
+
+
+def _text_sql(column: str) -> str:
+    text = ("strftime(transaction_dt, '%Y-%m-%d %H:%M:%S.%f')" if column == "transaction_dt"
+            else f"CAST({column} AS VARCHAR)")
+    faults = [(n, v) for n, (c, v) in enumerate(TEXT_FAULTS) if c == column]
+    whens = " ".join(f"WHEN fault = {n} THEN " + ("NULL" if v is None else f"'{v}'") for n, v in faults)
+    return f"CASE {whens} ELSE {text} END AS {column}" if whens else f"{text} AS {column}"
+
+
+_TEXT_SQL = ", ".join(map(_text_sql, [
+    "operation_id", "account_number_from", "account_number_to", "currency_code", "country", "status",
+    "transaction_type", "amount", "transaction_dt"]))
+
 ORACLE_CTES = f"""
 stg_tx AS (
     SELECT {_TX_COLUMNS_SQL},
@@ -276,7 +358,7 @@ tx_msgs AS (
     FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25
 ),
 tx_envelopes AS (
-    SELECT event_id, event_type, ts,
+    SELECT event_id, copy, ts,
         '{{"object_id":"' || operation_id || '","object_type":"TRANSACTION","sent_dttm":"' || ts_text
             || '","payload":"' || replace(
                 '{{"operation_id":"' || operation_id
@@ -284,11 +366,40 @@ tx_envelopes AS (
                 || ',"account_number_to":' || CAST(account_number_to AS VARCHAR)
                 || ',"currency_code":"' || currency_code
                 || '","country":"' || country
-                || '","status":"' || status
+                || '","status":"' || CASE WHEN copy = 1 THEN 'replayed' ELSE status END
                 || '","transaction_type":"' || transaction_type
                 || '","amount":' || CAST(amount AS VARCHAR)
                 || ',"transaction_dt":"' || ts_text || '"}}', '"', '\\"') || '"}}' AS env
-    FROM tx_msgs
+    FROM tx_msgs, (VALUES (0), (1)) c(copy)
+    WHERE copy = 0 OR event_type = 'error'
+),
+odd AS (
+    SELECT event_id, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+        [{', '.join(f"'{k}'" for k in ODD_KINDS)}][(event_id // {ODD_EVERY}) % {len(ODD_KINDS)} + 1] AS kind
+    FROM events WHERE event_id % {ODD_EVERY} = 0
+),
+odd_payloads AS (
+    SELECT *, '{{' || CASE WHEN kind = 'no_date' THEN '' ELSE '\\"date_update\\":\\"'
+                 || CASE WHEN kind = 'bad_date' THEN 'someday' ELSE day END || '\\",' END
+            || CASE WHEN kind = 'no_code' THEN '' ELSE '\\"currency_code\\":\\"430\\",' END
+            || CASE WHEN kind = 'no_quoted_code' THEN '' ELSE '\\"currency_code_with\\":\\"416\\",' END
+            || '\\"currency_with_div\\":\\"' || CASE WHEN kind = 'bad_rate' THEN '1,5' ELSE '1.5' END || '\\",'
+            || '\\"end\\":1}}' AS payload
+    FROM odd
+),
+odd_messages AS (
+    SELECT event_id, ts, CASE WHEN kind = 'null_value' THEN NULL WHEN kind = 'blank_value' THEN '  ' ELSE
+        '{{' || CASE WHEN kind = 'no_object_id' THEN '' ELSE '"object_id":"odd/' || CAST(event_id AS VARCHAR) || '",' END
+        || '"object_type":"' || CASE WHEN kind = 'empty_type' THEN ''
+             WHEN kind IN ('null_payload', 'bad_payload', 'bad_date', 'bad_rate', 'no_date', 'no_code', 'no_quoted_code')
+             THEN 'CURRENCY' ELSE 'NOTE' END
+        || '","sent_dttm":' || CASE kind WHEN 'bad_time' THEN '"soon"'
+             WHEN 'offset_time' THEN '"' || day || 'T01:30:00+03:00"'
+             WHEN 'epoch_time' THEN '1704067200' WHEN 'quoted_digits' THEN '"1704067200"'
+             ELSE '"' || day || 'T07:00:00"' END
+        || ',"payload":' || CASE kind WHEN 'null_payload' THEN 'null' WHEN 'bad_payload' THEN '"{{oops"'
+             ELSE '"' || payload || '"' END || '}}' END AS env
+    FROM odd_payloads
 ),
 records AS (
     SELECT 0 AS "partition",
@@ -297,7 +408,18 @@ records AS (
         CASE WHEN k = 8 THEN '{{"object_id"=' || substr(env, 14) ELSE env END AS value
     FROM rate_envelopes
     UNION ALL
-    SELECT 1, event_id * 2, ts, env FROM tx_envelopes
+    SELECT 1, event_id * 2 + copy, ts + copy * INTERVAL 1 SECOND, env FROM tx_envelopes
+    UNION ALL
+    SELECT 2, event_id, ts, env FROM odd_messages
+),
+src_text AS (
+    SELECT {_TEXT_SQL}
+    FROM (SELECT *, CASE WHEN CAST(operation_id AS BIGINT) % {TEXT_FAULT_EVERY} = 7
+                    THEN (CAST(operation_id AS BIGINT) // {TEXT_FAULT_EVERY}) % {len(TEXT_FAULTS)} END AS fault FROM src_tx)
+),
+stg_rates_repeated AS (
+    SELECT * FROM stg_rates
     UNION ALL
-    SELECT 1, event_id * 2 + 1, ts + INTERVAL 1 SECOND, env FROM tx_envelopes WHERE event_type = 'error'
+    SELECT date_update, currency_code, currency_code_with, CAST(currency_code_div + 1 AS DECIMAL(18,6))
+    FROM stg_rates WHERE currency_code_with <> '416'
 )"""

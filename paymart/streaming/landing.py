@@ -1,57 +1,85 @@
 """Landing as a Structured Streaming query.
 
-Two forms:
-
-* ``state`` (default here): ``dropDuplicates(['object_id'])`` keeps one
-  state entry per key in the checkpoint, so a key is written once across
-  all drains; the file sink commits each micro-batch exactly once through its
-  metadata log. Which of several rows with one key in the same micro-batch
-  survives is not defined, so this form is for exact replays (the usual case:
-  a producer retry or a re-read from the earliest offset).
-* ``merge``: ``foreachBatch`` runs the batch job ``plans.jobs.land`` on each
-  micro-batch (first wins by partition and offset, anti-join against the
-  table). It survives a lost checkpoint like a unique key does. PySpark runs
-  the callback through a local callback server, so the stream start of this
-  form was not run in this repository's tests (no extra ports may be opened
-  here); the callback itself, ``micro_batch_lander``, is tested directly.
-
-A landing table is written by one form only: the stream file sink reads back
-through its ``_spark_metadata`` log and would not see batch-appended files.
+A drain has two steps:
+
+1. A stateless query appends the raw messages, with their partition and
+   offset, to an inbox. It keeps no state for ever and no key meets in one task.
+   Each inbox belongs to one checkpoint: its name is stored with it, so after a
+   lost or changed checkpoint the messages go to a new inbox, not into the log of
+   the old one, which would skip them.
+2. The batch job ``plans.jobs.land`` takes the inbox rows of the drains that
+   are not landed yet: first message per key by (partition, offset), anti-join
+   against the table. So a replay from the earliest offset lands nothing twice,
+   and nothing is lost: a drain that fails before step 2 is landed by the next.
+
+There is no callback from the JVM to Python and no time limit, unless the
+caller sets one.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from paymart.functions import day_of
-from paymart.operators.messages import decode_envelope, envelope_rejects
+from paymart.operators.changes import read_table
 from paymart.session import configure
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# A message as a topic gives it, and in the inbox.
+RECORD = T.StructType([
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("value", T.BinaryType()),
+])
+_DRAIN = T.StructType([T.StructField("drain", T.StringType())])
+_INBOX = T.StructType(RECORD.fields + _DRAIN.fields)
 
 
 def message_stream(spark: SparkSession, fmt: str, options: dict | None = None,
                    path: str | None = None, max_per_trigger: int | None = None) -> DataFrame:
     """The message source. ``fmt='kafka'`` with ``subscribe`` and
-    ``startingOffsets='earliest'`` in ``options`` on a cluster; ``fmt='text'``
-    over a directory of JSON lines in tests. Connection data comes only from
-    ``options`` and is never logged. ``max_per_trigger`` bounds a micro-batch
-    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
+    ``startingOffsets='earliest'`` in ``options`` on a cluster; ``fmt='parquet'``
+    over a directory of ``RECORD`` files, or ``fmt='text'`` over lines of
+    partition, offset and message separated by tabs. Connection data comes only
+    from ``options`` and is never logged. ``max_per_trigger`` bounds a
+    micro-batch (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
     reader = spark.readStream.format(fmt)
     if options:
         reader = reader.options(**options)
     if max_per_trigger:
         key = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
         reader = reader.option(key, str(max_per_trigger))
-    return reader.load(path) if path else reader.load()
-
-
-def landing_rows(stream: DataFrame) -> DataFrame:
-    """Decode (O10-O12, O21) and drop keys already seen (state form of O05)."""
-    rows = decode_envelope(stream).dropDuplicates(["object_id"])
-    return rows.select("object_id", "object_type", "sent_dttm", "payload",
-                       day_of("sent_dttm").alias("sent_date"))
+    if fmt == "parquet":
+        reader = reader.schema(RECORD)
+    stream = reader.load(path) if path else reader.load()
+    if fmt == "text":
+        part = F.split("value", "\t", 3)
+        return stream.select(part[0].cast("int").alias("partition"), part[1].cast("bigint").alias("offset"),
+                             F.lit(None).cast("timestamp").alias("timestamp"), part[2].cast("binary").alias("value"))
+    return stream
+
+
+def _inbox_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the checkpoint's inbox, kept beside the checkpoint's own
+    files; a new one if there is none (a first or a lost checkpoint)."""
+    path = f"{checkpoint.rstrip('/')}/inbox_name"
+    try:
+        found = spark.read.text(path).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
+    if found:
+        return found[0][0]
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return name
 
 
 def _drain(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
@@ -64,65 +92,31 @@ def _drain(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
     return q
 
 
-def reject_rows(stream: DataFrame) -> DataFrame:
-    """Messages the landing cannot keep, with a reason (O24), stream form."""
-    return envelope_rejects(stream)
-
-
-def land_stream_rejects(spark: SparkSession, stream: DataFrame, rejects_path: str, checkpoint: str,
-                        timeout_s: float | None = 1800.0) -> StreamingQuery:
-    """Keep the rejected messages of the stream (no state; its own
-    checkpoint). Written to a table of its own: a stream file sink keeps a
-    metadata log that batch writers of the same folder would bypass."""
-    configure(spark)
-    q = (reject_rows(stream).writeStream.format("parquet")
-         .option("path", rejects_path)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+def fill_inbox(spark: SparkSession, stream: DataFrame, inbox: str, checkpoint: str,
+               timeout_s: float | None = None) -> StreamingQuery:
+    """Append what is new in the source to the inbox, then end."""
+    drain = f"{uuid.uuid4().hex}"
+    q = (stream.select(*RECORD.fieldNames()).withColumn("drain", F.lit(drain))
+         .writeStream.format("parquet").option("path", inbox).option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
+         .partitionBy("drain").outputMode("append").trigger(availableNow=True).start())
     return _drain(q, timeout_s)
 
 
-def micro_batch_lander(spark: SparkSession, lake):
-    """The ``foreachBatch`` callback of the merge form: each micro-batch
-    runs the batch landing job (first wins by partition and offset, anti-join
-    against the table). An empty batch is skipped without counting it (O38);
-    a replayed batch appends nothing (O46)."""
+def land_stream(spark: SparkSession, lake, stream: DataFrame, checkpoint: str, order: Sequence[str] = ("partition", "offset"),
+                run_date=None, timeout_s: float | None = None) -> dict:
+    """Run until the source is drained, land the new messages and return
+    the landing's counters. ``checkpoint`` (O45) must be on shared storage."""
     from paymart.plans.jobs import land
 
-    def _batch(df: DataFrame, epoch_id: int) -> dict | None:
-        if df.isEmpty():
-            return None
-        return land(spark, lake, df)
-
-    return _batch
-
-
-def land_stream(spark: SparkSession, stream: DataFrame, landing_path: str, checkpoint: str,
-                mode: str = "state", timeout_s: float | None = 1800.0) -> StreamingQuery:
-    """Run until the source is drained (O43 ``availableNow``), then
-    return the finished query. ``checkpoint`` (O45) must be on shared storage,
-    e.g. below ``spark.checkpoint.dir``. Rejects are kept by
-    ``land_stream_rejects`` (state form) or by the batch job (merge form)."""
     configure(spark)
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) in (None, ""):
-        # one state entry per key for ever: keep it off the JVM heap
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-    if mode == "state":
-        writer = (landing_rows(stream).writeStream
-                  .format("parquet")
-                  .option("path", landing_path)
-                  .partitionBy("object_type", "sent_date")
-                  .outputMode("append"))
-    elif mode == "merge":
-        from paymart.plans.jobs import Lake
-
-        lake = Lake(landing_path.rstrip("/").rsplit("/", 1)[0])
-        writer = stream.writeStream.foreachBatch(micro_batch_lander(spark, lake))
-    else:
-        raise ValueError(f"mode must be 'state' or 'merge', not {mode!r}")
-    q = (writer.option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    return _drain(q, timeout_s)
+    inbox = lake.inbox(_inbox_name(spark, checkpoint))
+    fill_inbox(spark, stream, inbox, checkpoint, timeout_s)
+    rows = read_table(spark, inbox, _INBOX)
+    landed = read_table(spark, lake.landed_drains, _DRAIN)
+    # drains are folders: only the ones not landed are read
+    names = rows.select("drain").distinct().join(landed, "drain", "left_anti")
+    new = sorted(r.drain for r in names.collect())  # one name per drain since the last landing
+    out = land(spark, lake, rows.where(F.col("drain").isin(new)).select(*RECORD.fieldNames()), order, run_date)
+    if new:
+        spark.createDataFrame([(n,) for n in new], _DRAIN).write.mode("append").parquet(lake.landed_drains)
+    return out

@@ -104,7 +104,6 @@ def test_upsert_twice_equals_once(spark):
 
 def test_read_partition_and_missing_tables(spark, scratch):
     path = f"{scratch}/t"
-    assert not changes.table_exists(spark, path)
     assert changes.read_table(spark, path, spark.createDataFrame([], KV).schema).count() == 0
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1), 1), ("b", dt.date(2024, 1, 2), 2)], KV)
     changes.write_days(df, path, ["d"])
@@ -115,3 +114,33 @@ def test_read_partition_and_missing_tables(spark, scratch):
     changes.write_days(spark.createDataFrame([("c", dt.date(2024, 1, 2), 3)], KV), path, ["d"])
     assert _rows(changes.read_table(spark, path, df.schema)) == [("a", dt.date(2024, 1, 1), 1),
                                                                  ("c", dt.date(2024, 1, 2), 3)]
+
+
+def test_first_and_latest_need_a_declared_order(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    for pick in (changes.first_per_key, changes.latest_per_key):
+        for order in ([], ["arrival"]):
+            with pytest.raises(changes.MissingOrderError):
+                pick(df, ["k"], order)
+
+
+def test_upsert_never_matches_a_null_key(spark):
+    target = spark.createDataFrame([(None, 1), (2, 1)], "k int, v int")
+    source = spark.createDataFrame([(None, 9), (2, 9)], "k int, v int")
+    assert sorted(map(tuple, changes.upsert(target, source, ["k"]).collect()), key=str) == [(2, 9), (None, 1), (None, 9)]
+
+
+def test_replace_day_drops_groups_that_went(spark):
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    target = spark.createDataFrame([(d1, "a"), (d1, "b"), (d2, "a"), (None, "c")], "d date, k string")
+    source = spark.createDataFrame([(d1, "a"), (d2, "z")], "d date, k string")
+    got = changes.replace_day(target, source, "d", d1).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(d1, "a"), (d2, "a"), (None, "c")], key=str)
+
+
+def test_dedupe_rates_keeps_one_per_pair(spark):
+    from paymart.operators import quality
+    df = spark.createDataFrame([("d", "420", "416", 2), ("d", "420", "416", 1), ("d", "420", "417", 3)],
+                               "date_update string, currency_code string, currency_code_with string, currency_code_div int")
+    assert sorted(r.currency_code_div for r in quality.dedupe_rates(df).collect()) == [1, 3]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paymart.operators import mart
 from paymart.plans import jobs
 from paymart.sources import adapters as A
-from paymart.streaming.landing import land_stream, land_stream_rejects, message_stream
+from paymart.streaming.landing import land_stream, message_stream
 
 from .conftest import SF_SMALL
 
@@ -27,27 +27,70 @@ def _env(oid, ts="2024-01-05T06:00:00"):
     return f'{{"object_id":"{oid}","object_type":"CURRENCY","sent_dttm":"{ts}","payload":"{{}}"}}'
 
 
+def _send(spark, topic, messages, start=0):
+    """Lines of partition, offset and message."""
+    lines = [(f"0\t{start + i}\t{m}",) for i, m in enumerate(messages)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(topic)
+
+
+def _drain(spark, lake, topic, checkpoint, **how):
+    return land_stream(spark, lake, message_stream(spark, "text", path=topic, **how), f"{lake.root}/{checkpoint}")
+
+
+def _keys(spark, lake):
+    return sorted(r.object_id for r in lake.read_landing(spark).collect())
+
+
 def test_stream_two_drains_and_replay(spark, scratch):
-    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/landing", f"{scratch}/ckpt"
-    first = [_env("a"), _env("b"), "not json", _env("a")]
-    spark.createDataFrame([(v,) for v in first], "value string").write.mode("append").text(inbox)
-    land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
-    assert sorted(r.object_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
-    second = [_env("b"), _env("c"), _env("a")]                     # replays and one new key
-    spark.createDataFrame([(v,) for v in second], "value string").write.mode("append").text(inbox)
-    land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
-    rows = spark.read.parquet(out).collect()
-    assert sorted(r.object_id for r in rows) == ["a", "b", "c"]
-    assert {r.sent_date for r in rows} == {dt.date(2024, 1, 5)}
-    # a third drain with nothing new writes nothing
-    land_stream(spark, message_stream(spark, "text", path=inbox), out, ckpt)
-    assert spark.read.parquet(out).count() == 3
-    # rejects are kept, not dropped
-    land_stream_rejects(spark, message_stream(spark, "text", path=inbox), f"{scratch}/rejects", f"{scratch}/rckpt")
-    rej = spark.read.parquet(f"{scratch}/rejects").collect()
+    lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
+    _send(spark, topic, [_env("a"), _env("b"), "not json", _env("a", "2024-01-06T06:00:00")])
+    assert _drain(spark, lake, topic, "c1")["written"] == 2
+    _send(spark, topic, [_env("b", "2024-02-01T00:00:00"), _env("c"), _env("a")], start=4)
+    out = _drain(spark, lake, topic, "c1")
+    assert out["read"] == 3 and out["written"] == 1                # only what is new is read
+    assert _keys(spark, lake) == ["a", "b", "c"]
+    assert {r.sent_date for r in lake.read_landing(spark).collect()} == {dt.date(2024, 1, 5)}   # the first ones
+    assert _drain(spark, lake, topic, "c1")["read"] == 0           # nothing new
+    rej = lake.read_rejects(spark).collect()
     assert [(r.stage, r.reason, r.raw) for r in rej] == [("landing", "malformed_json", "not json")]
 
 
+def test_a_lost_checkpoint_loses_and_repeats_nothing(spark, scratch):
+    lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
+    _send(spark, topic, [_env("a"), _env("b"), "junk"])
+    _drain(spark, lake, topic, "c1")
+    _send(spark, topic, [_env("c"), _env("a", "2024-01-07T00:00:00"), _env("d")], start=3)
+    assert _drain(spark, lake, topic, "c2")["written"] == 2        # a fresh checkpoint reads from the start
+    assert _keys(spark, lake) == ["a", "b", "c", "d"]
+    _send(spark, topic, [_env("e")], start=6)
+    assert _drain(spark, lake, topic, "c2")["written"] == 1
+    assert lake.read_rejects(spark).count() == 1
+
+
+def test_a_drain_that_was_not_landed_is_landed_by_the_next(spark, scratch):
+    from paymart.streaming.landing import _inbox_name, fill_inbox
+    lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
+    _send(spark, topic, [_env("a")])
+    checkpoint = f"{lake.root}/c1"
+    inbox = lake.inbox(_inbox_name(spark, checkpoint))
+    fill_inbox(spark, message_stream(spark, "text", path=topic), inbox, checkpoint)   # then the job dies
+    _send(spark, topic, [_env("b")], start=1)
+    _drain(spark, lake, topic, "c1")
+    assert _keys(spark, lake) == ["a", "b"]
+
+
+def test_run_day_drains_a_stream(spark, scratch):
+    lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
+    A.kafka_records(spark, SF_SMALL).write.parquet(topic)
+    day, src = dt.date(2024, 1, 5), A.src_transactions(spark, SF_SMALL)
+    stream = lambda: message_stream(spark, "parquet", path=topic)
+    first = jobs.run_day(spark, lake, stream(), src, day, checkpoint=f"{lake.root}/c")
+    again = jobs.run_day(spark, lake, stream(), src, day, checkpoint=f"{lake.root}/c")
+    assert first["landing"]["read"] > 1000 and again["landing"]["read"] == 0
+    want = mart.global_metrics(lake.read_transactions(spark), lake.read_currencies(spark), day)
+    assert sorted(map(tuple, lake.read_mart(spark).collect())) == sorted(map(tuple, want.collect())) != []
+
+
 def test_mart_plan_broadcasts_rates_and_has_no_python(spark):
     df = mart.global_metrics(A.stg_transactions(spark, SF_SMALL), A.stg_currencies(spark, SF_SMALL))
     plan = _plan(df)
@@ -82,8 +125,8 @@ def test_transaction_extract_pushes_day_range(spark):
 
 
 def test_no_python_cartesian_or_nested_loop_in_any_registered_plan(spark):
-    import __spark_entry__ as entry
-    for name, q in entry.queries().items():
+    from paymart.plans.queries import QUERIES
+    for name, q in QUERIES.items():
         plan = _plan(q(spark, SF_SMALL))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                     "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -117,13 +160,39 @@ def test_range_form_target_is_pruned_to_touched_days(spark, scratch):
     assert "dynamicpruningexpression(business_date" in plan
 
 
-def test_stream_dedups_across_micro_batches_of_one_drain(spark, scratch):
+def test_micro_batches_of_one_drain(spark, scratch):
     """maxFilesPerTrigger=1 splits one drain into several micro-batches; a key
-    repeated in later files is still written once (state across batches)."""
-    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/landing", f"{scratch}/ckpt"
-    for keys in (["a", "b"], ["b", "c"], ["a", "c", "d"]):
-        spark.createDataFrame([(_env(k),) for k in keys], "value string").coalesce(1) \
-            .write.mode("append").text(inbox)
-    q = land_stream(spark, message_stream(spark, "text", path=inbox, max_per_trigger=1), out, ckpt)
-    assert q.lastProgress is not None
-    assert sorted(r.object_id for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+    repeated in later files is still written once."""
+    lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
+    for n, keys in enumerate((["a", "b"], ["b", "c"], ["a", "c", "d"])):
+        _send(spark, topic, [_env(k) for k in keys], start=10 * n)
+    _drain(spark, lake, topic, "c1", max_per_trigger=1)
+    assert _keys(spark, lake) == ["a", "b", "c", "d"]
+
+
+def test_parameterised_query_prunes_both_tables(spark, scratch):
+    lake = jobs.Lake(scratch)
+    jobs.run_day(spark, lake, A.kafka_records(spark, SF_SMALL), A.src_transactions(spark, SF_SMALL), dt.date(2024, 1, 5))
+    df = mart.global_metrics_sql(spark, lake.read_transactions(spark), lake.read_currencies(spark), "2024-01-05")
+    plan = _plan(df)
+    assert plan.count("= 2024-01-05)]") >= 2 and "business_date" in plan
+    want = mart.global_metrics(lake.read_transactions(spark), lake.read_currencies(spark), "2024-01-05")
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_insert_ignore_folds_once_and_joins_once(spark):
+    """Besides the fold's own shuffle, at most two more for the join."""
+    from paymart.operators import changes
+    new = spark.range(1000).selectExpr("CAST(id AS STRING) AS object_id", "id AS offset", "'p' AS payload")
+    table = spark.range(500).selectExpr("CAST(id AS STRING) AS object_id")
+    plan = _plan(changes.insert_ignore(table, new, ["object_id"], ["offset"]))
+    tree = plan[:plan.index("\n\n")]
+    assert tree.count("Exchange") <= 3 and tree.count("Join") == 1
+
+
+def test_source_reader_pushes_the_day(spark, scratch):
+    from paymart.sources.transactions import read_transactions
+    path = f"{scratch}/src"
+    A.src_transactions(spark, SF_SMALL).write.parquet(path)
+    df = read_transactions(spark, "parquet", path=path, day="2024-01-05")
+    assert "LessThan(transaction_dt,2024-01-06T00:00)" in _plan(df) and df.count() > 0

@@ -19,14 +19,16 @@ of ``WIDTH``-word runs (a shorter text has one run, all its words) is at least
 3. Identical texts are one node. In each band bucket, the nodes are verified
    (two texts side by side, exact multiset overlap) against one leader, not
    against each other: the node that meets most others in its buckets, which in
-   a family of copies is the text they were made from. Components are formed,
-   and ``ROUNDS - 1`` more rounds take a leader outside the bucket's largest
-   component.
-4. Buckets that still hold several components are finished: each node outside
-   the bucket's largest component is verified against all nodes of other
-   components in it whose numbers of runs allow the threshold. What is in one
-   component already needs no more links, so a group of very many copies does
-   not make all its pairs, and no link between components is lost.
+   a family of copies is the text they were made from. Components are formed.
+4. Buckets that still hold several components are finished without comparing
+   all their nodes. What two nodes share is shared with their leader L or not. If
+   nothing beyond L is shared, the overlaps with L bound their similarity, and
+   only pairs whose bound reaches the threshold are candidates. Else they share a
+   run beyond L, and then (prefix filter) one among the smallest hashes of what
+   each has beyond L, about a fifth of a text: an equi-join on those gives the
+   candidates. They are verified, and the components formed anew. So a group of
+   very many copies does not make all its pairs, and no link between texts that
+   share a band is lost.
 
 Results: one row per input row: the id and ``group_id``, the smallest id of its
 group (null only if all ids of the group are null). A text without words (null,
@@ -51,9 +53,8 @@ WIDTH = 5
 THRESHOLD = 0.8
 SIZE = 336
 ROWS = 7
-ROUNDS = 3
 _NODE, _T = "__near_node", "__near_text"
-_SIGNATURES = f"{_NODE} binary, size int, bands array<long>"
+_SIGNATURES = f"{_NODE} binary, bands array<long>"
 
 
 def text_node(text: Column) -> Column:
@@ -126,30 +127,19 @@ def _signatures(width: int, size: int, rows: int):
             nodes = batch.column(0)
             for begin, end, data, offsets in tx.text_slices(batch.column(1)):
                 words = tx.words_of(data, offsets)
-                n_words = np.diff(words.first)
-                have = np.flatnonzero(n_words > 0)
+                have = np.flatnonzero(np.diff(words.first) > 0)
                 if not len(have):
                     continue
-                sizes = pa.array(np.maximum(n_words[have] - width + 1, 1), type=pa.int32())
                 bands = band_hashes(bag_minhash(*bag(words, end - begin, width), end - begin, size), rows)[have]
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, bands.size + 1, bands.shape[1]), type=pa.int32()),
                     pa.array(tx.as_signed(np.ascontiguousarray(bands).reshape(-1)), type=pa.int64()))
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(have + begin)), sizes, lists],
-                                                 names=[_NODE, "size", "bands"])
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(have + begin)), lists], names=[_NODE, "bands"])
     return run
 
 
 # ----------------------------------------------------------- verification
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity of two multisets given as arrays of hashes."""
-    (x, n), (y, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = int(np.minimum(n[i], m[j]).sum())
-    return both / max(1, len(a) + len(b) - both)
-
-
 def _runs_of(text: str, width: int) -> np.ndarray:
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     words = tx.words_of(data, np.array([0, len(data)]))
@@ -159,25 +149,55 @@ def _runs_of(text: str, width: int) -> np.ndarray:
     return tx.range_hashes(words.hashes, n * 0, n) if n[0] else words.hashes
 
 
-def _linked(width: int, threshold: float):
-    @F.arrow_udf("boolean")
-    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
+def numbered(runs: np.ndarray) -> np.ndarray:
+    """The multiset as a sorted set: the k-th copy of a run is an element of its
+    own, so multiset overlap is set overlap."""
+    runs = np.sort(runs)
+    first = np.concatenate([[True], runs[1:] != runs[:-1]])[:len(runs)]
+    at = np.arange(len(runs))
+    copy = at - np.maximum.accumulate(np.where(first, at, 0)) if len(runs) else at
+    return np.sort(tx.mix(runs + copy.astype(tx.U64) * tx.U64(0xD6E8FEB86659FD93), 47))
+
+
+def compare(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[int, np.ndarray]:
+    """(overlap, prefix) of two numbered multisets. The prefix is the smallest
+    elements of ``a`` beyond ``b``: any text whose similarity to ``a`` reaches the
+    threshold and that shares anything with ``a`` beyond ``b`` has one of them
+    in its own prefix."""
+    shared = np.isin(a, b, assume_unique=True)
+    overlap = int(shared.sum())
+    beyond = a[~shared]
+    least = max(1, int(np.ceil(threshold * len(a) - 1e-9)) - overlap)
+    return overlap, beyond[:max(0, len(beyond) - least + 1)]
+
+
+_COMPARED = pa.struct([("overlap", pa.int32()), ("a_size", pa.int32()), ("b_size", pa.int32()),
+                       ("prefix", pa.list_(pa.int64()))])
+
+
+def _compared(width: int, threshold: float):
+    @F.arrow_udf("struct<overlap:int,a_size:int,b_size:int,prefix:array<long>>")
+    def compared(left: pa.Array, right: pa.Array) -> pa.Array:
         out, known, text = [], None, None
         for a, b in zip(left, right):
-            a, b = a.as_py(), b.as_py()
+            a, b = numbered(_runs_of(a.as_py(), width)), b.as_py()
             if b != text:
-                text, known = b, _runs_of(b, width)
-            out.append(weighted_jaccard(_runs_of(a, width), known) >= threshold)
-        return pa.array(out, type=pa.bool_())
-    return linked
+                text, known = b, numbered(_runs_of(b, width))
+            overlap, prefix = compare(a, known, threshold)
+            out.append({"overlap": overlap, "a_size": len(a), "b_size": len(known), "prefix": tx.as_signed(prefix)})
+        return pa.array(out, type=_COMPARED)
+    return compared
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts are near copies. Spark splits the
-    join if one node has very many partners."""
+    """The pairs (a, b) of nodes with ``overlap``, ``a_size``, ``b_size``,
+    ``prefix`` (of a beyond b) and ``linked``: whether they are near copies. Spark
+    splits the join if one node has very many partners."""
     left, right = (texts.select(F.col(_NODE).alias(x), F.col(_T).alias(f"{x}_text")) for x in "ab")
-    return (pairs.join(left, "a").join(right, "b")
-            .where(_linked(width, threshold)("a_text", "b_text")).select("a", "b"))
+    found = (pairs.join(left, "a").join(right, "b")
+             .select("a", "b", _compared(width, threshold)("a_text", "b_text").alias("c")).select("a", "b", "c.*"))
+    union = F.col("a_size") + F.col("b_size") - F.col("overlap")
+    return found.withColumn("linked", F.col("overlap") >= F.lit(threshold) * union)
 
 
 # ------------------------------------------------------------------ groups
@@ -189,63 +209,75 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _buckets(texts: DataFrame, width: int, size: int, rows: int) -> DataFrame:
-    """(band, node, size, degree) of the nodes that share a band with others;
-    ``degree``: nodes in all buckets of the node."""
+    """(band, node, leader) of the nodes that share a band with others. The
+    leader has the most nodes in all its buckets."""
     bands = texts.mapInArrow(_signatures(width, size, rows), _SIGNATURES)
     entries = (_stored(bands.dropDuplicates([_NODE]), "near-bands")
-               .select(F.explode("bands").alias("band"), _NODE, "size"))
+               .select(F.explode("bands").alias("band"), _NODE))
     many = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = _stored(entries.join(many, "band"), "near-shared")
     degree = shared.groupBy(_NODE).agg(F.sum("n").alias("degree"))
-    return _stored(shared.drop("n").join(degree, _NODE), "near-buckets")
+    shared = _stored(shared.drop("n").join(degree, _NODE), "near-degrees")
+    leaders = (shared.groupBy("band").agg(F.max(F.struct("degree", _NODE)).alias("lead"))
+               .select("band", F.col(f"lead.{_NODE}").alias("leader")))
+    return _stored(shared.join(leaders, "band").select("band", _NODE, "leader"), "near-buckets")
 
 
-def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries of the buckets with several components, with the entry's label
-    and the label of the bucket's largest component (``top``)."""
+def _open_entries(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, other (the leader), label, is_rest) of the buckets with several
+    components; ``is_rest``: outside a bucket's largest component."""
     member = (buckets.join(labels.withColumnRenamed("node", _NODE), _NODE, "left")
               .withColumn("label", F.coalesce("label", _NODE)))
     sizes = member.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").select("band", F.col("top.label").alias("top")))
-    return member.join(largest, "band")
+    return (member.join(largest, "band").where(F.col(_NODE) != F.col("leader"))
+            .groupBy(F.col(_NODE).alias("a"), F.col("leader").alias("b"))
+            .agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("top")).alias("is_rest")))
+
+
+def _candidates(entries: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may be linked, from
+    entries (a, b (the leader), label, is_rest, overlap, a_size, prefix)."""
+    x = entries.where("is_rest").select("b", F.col("a").alias("x"), F.col("label").alias("x_label"),
+                                        F.col("overlap").alias("x_overlap"), F.col("a_size").alias("x_size"),
+                                        F.col("prefix").alias("x_prefix"))
+    y = entries.select("b", F.col("a").alias("y"), F.col("label").alias("y_label"), F.col("is_rest").alias("y_rest"),
+                       F.col("overlap").alias("y_overlap"), F.col("a_size").alias("y_size"), F.col("prefix").alias("y_prefix"))
+    both = F.col("x_size") + F.col("y_size")
+    need = F.lit(threshold / (1 + threshold) - 1e-9)
+    apart = ((F.col("x_label") != F.col("y_label")) & (~F.col("y_rest") | (F.col("x") < F.col("y")))
+             & (F.least("x_size", "y_size") >= F.lit(threshold - 1e-9) * F.greatest("x_size", "y_size")))
+    # nothing shared beyond the leader: the overlaps with it bound the similarity.
+    # A text this close to another is nearly inside the leader itself
+    inner = lambda p: F.col(f"{p}_overlap") >= F.lit(threshold - 1e-9) * F.col(f"{p}_size")
+    bound = (x.where(inner("x")).drop("x_prefix").join(y.where(inner("y")).drop("y_prefix"), "b")
+             .where(apart & (F.least("x_overlap", "y_overlap") >= need * both)))
+    # something shared beyond it
+    shared = (x.withColumn("run", F.explode("x_prefix")).join(y.withColumn("run", F.explode("y_prefix")), ["b", "run"])
+              .where(apart))
+    pairs = bound.select("x", "y").unionByName(shared.select("x", "y"))
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def near_components(base: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, size: int = SIZE,
-                    rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+                    rows: int = ROWS) -> DataFrame:
     """(node, label) for every text with a near copy other than itself."""
     texts = base.select(_NODE, _T)
     buckets = _buckets(texts, width, size, rows)
     nodes = buckets.select(_NODE).distinct()
     wanted = _stored(texts.join(nodes, _NODE, "left_semi").dropDuplicates([_NODE]), "near-texts")
-    open_ = buckets.withColumns({"label": F.col(_NODE), "top": F.lit(None).cast("binary")})
-    allowed = F.least("size", "other_size") >= threshold * F.greatest("size", "other_size")
-    links = labels = tried = None
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            outside = F.col("top").isNull() | (F.col("label") != F.col("top"))
-            leaders = (open_.where(outside).groupBy("band")
-                       .agg(F.max(F.struct("degree", _NODE, "label", "size")).alias("lead"))
-                       .select("band", F.col(f"lead.{_NODE}").alias("other"), F.col("lead.label").alias("other_label"),
-                               F.col("lead.size").alias("other_size")))
-            pairs = open_.join(leaders, "band").where((F.col("label") != F.col("other_label")) & allowed)
-        else:  # whoever is left, against all other components of the bucket
-            rest = (open_.where("label <> top").select("band", F.col(_NODE).alias("other"),
-                    F.col("label").alias("other_label"), F.col("size").alias("other_size")))
-            once = (F.col("label") == F.col("top")) | (F.col(_NODE) < F.col("other"))
-            pairs = open_.join(rest, "band").where((F.col("label") != F.col("other_label")) & allowed & once)
-        pairs = pairs.select(F.greatest(_NODE, "other").alias("a"), F.least(_NODE, "other").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = _stored(pairs, "near-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = _stored(verified(pairs, wanted, width, threshold), "near-links")
-        links = found if links is None else links.unionByName(found)
-        if labels is None or not found.isEmpty():
-            labels = connected_components(links)
-        if turn < rounds:
-            open_ = _stored(_open_buckets(buckets, labels), "near-open")
-    return labels
+    star = (buckets.where(F.col(_NODE) != F.col("leader"))
+            .select(F.col(_NODE).alias("a"), F.col("leader").alias("b")).distinct())
+    tried = _stored(verified(star, wanted, width, threshold), "near-star")
+    links = tried.where("linked").select("a", "b")
+    labels = connected_components(links)
+    entries = _open_entries(buckets, labels).join(tried, ["a", "b"])
+    pairs = _stored(_candidates(entries, threshold), "near-pairs")
+    more = _stored(verified(pairs, wanted, width, threshold).where("linked").select("a", "b"), "near-links")
+    if more.isEmpty():
+        return labels
+    return connected_components(links.unionByName(more))
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:

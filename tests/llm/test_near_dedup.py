@@ -8,7 +8,7 @@ import pytest
 
 from paymart.llm import textops as tx
 from paymart.llm.components import connected_components
-from paymart.llm.near_dedup import bag, bag_minhash, keep_one_per_group, near_groups
+from paymart.llm.near_dedup import bag, bag_minhash, compare, keep_one_per_group, near_groups, numbered
 
 
 def multiset(text, width=5):
@@ -78,6 +78,54 @@ def test_chain_is_one_group(spark):
     assert got == brute_groups(rows)
 
 
+def test_families_with_far_members(spark):
+    """Families in which many members are not linked to the text they were made
+    from, but some to each other; truncated members; a passage in all texts."""
+    rnd = random.Random(9)
+    word = lambda: "w%d" % rnd.randint(0, 10**6)
+    common = [word() for _ in range(25)]
+    rows = []
+    for _ in range(3):
+        base = [word() for _ in range(140)]
+        for _ in range(28):
+            words = list(base)
+            for _ in range(rnd.randint(0, 9)):
+                words[rnd.randrange(len(words))] = word()
+            if rnd.random() < 0.3:
+                words = words[:rnd.randint(100, 140)]
+            rows.append(words + (common if rnd.random() < 0.5 else []))
+            if rnd.random() < 0.5:
+                again = list(rows[-1])
+                again[rnd.randrange(len(again))] = word()
+                rows.append(again)
+    rows += [common + [word() for _ in range(60)] for _ in range(30)]
+    rnd.shuffle(rows)
+    rows = list(enumerate(" ".join(r) for r in rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.group_id) for r in near_groups(df).collect()), key=str)
+    assert got == brute_groups(rows)
+
+
+def test_prefixes_meet():
+    """Sets that are similar enough and share something beyond a third one have
+    prefixes that meet."""
+    rnd = np.random.default_rng(3)
+    met = 0
+    for _ in range(3000):
+        third = numbered(rnd.integers(0, 60, 30).astype(np.uint64))
+        a = rnd.integers(0, 60, 30).astype(np.uint64)
+        b = a.copy()
+        b[rnd.integers(0, 30, rnd.integers(0, 5))] = rnd.integers(0, 60)
+        a, b = numbered(a), numbered(b[:rnd.integers(24, 31)])
+        shared = len(np.intersect1d(a, b))
+        if shared / (len(a) + len(b) - shared) < 0.8 or not len(np.setdiff1d(np.intersect1d(a, b), third)):
+            continue
+        met += 1
+        assert len(np.intersect1d(compare(a, third, 0.8)[1], compare(b, third, 0.8)[1]))
+    assert met > 500
+    assert numbered(np.zeros(0, dtype=np.uint64)).tolist() == [] and len(set(numbered(np.zeros(5, dtype=np.uint64)).tolist())) == 5
+
+
 def test_signature_is_unbiased():
     rnd = random.Random(4)
     pairs = []

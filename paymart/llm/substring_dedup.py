@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from paymart.llm import textops as tx
 from paymart.llm.suffix_automaton import SuffixAutomaton
-from paymart.session import work_dir
+from paymart.session import stored_once
 
 WIDTH = 35
 ANCHOR = 12
@@ -54,7 +54,7 @@ ALL, SHARD, SINGLE = 0, 1, 2
 
 _RUNS = f"m long, {_K} long, {_N} int, s int, w int, h long, twice boolean"
 _SEGMENTS = f"m long, {_K} long, {_N} int, s int, words binary"
-_WINDOWS = f"h1 long, h2 long, {_K} long, {_N} int, s int"
+_WINDOWS = f"h1 long, h2 long, {_K} long, {_N} int, starts array<int>"
 _FOUND = f"{_K} long, {_N} int, a int, b int"
 
 
@@ -180,8 +180,15 @@ def _windows(width: int):
             words = tx.words_of(data, np.array([0, len(data)]))
             at = np.concatenate([np.arange(x["s"], x["s"] + x["w"]) for x in runs])
             h1, h2 = (tx.as_signed(tx.range_hashes(words.hashes, at, at + width, seed)) for seed in (11, 13))
-            yield _batch({"h1": (h1, pa.int64()), "h2": (h2, pa.int64()), _K: (np.full(len(at), k), pa.int64()),
-                          _N: (np.full(len(at), n), pa.int32()), "s": (at, pa.int32())})
+            # one row per distinct window of the text, with its places
+            order = np.lexsort((at, h2, h1))
+            h1, h2, at = h1[order], h2[order], at[order]
+            first = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
+            starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), type=pa.int32()),
+                                              pa.array(at, type=pa.int32()))
+            m = len(first)
+            yield _batch({"h1": (h1[first], pa.int64()), "h2": (h2[first], pa.int64()), _K: (np.full(m, k), pa.int64()),
+                          _N: (np.full(m, n), pa.int32()), "starts": (starts, pa.list_(pa.int32()))})
     return run
 
 
@@ -193,34 +200,35 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def run_marks(base: DataFrame, width: int, anchor: int, hot: int) -> DataFrame:
     """Per text key, its runs whose anchor is not alone: (s, w, mode, m)."""
-    spark = base.sparkSession
-    path = work_dir(spark, "substring-runs")
-    base.select(_K, _N, _T).mapInArrow(_runs(width, anchor), _RUNS).write.parquet(path)
-    runs = spark.read.schema(_RUNS).parquet(path)
+    runs = stored_once(base.select(_K, _N, _T).mapInArrow(_runs(width, anchor), _RUNS), "substring-runs")
     anchors = (runs.groupBy("m")
                .agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice"),
                     F.min("h").alias("lo"), F.max("h").alias("hi"))
                .where((F.col("n") > 1) | F.col("twice"))
                .select("m", F.when((F.col("n") > 1) & (F.col("lo") == F.col("hi")), F.lit(ALL))
                        .when(F.col("n") > hot, F.lit(SINGLE)).otherwise(F.lit(SHARD)).alias("mode")))
+    anchors = stored_once(anchors, "substring-anchors")
     marks = (runs.join(anchors, "m").groupBy(*_KEY)
              .agg(F.collect_set(F.struct("s", "w", "mode", "m")).alias("marks")))
-    at = work_dir(spark, "substring-marks")
-    marks.write.parquet(at)
-    return spark.read.schema(marks.schema).parquet(at)
+    return stored_once(marks, "substring-marks")
 
 
 def repeated_windows(base: DataFrame, marks: DataFrame, width: int) -> DataFrame:
     """Per text key, the ranges of starts of its repeated windows that the
     marks leave open: by the shards' automata, or by 128-bit hashes."""
-    def joined(mode: int) -> DataFrame:
-        return base.join(marks.where(F.exists("marks", lambda x: x["mode"] == mode)), _KEY)
+    def of(mode: int) -> DataFrame:
+        return marks.select(*_KEY, F.filter("marks", lambda x: x["mode"] == mode).alias("marks")).where("size(marks) > 0")
 
-    by_shard = (joined(SHARD).mapInArrow(_segments(width), _SEGMENTS)
+    by_shard = (base.join(of(SHARD), _KEY).mapInArrow(_segments(width), _SEGMENTS)
                 .repartition("m").sortWithinPartitions("m").mapInArrow(_match(width), _FOUND))
-    windows = joined(SINGLE).mapInArrow(_windows(width), _WINDOWS)
-    often = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    by_window = windows.join(often, ["h1", "h2"]).select(*_KEY, F.col("s").alias("a"), (F.col("s") + 1).alias("b"))
+    # both sides of the join are stored, so each has a shuffle of its own that
+    # Spark can split where a window is in very many texts
+    single = stored_once(of(SINGLE), "substring-single")  # small as a rule: Spark may broadcast it
+    windows = stored_once(base.join(single, _KEY).mapInArrow(_windows(width), _WINDOWS), "substring-windows")
+    often = stored_once(windows.groupBy("h1", "h2").agg(F.sum(F.size("starts")).alias("n")).where("n > 1").drop("n"),
+                        "substring-often")
+    by_window = (windows.join(often, ["h1", "h2"]).select(*_KEY, F.explode("starts").alias("a"))
+                 .withColumn("b", F.col("a") + 1))
     return by_shard.unionByName(by_window).groupBy(*_KEY).agg(F.collect_set(F.struct("a", "b")).alias("found"))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm import let_workers_import
 from paymart.llm.decontamination import judge_documents
 from paymart.llm.near_dedup import keep_one_per_group
 from paymart.llm.quality_classifier import classify_quality
@@ -21,18 +22,21 @@ from paymart.session import work_dir
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
+    let_workers_import(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classify_quality(docs, labels).where("kept").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    let_workers_import(spark)
     return keep_one_per_group(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated passages. Texts without any stay as they
     are; of the others the kept words, joined by one space, and their length."""
+    let_workers_import(spark)
     cut = dedup_substrings(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     length = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
@@ -41,12 +45,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    let_workers_import(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return judge_documents(docs, benchmark).where("NOT contaminated").select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of the documents in the target mix of sources, shuffled."""
+    let_workers_import(spark)
     return mix_sources(docs)
 
 

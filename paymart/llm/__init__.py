@@ -3,3 +3,19 @@
 Nothing outside this subpackage (and ``corpus_pipeline.py``, which belongs to
 it) imports it; the rest of the library works without it.
 """
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Have Python workers look for this package where the driver found it (a
+    shared or equal path; a package deployed with the job is found anyway)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])

@@ -8,19 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paymart.llm import let_workers_import
 from paymart.llm.decontamination import judge_documents
 from paymart.llm.language_id import identify_languages
 from paymart.llm.lm_scoring import score_documents
 from paymart.llm.near_dedup import near_groups
 from paymart.llm.quality_classifier import classify_quality
 from paymart.llm.quality_rules import judge_quality
-from paymart.llm.source_mixing import mix_sources, oracle_sql as mixing_sql
+from paymart.llm.source_mixing import mix_sources
+from paymart.llm.source_mixing import oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
-from paymart.llm.url_filter import judge_urls, oracle_sql as url_sql, rule_table
+from paymart.llm.url_filter import judge_urls, rule_table
+from paymart.llm.url_filter import oracle_sql as url_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -71,15 +75,15 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
-    "op7_token_counts": op7_token_counts,
-    "op6_url_filter": op6_url_filter,
-    "op10_source_mixing": op10_source_mixing,
-    "op5_minhash_near_dedup": op5_minhash_near_dedup,
-    "op4_quality_rules": op4_quality_rules,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_language_id": op3_language_id,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_url_filter": op6_url_filter,
+    "op7_token_counts": op7_token_counts,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
-    "op2_lm_scoring": op2_lm_scoring,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

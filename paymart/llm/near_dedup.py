@@ -26,7 +26,10 @@ of ``WIDTH``-word runs (a shorter text has one run, all its words) is at least
    only pairs whose bound reaches the threshold are candidates. Else they share a
    run beyond L, and then (prefix filter) one among the smallest hashes of what
    each has beyond L, about a fifth of a text: an equi-join on those gives the
-   candidates. They are verified, and the components formed anew. So a group of
+   candidates. Parity sketches of ``SKETCH`` bits, which never differ in more bits
+   than the multisets do in elements, pass over pairs that are too far apart
+   (texts that merely share two common passages). The rest is verified, and the
+   components formed anew. So a group of
    very many copies does not make all its pairs, and no link between texts that
    share a band is lost.
 
@@ -53,6 +56,7 @@ WIDTH = 5
 THRESHOLD = 0.8
 SIZE = 336
 ROWS = 7
+SKETCH = 1024
 _NODE, _T = "__near_node", "__near_text"
 _SIGNATURES = f"{_NODE} binary, bands array<long>"
 
@@ -159,6 +163,13 @@ def numbered(runs: np.ndarray) -> np.ndarray:
     return np.sort(tx.mix(runs + copy.astype(tx.U64) * tx.U64(0xD6E8FEB86659FD93), 47))
 
 
+def parity_sketch(elements: np.ndarray) -> np.ndarray:
+    """``SKETCH`` bits; each element flips one. The bits in which two sketches
+    differ are never more than the elements in only one of the sets."""
+    flips = np.bincount((elements >> tx.U64(17)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def compare(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[int, np.ndarray]:
     """(overlap, prefix) of two numbered multisets. The prefix is the smallest
     elements of ``a`` beyond ``b``: any text whose similarity to ``a`` reaches the
@@ -172,11 +183,11 @@ def compare(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[int, np.nda
 
 
 _COMPARED = pa.struct([("overlap", pa.int32()), ("a_size", pa.int32()), ("b_size", pa.int32()),
-                       ("prefix", pa.list_(pa.int64()))])
+                       ("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
 
 def _compared(width: int, threshold: float):
-    @F.arrow_udf("struct<overlap:int,a_size:int,b_size:int,prefix:array<long>>")
+    @F.arrow_udf("struct<overlap:int,a_size:int,b_size:int,prefix:array<long>,sketch:array<long>>")
     def compared(left: pa.Array, right: pa.Array) -> pa.Array:
         out, known, text = [], None, None
         for a, b in zip(left, right):
@@ -184,14 +195,15 @@ def _compared(width: int, threshold: float):
             if b != text:
                 text, known = b, numbered(_runs_of(b, width))
             overlap, prefix = compare(a, known, threshold)
-            out.append({"overlap": overlap, "a_size": len(a), "b_size": len(known), "prefix": tx.as_signed(prefix)})
+            out.append({"overlap": overlap, "a_size": len(a), "b_size": len(known), "prefix": tx.as_signed(prefix),
+                        "sketch": parity_sketch(a)})
         return pa.array(out, type=_COMPARED)
     return compared
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes with ``overlap``, ``a_size``, ``b_size``,
-    ``prefix`` (of a beyond b) and ``linked``: whether they are near copies. Spark
+    """The pairs (a, b) of nodes with ``overlap``, ``a_size``, ``b_size``, ``prefix``
+    (of a beyond b), ``sketch`` (of a) and ``linked``: whether they are near copies. Spark
     splits the join if one node has very many partners."""
     left, right = (texts.select(F.col(_NODE).alias(x), F.col(_T).alias(f"{x}_text")) for x in "ab")
     found = (pairs.join(left, "a").join(right, "b")
@@ -241,13 +253,17 @@ def _candidates(entries: DataFrame, threshold: float) -> DataFrame:
     entries (a, b (the leader), label, is_rest, overlap, a_size, prefix)."""
     x = entries.where("is_rest").select("b", F.col("a").alias("x"), F.col("label").alias("x_label"),
                                         F.col("overlap").alias("x_overlap"), F.col("a_size").alias("x_size"),
-                                        F.col("prefix").alias("x_prefix"))
+                                        F.col("prefix").alias("x_prefix"), F.col("sketch").alias("x_sketch"))
     y = entries.select("b", F.col("a").alias("y"), F.col("label").alias("y_label"), F.col("is_rest").alias("y_rest"),
-                       F.col("overlap").alias("y_overlap"), F.col("a_size").alias("y_size"), F.col("prefix").alias("y_prefix"))
+                       F.col("overlap").alias("y_overlap"), F.col("a_size").alias("y_size"), F.col("prefix").alias("y_prefix"),
+                       F.col("sketch").alias("y_sketch"))
     both = F.col("x_size") + F.col("y_size")
     need = F.lit(threshold / (1 + threshold) - 1e-9)
     apart = ((F.col("x_label") != F.col("y_label")) & (~F.col("y_rest") | (F.col("x") < F.col("y")))
              & (F.least("x_size", "y_size") >= F.lit(threshold - 1e-9) * F.greatest("x_size", "y_size")))
+    # elements in only one of them: at least the bits in which the sketches differ
+    differ = sum(F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("y_sketch")[i])) for i in range(SKETCH // 64))
+    apart &= differ <= both * F.lit((1 - threshold) / (1 + threshold) + 1e-9)
     # nothing shared beyond the leader: the overlaps with it bound the similarity.
     # A text this close to another is nearly inside the leader itself
     inner = lambda p: F.col(f"{p}_overlap") >= F.lit(threshold - 1e-9) * F.col(f"{p}_size")

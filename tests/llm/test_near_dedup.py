@@ -8,7 +8,7 @@ import pytest
 
 from paymart.llm import textops as tx
 from paymart.llm.components import connected_components
-from paymart.llm.near_dedup import bag, bag_minhash, compare, keep_one_per_group, near_groups, numbered
+from paymart.llm.near_dedup import bag, bag_minhash, compare, keep_one_per_group, near_groups, numbered, parity_sketch
 
 
 def multiset(text, width=5):
@@ -126,6 +126,14 @@ def test_prefixes_meet():
     assert numbered(np.zeros(0, dtype=np.uint64)).tolist() == [] and len(set(numbered(np.zeros(5, dtype=np.uint64)).tolist())) == 5
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    rnd = np.random.default_rng(5)
+    for n in (0, 1, 20, 400, 5000):
+        a, b = (numbered(rnd.integers(0, 2 * n + 1, n).astype(np.uint64)) for _ in range(2))
+        bits = sum(int(x).bit_count() for x in (parity_sketch(a) ^ parity_sketch(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) and len(parity_sketch(a)) == 16
+
+
 def test_signature_is_unbiased():
     rnd = random.Random(4)
     pairs = []

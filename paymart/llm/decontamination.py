@@ -6,9 +6,10 @@ benchmark item becomes a template, and the same question with other numbers,
 names or units has the same one. What the placeholders stand for is kept as the
 window's slot values.
 
-1. Every window of ``WIDTH`` canonical words of every item (an item with fewer:
-   one window of all its words) with at least ``min(LITERALS, its words)`` plain
-   words is hashed. The distinct hashes are few against the corpus, but nothing
+1. Every window of ``WIDTH`` words of every item (an item with fewer: one window of
+   all its words) is hashed in two forms: its canonical words, if at least
+   ``min(LITERALS, its words)`` of them are plain, and the words as they are in any
+   case, so a copy in capitals or small letters is found too. The distinct hashes are few against the corpus, but nothing
    bounds a benchmark: they are taken in blocks of at most ``BLOCK`` hashes, and
    each block is broadcast (8 MB) to a pass over the texts that keeps the
    windows whose hash is in it.
@@ -18,8 +19,9 @@ window's slot values.
 3. Slot consistency: a slot value of the item must stand for one value in the
    text wherever it occurs in a run of matched windows on one diagonal, with no
    more exceptions than ``SLACK`` of its slots.
-4. A text is contaminated by an item if consistent windows cover at least
-   ``COVER`` of the item's windows.
+4. A window is hit if its case-blind form matches or its template does and is
+   consistent. A text is contaminated by an item if the hit windows are at least
+   ``COVER`` of the item's windows, or of those that have a template.
 
 Results: ``find_contamination`` gives one row per (id, item_id) with ``cover``;
 ``judge_documents`` one row per input row, all its columns (clashing names
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm import textops as tx
@@ -89,40 +91,58 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[tx.Words, np.ndarr
     return words, form, number | name | unit
 
 
-def template_windows(data: np.ndarray, offsets: np.ndarray, width: int, short: bool) -> tuple[np.ndarray, ...]:
-    """(text, first word, words, hash) of the windows that have enough plain
-    words; ``short``: also one window for each text of fewer words."""
+def case_blind(texts: pa.Array, words: tx.Words) -> np.ndarray:
+    """Hash of each word in any case: full Unicode folding, no placeholders.
+    ``texts``: the rows that ``words`` are of."""
+    if not (words.data >= 0x80).any():
+        return words.hashes
+    folded = pa.array([(t or "").casefold() for t in texts.to_pylist()], type=pa.large_string())
+    (_, _, data, offsets), = tx.text_slices(folded, limit=1 << 62)
+    solid = ~_DROP[data]
+    sums = np.concatenate([[0], np.cumsum(solid)])
+    return tx.words_of(data[solid], sums[offsets]).hashes
+
+
+def _hashes(forms: np.ndarray, size: int, at: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of the ``size`` words from each ``at`` on."""
+    return tx.mix(tx.window_hashes(forms, size)[at], seed)
+
+
+def windows_of(texts: pa.Array, data: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...],
+               short: int = 0) -> Iterator[tuple[np.ndarray, ...]]:
+    """(words, first word of each window, its size, hashes, which have enough plain
+    words, which words are slots) for each size and form: the template form of the
+    windows with enough plain words, then the case-blind form of all, which has no
+    slots (None). ``short``: also one window for each text of fewer words."""
     words, form, slot = canonical(data, offsets)
+    folded = case_blind(texts, words)
     plain = np.concatenate([[0], np.cumsum(~slot)])
-    at = np.flatnonzero(tx.inside(words, width))
-    at = at[plain[at + width] - plain[at] >= min(LITERALS, width)]
-    text, size = words.text[at], np.full(len(at), width)
-    hashes = tx.window_hashes(form, width)[at]
+    spans = [(n, np.flatnonzero(tx.inside(words, n))) for n in sizes]
     if short:
-        n = np.diff(words.first)
-        few = np.flatnonzero((n > 0) & (n < width))
-        begin, end = words.first[few], words.first[few + 1]
-        use = plain[end] - plain[begin] >= np.minimum(LITERALS, n[few])
-        few, begin, end = few[use], begin[use], end[use]
-        text, size = np.concatenate([text, few]), np.concatenate([size, end - begin])
-        hashes = np.concatenate([hashes, tx.mix(tx.range_hashes(form, begin, end), 41)])
-        at = np.concatenate([at, begin])
-    return text, at, size, hashes, words, slot
-
-
-def _slots(words: tx.Words, slot: np.ndarray, at: int, size: int) -> list[int]:
+        count = np.diff(words.first)
+        spans += [(int(n), words.first[:-1][count == n]) for n in np.unique(count) if 0 < n < short]
+    for n, at in spans:
+        enough = plain[at + n] - plain[at] >= min(LITERALS, n)
+        lit = at[enough]
+        yield words, lit, n, _hashes(form, n, lit, n), np.ones(len(lit), dtype=bool), slot
+        yield words, at, n, _hashes(folded, n, at, -n), enough, None
+
+
+def _slots(words: tx.Words, slot: np.ndarray | None, at: int, size: int) -> list[int] | None:
     """The slot values of a window, in order; plain words are no part."""
+    if slot is None:
+        return None
     inside = slice(at, at + size)
     return tx.as_signed(words.hashes[inside][slot[inside]]).tolist()
 
 
-_WINDOW = "h long, {key} long, at int, size int, slots array<long>"
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+_WINDOW = "h long, {key} long, at int, size int, lit boolean, slots array<long>"
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64())]
 
 
 def _emit(key: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), _TYPES)],
-                                      names=["h", key, "at", "size", "slots"])
+                                      names=["h", key, "at", "size", "lit", "slots"])
 
 
 def _scan(key: str, width: int, wanted=None, sizes: tuple[int, ...] = ()):
@@ -131,20 +151,19 @@ def _scan(key: str, width: int, wanted=None, sizes: tuple[int, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
-            for begin, _, data, offsets in tx.text_slices(batch.column(1)):
+            for begin, end, data, offsets in tx.text_slices(batch.column(1)):
                 rows: list[tuple] = []
-                for n in (width, *sizes):
-                    text, at, size, hashes, words, slot = template_windows(data, offsets, n, wanted is None)
-                    if n < width:
-                        hashes = tx.mix(tx.range_hashes(canonical(data, offsets)[1], at, at + n), 41)
+                texts = batch.column(1).slice(begin, end - begin)
+                for words, at, size, hashes, lit, slot in windows_of(texts, data, offsets, (width, *sizes),
+                                                                     width if wanted is None else 0):
                     if wanted is not None:
                         known = wanted.value
                         place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                         keep = np.flatnonzero(known[place] == hashes)
-                        text, at, size, hashes = text[keep], at[keep], size[keep], hashes[keep]
-                    signed = tx.as_signed(hashes)
-                    rows += [(int(h), keys[begin + int(t)].as_py(), int(a - words.first[t]), int(k),
-                              _slots(words, slot, int(a), int(k))) for h, t, a, k in zip(signed, text, at, size)]
+                        at, hashes, lit = at[keep], hashes[keep], lit[keep]
+                    rows += [(int(h), keys[begin + int(t)].as_py(), int(a - words.first[t]), size, bool(x),
+                              _slots(words, slot, int(a), size))
+                             for h, t, a, x in zip(tx.as_signed(hashes), words.text[at], at, lit)]
                 if rows:
                     yield _emit(key, rows)
     return run
@@ -180,25 +199,34 @@ def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     return _stored(out, "bench-windows")
 
 
+def _lit_windows(name: str) -> Column:
+    """How many windows have enough plain words for a template."""
+    return F.countDistinct(F.when(F.col("lit"), F.struct("at", "size"))).alias(name)
+
+
 def find_contamination(texts: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover: float = COVER,
                        slack: float = SLACK, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(key, item_id, cover) of contaminated texts; ``texts`` has (key, text)."""
     items = _stored(benchmark.where(F.col(text).isNotNull() & F.col(item_id).isNotNull())
                     .select(F.col(item_id).cast("long").alias("item_id"), text)
                     .mapInArrow(_scan("item_id", width), _WINDOW.format(key="item_id")), "bench-items")
-    total = items.groupBy("item_id").agg(F.countDistinct("at", "size").alias("windows"))
-    ours = _matches(texts, items, width).withColumnsRenamed({"at": "t_at", "slots": "t_slots"})
-    pairs = (ours.join(items, ["h", "size"])
-             .withColumn("diagonal", F.col("t_at") - F.col("at")).where(F.size("slots") == F.size("t_slots")))
+    total = items.groupBy("item_id").agg(F.countDistinct("at", "size").alias("windows"), _lit_windows("lit_windows"))
+    ours = _matches(texts, items, width).drop("lit").withColumnsRenamed({"at": "t_at", "slots": "t_slots"})
+    pairs = (ours.join(items, ["h", "size"]).withColumn("diagonal", F.col("t_at") - F.col("at"))
+             .where(F.col("slots").isNull() | (F.size("slots") == F.size("t_slots"))))
     # one value in the text for each slot value of the item, per diagonal
     on = [_KEY, "item_id", "diagonal"]
     slots = (pairs.select(*on, F.explode(F.arrays_zip("slots", "t_slots")).alias("s"))
              .groupBy(*on, F.col("s.slots").alias("slot"))
              .agg((F.min("s.t_slots") != F.max("s.t_slots")).alias("clash"))
              .groupBy(*on).agg(F.avg(F.col("clash").cast("int")).alias("clashes")))
-    good = (pairs.join(slots, on, "left").where(F.coalesce("clashes", F.lit(0.0)) <= slack))
-    return (good.groupBy(_KEY, "item_id").agg(F.countDistinct("at", "size").alias("hit"))
-            .join(total, "item_id").withColumn("cover", F.col("hit") / F.col("windows"))
+    good = (pairs.join(slots, on, "left")
+            .where(F.col("slots").isNull() | (F.coalesce("clashes", F.lit(0.0)) <= slack)))
+    # of all windows or of those with a template (a text in the item's own case
+    # matches both, one with other values the latter only); null without any
+    shares = [F.col("hit") / F.col("windows"), F.try_divide("lit_hit", "lit_windows")]
+    return (good.groupBy(_KEY, "item_id").agg(F.countDistinct("at", "size").alias("hit"), _lit_windows("lit_hit"))
+            .join(total, "item_id").withColumn("cover", F.greatest(*shares))
             .where(F.col("cover") >= cover).select(_KEY, "item_id", "cover"))
 
 

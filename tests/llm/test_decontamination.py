@@ -50,3 +50,19 @@ def test_short_items_long_texts_and_blocks(spark, monkeypatch):
 def test_empty_tables(spark):
     assert judged(spark, [], [(1, "a b c d e f g h i")]) == {}
     assert judged(spark, ["a b c d e f g h i"], []) == {0: (False, [])}
+
+
+def test_copies_in_another_case(spark):
+    item = "If Alice buys 12 apples and 7 pears for 12 dollars each then how many dollars does Alice spend in total today"
+    names = "Ann Bob Carl Dora Émile Straße Gil Hanna In 1999 And 2001 Met Iris Jon"
+    items = [(5, item), (8, names)]
+    texts = [t for x in (item, names) for t in (x.upper(), x.lower(), f"so, {x.upper()}! and more", x.swapcase())]
+    got = judged(spark, texts + ["if alice buys pears"], items)
+    assert [got[i] for i in range(9)] == [(True, [5])] * 4 + [(True, [8])] * 4 + [(False, [])]
+
+
+def test_planted_passages_in_capitals(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id IN (1699, 6420, 8376)")
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    got = {r.doc_id: r["items"] for r in judge_documents(docs.select("doc_id", "text"), bench).collect()}
+    assert got == {1699: [130], 6420: [37], 8376: [101]}

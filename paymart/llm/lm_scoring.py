@@ -4,14 +4,19 @@ A small network predicts every word of a text from the ``WINDOW`` words on both
 of its sides; the sum of the conditional log-probabilities of all words is the
 text's score.
 
-* Vocabulary: words are counted over the whole corpus (folded per Arrow batch
-  and per task). The ``TOP`` most frequent words are tokens of their own; all
-  others share the remaining tokens by hash. So the table that goes to the
-  driver and to the tasks has a fixed size.
+* Vocabulary: every word of the corpus with its count (folded per Arrow batch and
+  per task), a stored table that grows with the corpus. The ``TOP`` most frequent
+  words are tokens of their own; all others share the remaining tokens by hash.
+* A word of a shared token has the token's probability times its own share of the
+  token's occurrences: (n + ``ADD``) / (N + ``ADD`` (V + 1)) for its count n, the
+  token's N occurrences and V words; words never counted are one class of count 0.
+  The counts of the at most ``COMMON`` most frequent words go to the tasks; the
+  rarer words are joined with the table. Such a word is rarer than any common one,
+  and so is a text that holds it: no key of the joins is hot.
 * Network: the neighbours' vectors, each weighted by its distance and side, are
   summed and squashed; two softmax layers give the token's row and, given the
-  row, its column in a ``SIDE`` x ``SIDE`` table. It starts from the corpus's
-  token frequencies.
+  row, its column in a ``SIDE`` x ``SIDE`` table of tokens. It starts from the
+  corpus's token frequencies.
 * Training: each task trains its own copy over all words of its share of the
   corpus, once (numpy, mini-batches, adagrad); the copies are averaged, weighted by
   words, in a grouped sum over parameters. ``rounds`` repeats this from the
@@ -26,10 +31,11 @@ scored each, alike. An empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +48,8 @@ WINDOW = 3
 DIM = 12
 RATE = 0.08
 BATCH = 8192
+COMMON = 1 << 18
+ADD = 0.5
 _OFFSETS = [o for o in range(-WINDOW, WINDOW + 1) if o]
 _CHUNK = 512
 
@@ -51,10 +59,18 @@ _CHUNK = 512
 @dataclass
 class Vocabulary:
     """Sorted hashes of the most frequent words and their token numbers; any
-    other word gets one of the tokens from ``TOP`` on by its hash."""
+    other word gets one of the tokens from ``TOP`` on by its hash.
+
+    ``common``: sorted hashes of the words whose counts the tasks have, and
+    ``common_counts``; ``counts``: the table (h, n) of the others (None: there are
+    none); ``below``: log of what a word's count is divided by, per token."""
     hashes: np.ndarray
     numbers: np.ndarray
     frequency: np.ndarray = field(default_factory=lambda: np.ones(SIDE * SIDE))
+    common: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=tx.U64))
+    common_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    below: np.ndarray = field(default_factory=lambda: np.full(SIDE * SIDE, np.log(ADD)))
+    counts: DataFrame | None = None
 
     def tokens(self, hashes: np.ndarray) -> np.ndarray:
         rest = SIDE * SIDE - TOP
@@ -65,6 +81,28 @@ class Vocabulary:
             out[known] = self.numbers[place[known]]
         return out
 
+    def without_counts(self) -> Vocabulary:
+        """What training needs of it."""
+        return Vocabulary(self.hashes, self.numbers, self.frequency)
+
+    def for_tasks(self) -> Vocabulary:
+        return replace(self, counts=None)
+
+    def shares(self, hashes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log-probability of each word given its token, without the count's part
+        where that is not known here; which words those are)."""
+        shared = tokens >= TOP
+        count = np.zeros(len(hashes), dtype=np.int64)
+        known = np.zeros(len(hashes), dtype=bool)
+        if len(self.common):
+            place = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            known = self.common[place] == hashes
+            count[known] = self.common_counts[place[known]]
+        part = np.where(shared, np.log(count + ADD) - self.below[tokens], 0.0)
+        rare = shared & ~known
+        part[rare] = -self.below[tokens[rare]]
+        return part, rare
+
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -75,6 +113,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["h", "n"])
 
 
+def _count_tokens(vocabulary: Vocabulary):
+    """Map (h, n) to each token's occurrences and words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, words = np.zeros(SIDE * SIDE, dtype=np.int64), np.zeros(SIDE * SIDE, dtype=np.int64)
+        for batch in batches:
+            token = vocabulary.tokens(batch.column(0).to_numpy().view(tx.U64))
+            np.add.at(total, token, batch.column(1).to_numpy())
+            words += np.bincount(token, minlength=SIDE * SIDE)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SIDE * SIDE)), pa.array(total), pa.array(words)],
+                                         names=["token", "n", "words"])
+    return run
+
+
 def build_vocabulary(texts: DataFrame) -> Vocabulary:
     """From the counts of all words of ``texts`` (one column)."""
     counts = texts.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -82,13 +133,29 @@ def build_vocabulary(texts: DataFrame) -> Vocabulary:
     counts.write.parquet(path)
     counts = texts.sparkSession.read.schema("h long, n long").parquet(path)
     top = counts.orderBy(F.desc("n"), "h").limit(TOP).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
     hashes = np.array([r.h for r in top], dtype=np.int64).view(tx.U64)
     order = np.argsort(hashes)
-    frequency = np.ones(SIDE * SIDE)
-    frequency[:len(top)] += [r.n for r in top]
-    frequency[TOP:] += (total - sum(r.n for r in top)) / (SIDE * SIDE - TOP)
-    return Vocabulary(hashes[order], np.arange(len(top), dtype=np.int32)[order], frequency)
+    vocabulary = Vocabulary(hashes[order], np.arange(len(top), dtype=np.int32)[order])
+    totals = (counts.mapInArrow(_count_tokens(vocabulary), "token long, n long, words long").groupBy("token")
+              .agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect())  # one row per token
+    total, words = np.zeros(SIDE * SIDE), np.zeros(SIDE * SIDE)
+    for r in totals:
+        total[r.token], words[r.token] = r.n, r.words
+    # the lowest count that at most COMMON words reach, to an eighth of a power of two
+    step = F.floor(F.log2("n") * 8)
+    steps = sorted(((r.step, r.words) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"))
+                    .collect()), reverse=True)  # at most 8 * 63 rows
+    kept, least = 0, None
+    for at, n in steps:
+        if kept + n > COMMON:
+            break
+        kept, least = kept + n, at
+    common = (counts.where(step >= F.lit(least)) if least is not None else counts.limit(0)).toArrow()
+    found = common.column("h").to_numpy().view(tx.U64)
+    order = np.argsort(found)
+    rare = counts if least is None else counts.where(step < F.lit(least)) if kept < words.sum() else None
+    return replace(vocabulary, frequency=1 + total, below=np.log(total + ADD * (words + 1)), common=found[order],
+                   common_counts=common.column("n").to_numpy()[order], counts=rare)
 
 
 # ------------------------------------------------------------------ network
@@ -233,6 +300,7 @@ def _train(vocabulary: Vocabulary, start: np.ndarray):
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> np.ndarray:
     """Parameters after ``rounds`` passes over all texts (one column)."""
     flat = pack(initial(vocabulary.frequency))
+    vocabulary = vocabulary.without_counts()
     for _ in range(rounds):
         copies = texts.mapInArrow(_train(vocabulary, flat), "chunk int, words long, sums array<double>")
         sums = (copies.select("chunk", "words", F.posexplode("sums").alias("place", "value"))
@@ -244,28 +312,63 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 1) -> np.ndarr
     return flat
 
 
+def _rare_words(vocabulary: Broadcast):
+    """Map (text) to (key of the text, hash) of the words whose counts the tasks
+    don't have, one row for each occurrence."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for begin, _, data, offsets in tx.text_slices(batch.column(1)):
+                words = tx.words_of(data, offsets)
+                _, rare = vocabulary.value.shares(words.hashes, vocabulary.value.tokens(words.hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[begin + words.text[rare]]),
+                                                  pa.array(tx.as_signed(words.hashes[rare]))], names=["key", "h"])
+    return run
+
+
 def score_documents(docs: DataFrame, text: str = "text", rounds: int = 1,
                     model: tuple[Vocabulary, np.ndarray] | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``log_prob`` and ``mean_log_prob``; ``model``: by
     default trained on ``docs``."""
-    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    words_in = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(words_in.alias("text"))
     if model is None:
         vocabulary = build_vocabulary(texts)
         model = vocabulary, train(texts, vocabulary, rounds)
     vocabulary, flat = model
+    counts, sent = vocabulary.counts, docs.sparkSession.sparkContext.broadcast(vocabulary.for_tasks())
+    whole = counts is None
 
-    @F.arrow_udf("struct<n:long,log_prob:double>")
+    @F.arrow_udf("struct<n:long,log_prob:double,rare:long>")
     def score(texts: pa.Array) -> pa.Array:
-        p, sizes, sums = unpack(flat), [], []
-        for words, line, at in _lines(vocabulary, texts):
-            total = np.concatenate([[0.0], np.cumsum(log_probs(p, line, at))])
+        p, sizes, sums, rares = unpack(flat), [], [], []
+        for words, line, at in _lines(sent.value, texts):
+            part, rare = sent.value.shares(words.hashes, line[at])
+            if whole:  # a word that isn't common was never counted
+                part[rare] += np.log(ADD)
+            total = np.concatenate([[0.0], np.cumsum(log_probs(p, line, at) + part)])
             sizes.append(np.diff(words.first))
             sums.append(np.diff(total[words.first]))
+            rares.append(np.diff(np.concatenate([[0], np.cumsum(rare)])[words.first]))
         return pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(sizes) if sizes else [], type=pa.int64()),
-             pa.array(np.concatenate(sums) if sums else [], type=pa.float64())], names=["n", "log_prob"])
+            [pa.array(np.concatenate(x) if x else [], type=t)
+             for x, t in ((sizes, pa.int64()), (sums, pa.float64()), (rares, pa.int64()))], names=["n", "log_prob", "rare"])
 
     kept = [c for c in docs.columns if c not in ("n_tokens", "log_prob", "mean_log_prob")]
-    return (docs.select(*kept, score(F.coalesce(F.col(text), F.lit(""))).alias("__lm"))
-            .select(*kept, F.col("__lm.n").alias("n_tokens"), "__lm.log_prob",
-                    F.when(F.col("__lm.n") > 0, F.col("__lm.log_prob") / F.col("__lm.n")).alias("mean_log_prob")))
+    scored = docs.select(*kept, score(words_in).alias("__lm"), F.xxhash64(words_in).alias("__lm_text"))
+    log_prob = F.col("__lm.log_prob")
+    if not whole:
+        # equal texts have one key: their rare words' sum is shared out among them
+        sums = (docs.select(F.xxhash64(words_in).alias("key"), words_in.alias("text"))
+                .mapInArrow(_rare_words(sent), "key long, h long").join(counts, "h", "left").groupBy("key")
+                .agg(F.avg(F.log(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("__lm_rare")))
+        # a text without rare words may be frequent: it meets nothing, spread by its
+        # row (maps can't be hashed)
+        row = [f.name for f in docs.schema if f.name in kept and "map<" not in f.dataType.simpleString()]
+        key = F.when(F.col("__lm.rare") > 0, F.col("__lm_text")).otherwise(F.xxhash64("__lm_text", *row))
+        scored = (scored.withColumn("__lm_key", key)
+                  .join(sums.withColumnRenamed("key", "__lm_key"), "__lm_key", "left"))
+        log_prob = log_prob + F.when(F.col("__lm.rare") > 0, F.col("__lm.rare") * F.col("__lm_rare")).otherwise(0.0)
+    return (scored.withColumn("__lm_log_prob", log_prob)
+            .select(*kept, F.col("__lm.n").alias("n_tokens"), F.col("__lm_log_prob").alias("log_prob"),
+                    F.when(F.col("__lm.n") > 0, F.col("__lm_log_prob") / F.col("__lm.n")).alias("mean_log_prob")))

@@ -16,9 +16,11 @@ window's slot values.
 2. The kept windows are joined with the items' by hash, and matches are grouped
    by (text, item). Spark folds per task before the shuffle, so a passage that a
    third of all texts hold is no load.
-3. Slot consistency: a slot value of the item must stand for one value in the
-   text wherever it occurs in a run of matched windows on one diagonal, with no
-   more exceptions than ``SLACK`` of its slots.
+3. Slot consistency: a slot value of the item stands for one value in the text
+   wherever it occurs in the matched windows of one diagonal, else it clashes. An
+   item may repeat a value by chance, so one clashing value, or ``SLACK`` of the
+   values, is no matter; with more, the windows that hold one are dropped and
+   ``COVER`` decides on the rest.
 4. A window is hit if its case-blind form matches or its template does and is
    consistent. A text is contaminated by an item if the hit windows are at least
    ``COVER`` of the item's windows, or of those that have a template.
@@ -46,7 +48,7 @@ from paymart.session import work_dir
 WIDTH = 8
 LITERALS = 4
 COVER = 0.5
-SLACK = 0.0
+SLACK = 0.5
 BLOCK = 1_000_000
 _KEY, _T = "__bench_key", "__bench_text"
 
@@ -219,9 +221,12 @@ def find_contamination(texts: DataFrame, benchmark: DataFrame, width: int = WIDT
     slots = (pairs.select(*on, F.explode(F.arrays_zip("slots", "t_slots")).alias("s"))
              .groupBy(*on, F.col("s.slots").alias("slot"))
              .agg((F.min("s.t_slots") != F.max("s.t_slots")).alias("clash"))
-             .groupBy(*on).agg(F.avg(F.col("clash").cast("int")).alias("clashes")))
+             .groupBy(*on).agg(F.collect_list(F.when(F.col("clash"), F.col("slot"))).alias("clashing"),
+                               F.count("*").alias("values")))
+    allowed = F.greatest(F.lit(1), F.floor(F.col("values") * F.lit(slack)))
     good = (pairs.join(slots, on, "left")
-            .where(F.col("slots").isNull() | (F.coalesce("clashes", F.lit(0.0)) <= slack)))
+            .where(F.col("slots").isNull() | F.col("clashing").isNull() | (F.size("clashing") <= allowed)
+                   | ~F.arrays_overlap("slots", "clashing")))
     # of all windows or of those with a template (a text in the item's own case
     # matches both, one with other values the latter only); null without any
     shares = [F.col("hit") / F.col("windows"), F.try_divide("lit_hit", "lit_windows")]

@@ -66,3 +66,17 @@ def test_planted_passages_in_capitals(spark):
     bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
     got = {r.doc_id: r["items"] for r in judge_documents(docs.select("doc_id", "text"), bench).collect()}
     assert got == {1699: [130], 6420: [37], 8376: [101]}
+
+
+def test_values_repeated_by_chance(spark):
+    pears = "Tom has 3 apples and 3 pears in one large basket so how many pieces of fruit does Tom carry home"
+    dogs = "The old dog sleeps by the door all day while The young cat hunts small mice in the garden all night long"
+    many = ("in 3 towns with 3 shops and 4 mills and 4 barns there are so many people who walk along the long road to the "
+            "market every single week of the year that nobody has ever tried to count all of them by hand before")
+    texts = [pears.replace("Tom", "Jim").replace("3 apples", "4 apples").replace("3 pears", "6 pears"),
+             dogs.replace("while The", "while A"),
+             many.replace("3 towns", "5 towns").replace("3 shops", "6 shops").replace("4 mills", "7 mills").replace("4 barns", "8 barns"),
+             # the same template, but what repeats in the item doesn't here
+             "Jim has 4 apples and 6 pears in one large basket so how many pieces of fruit does Eve carry home"]
+    got = judged(spark, texts, [(1, pears), (2, dogs), (3, many)])
+    assert got == {0: (True, [1]), 1: (True, [2]), 2: (True, [3]), 3: (False, [])}

@@ -8,7 +8,7 @@ Table layout below ``Lake.root`` (partition columns in brackets):
 * ``stg_currencies``      [date_update]             replaced by date
 * ``stg_transactions``    [business_date]           upsert on (operation_id, transaction_dttm)
 * ``mart_global_metrics`` [date_update]             upsert on (date_update, currency_from)
-* ``rejects_landing``                               one row per rejected message (partition, offset)
+* ``rejects_landing``                               one row per rejected message; equal ones without a place: one, with ``copies``
 * ``rejects/stage=<s>``   [run_date]                rejects of the staging steps
 
 Every change rewrites whole day partitions with dynamic overwrite, so a
@@ -23,8 +23,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +50,9 @@ OTHER_CLASS = "OTHER"
 LANDING_STORED = T.StructType(LANDING.fields + [T.StructField("object_class", T.StringType()),
                                                 T.StructField("sent_date", T.DateType())])
 LANDING_REJECTS = T.StructType(REJECTS.fields + [T.StructField("partition", T.IntegerType()),
-                                                 T.StructField("offset", T.LongType())])
+                                                 T.StructField("offset", T.LongType()),
+                                                 T.StructField("message", T.StringType()),
+                                                 T.StructField("copies", T.LongType())])
 STG_TRANSACTIONS_STORED = T.StructType(STG_TRANSACTIONS.fields + [T.StructField(BUSINESS_DATE, T.DateType())])
 DEFAULT_ORDER = ("partition", "offset")
 UNDATED = "undated"
@@ -106,9 +110,10 @@ class Lake:
         return read_table(spark, self.mart, MART_GLOBAL_METRICS)
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
-        """Rejects of all stages; a message's place in its topic is left out."""
+        """Rejects of all stages, a row each; a message's place in its topic is left out."""
         names = REJECTS.fieldNames()
-        landing = read_table(spark, self.landing_rejects, LANDING_REJECTS).select(*names)
+        landing = read_table(spark, self.landing_rejects, LANDING_REJECTS).select(
+            *names, F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))).select(*names)
         return landing.unionByName(read_table(spark, self.rejects, REJECTS).select(*names))
 
     # one day, read by its folder (no listing of the other partitions)
@@ -140,13 +145,45 @@ def _write_stage_rejects(lake: Lake, stage: str, rejects: DataFrame, day) -> Non
 
 # ---------------------------------------------------------------- landing
 
+def _placed(order: Sequence[str]) -> Column:
+    """Whether a message has a value in every order column."""
+    return reduce(and_, [F.col(c).isNotNull() for c in order])
+
+
+def _message(order: Sequence[str]) -> Column:
+    """What tells a rejected message from others: its place, which is enough if
+    it is one in a topic (partition, offset); else with a digest of the rest, as
+    other order columns need not be unique and any may be null. Never null."""
+    place = F.to_json(F.struct(*sorted(order)))
+    whole = F.concat(place, F.sha2(F.to_json(F.struct("reason", "raw")), 256))
+    return F.when(_placed(order), place).otherwise(whole) if set(DEFAULT_ORDER) <= set(order) else whole
+
+
+def _new_rejects(spark: SparkSession, lake: Lake, rejects: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rejects that the table lacks. A message with a place is one row however
+    often it comes; equal ones without a place are counted, and what is stored is
+    how many more there are in this batch than in the table."""
+    row = F.struct(*[F.col(c) if c in rejects.columns else F.lit(None).cast(LANDING_REJECTS[c].dataType).alias(c)
+                     for c in LANDING_REJECTS.fieldNames() if c not in ("message", "copies")])
+    batch = (rejects.select(_message(order).alias("message"), _placed(order).alias("placed"), row.alias("row"))
+             .groupBy("message").agg(F.min("row").alias("row"), F.bool_or("placed").alias("placed"), F.count("*").alias("n")))
+    # rows stored before there was a ``message`` have their place at most
+    known = (read_table(spark, lake.landing_rejects, LANDING_REJECTS)
+             .groupBy(F.coalesce("message", _message(DEFAULT_ORDER)).alias("message"))
+             .agg(F.sum(F.coalesce("copies", F.lit(1))).alias("known")))
+    more = F.when(F.col("placed"), F.lit(1)).otherwise(F.col("n")) - F.coalesce("known", F.lit(0))
+    return (batch.join(known, "message", "left").withColumn("copies", more.cast("long")).where(F.col("copies") > 0)
+            .select("row.*", "message", "copies"))
+
+
 def land(spark: SparkSession, lake: Lake, records: DataFrame,
          order: Sequence[str] = DEFAULT_ORDER, run_date: _dt.date | None = None) -> dict:
     """O47 in batch form: decode, keep the first message per ``object_id``
     (by ``order``, which must be there, within the batch; against the table
     across batches) and append. A replayed batch appends nothing (O46).
     Messages that can't be kept, and kept ones without a usable time (they can
-    never be staged, D1), are stored as rejects once per (partition, offset)."""
+    never be staged, D1), are stored as rejects once per place in ``order``, or,
+    without one, as often as the batch has them."""
     configure(spark)
     order = changes.need_order(records, order)
     checked, obs = observe_split(envelope_checked(records, keep=order), "landing")
@@ -169,13 +206,13 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     out["written"] = new.count()
     append_rows(new.repartitionByRange("object_class", "sent_date", "object_id"), lake.landing,
                 ["object_class", "sent_date"])
-    place = [F.col(c).cast(LANDING_REJECTS[c].dataType).alias(c) if c in order
-             else F.lit(None).cast(LANDING_REJECTS[c].dataType).alias(c) for c in DEFAULT_ORDER]
     rejects = batch.where(F.col("reason").isNotNull() | undated).select(
         F.lit("landing").alias("stage"), F.coalesce("reason", F.lit(UNDATED)).alias("reason"), "raw",
-        F.lit(run_date).cast("date").alias("run_date"), *place).dropDuplicates(list(DEFAULT_ORDER))
-    known = read_table(spark, lake.landing_rejects, LANDING_REJECTS).select(*DEFAULT_ORDER)
-    stored_once(rejects.join(known, list(DEFAULT_ORDER), "left_anti"), "landing-rejects").write.mode("append").parquet(
+        F.lit(run_date).cast("date").alias("run_date"),
+        *[F.col(c).cast(LANDING_REJECTS[c].dataType).alias(c) if c in DEFAULT_ORDER else F.col(c).alias(f"order_{c}")
+          for c in order])
+    names = [c if c in DEFAULT_ORDER else f"order_{c}" for c in order]
+    stored_once(_new_rejects(spark, lake, rejects, names), "landing-rejects").write.mode("append").parquet(
         lake.landing_rejects)
     return out
 

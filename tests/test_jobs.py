@@ -191,3 +191,31 @@ def test_jobs_read_their_source_once(spark, scratch):
     assert seen.value == day.count()
     jobs.stage_transactions(spark, lake, src.mapInArrow(count, src.schema), None)
     assert seen.value == day.count() + src.count()
+
+
+def test_landing_rejects_by_any_order(spark, scratch):
+    """Each rejected message is kept once, whatever the order columns are
+    called and whether they have values, also when the batch comes again."""
+    good = '{"object_id": "a", "object_type": "CURRENCY", "sent_dttm": "2022-10-01 00:00:00", "payload": "{}"}'
+    raws = ["{bad", "{worse", None, "{bad", good, "{bad"]
+
+    def rejects(name, rows, schema, order, again=()):
+        lake = jobs.Lake(f"{scratch}/{name}")
+        df = spark.createDataFrame(rows, schema)
+        for batch in (df, df, df.unionByName(spark.createDataFrame(list(again), schema)), df):
+            jobs.land(spark, lake, batch, order=order)
+        return sorted((r.reason, r.raw or "") for r in lake.read_rejects(spark).collect())
+
+    bad, empty, worse = ("malformed_json", "{bad"), ("empty_value", ""), ("malformed_json", "{worse")
+    every = [empty, bad, bad, bad, worse]
+    assert rejects("seq", list(enumerate(raws)), "seq long, value string", ["seq"]) == every
+    # a time isn't unique: equal messages of one time are one message
+    assert rejects("time", [(7, r) for r in raws], "at long, value string", ["at"]) == [empty, bad, worse]
+    # no place: as many as the largest batch had
+    nulls = [(None, None, r) for r in raws]
+    schema = "partition int, offset long, value string"
+    assert rejects("nulls", nulls, schema, ["partition", "offset"]) == every
+    assert rejects("more", nulls, schema, ["partition", "offset"], [(None, None, "{bad")]) == [empty] + [bad] * 4 + [worse]
+    assert rejects("raw", [(i, r, r) for i, r in enumerate(raws)], "stage long, raw string, value string", ["stage"]) == every
+    # a message's place in a topic is enough
+    assert rejects("topic", [(0, 1, "{bad"), (0, 1, "{bad"), (0, 2, "{bad")], schema, ["partition", "offset"]) == [bad, bad]

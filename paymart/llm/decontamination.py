@@ -23,7 +23,9 @@ window's slot values.
    ``COVER`` decides on the rest.
 4. A window is hit if its case-blind form matches or its template does and is
    consistent. A text is contaminated by an item if the hit windows are at least
-   ``COVER`` of the item's windows, or of those that have a template.
+   ``COVER`` of the item's windows, or of those that have a template, or if
+   consecutive hit windows on one diagonal hold ``PASSAGE`` words, however long the
+   item is.
 
 Results: ``find_contamination`` gives one row per (id, item_id) with ``cover``;
 ``judge_documents`` one row per input row, all its columns (clashing names
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paymart.llm import textops as tx
@@ -49,6 +51,7 @@ WIDTH = 8
 LITERALS = 4
 COVER = 0.5
 SLACK = 0.5
+PASSAGE = 20
 BLOCK = 1_000_000
 _KEY, _T = "__bench_key", "__bench_text"
 
@@ -207,7 +210,8 @@ def _lit_windows(name: str) -> Column:
 
 
 def find_contamination(texts: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover: float = COVER,
-                       slack: float = SLACK, text: str = "text", item_id: str = "item_id") -> DataFrame:
+                       slack: float = SLACK, text: str = "text", item_id: str = "item_id",
+                       passage: int = PASSAGE) -> DataFrame:
     """(key, item_id, cover) of contaminated texts; ``texts`` has (key, text)."""
     items = _stored(benchmark.where(F.col(text).isNotNull() & F.col(item_id).isNotNull())
                     .select(F.col(item_id).cast("long").alias("item_id"), text)
@@ -227,12 +231,18 @@ def find_contamination(texts: DataFrame, benchmark: DataFrame, width: int = WIDT
     good = (pairs.join(slots, on, "left")
             .where(F.col("slots").isNull() | F.col("clashing").isNull() | (F.size("clashing") <= allowed)
                    | ~F.arrays_overlap("slots", "clashing")))
+    # consecutive windows have one difference between place and rank
+    rank = F.row_number().over(Window.partitionBy(*on).orderBy("at"))
+    runs = (good.where(F.col("size") == width).select(*on, "at").distinct().withColumn("run", F.col("at") - rank)
+            .groupBy(*on, "run").agg(F.count("*").alias("n")).where(F.col("n") >= max(1, passage - width + 1))
+            .select(_KEY, "item_id").distinct().withColumn("passage", F.lit(True)))
     # of all windows or of those with a template (a text in the item's own case
     # matches both, one with other values the latter only); null without any
     shares = [F.col("hit") / F.col("windows"), F.try_divide("lit_hit", "lit_windows")]
     return (good.groupBy(_KEY, "item_id").agg(F.countDistinct("at", "size").alias("hit"), _lit_windows("lit_hit"))
             .join(total, "item_id").withColumn("cover", F.greatest(*shares))
-            .where(F.col("cover") >= cover).select(_KEY, "item_id", "cover"))
+            .join(runs, [_KEY, "item_id"], "left")
+            .where((F.col("cover") >= cover) | F.col("passage")).select(_KEY, "item_id", "cover"))
 
 
 def judge_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:

@@ -80,3 +80,13 @@ def test_values_repeated_by_chance(spark):
              "Jim has 4 apples and 6 pears in one large basket so how many pieces of fruit does Eve carry home"]
     got = judged(spark, texts, [(1, pears), (2, dogs), (3, many)])
     assert got == {0: (True, [1]), 1: (True, [2]), 2: (True, [3]), 3: (False, [])}
+
+
+def test_passages_of_long_items(spark):
+    words = [f"{a}{b}o" for a in "bdfgklmnprst" for b in "aeiou"]
+    item = " ".join(words)
+    texts = [" ".join(["before", *words[10:10 + n], "after"]) for n in (30, 20, 19, 60)]
+    # two halves of a passage, apart
+    texts += [" ".join([*words[:15], "other", *words[30:45]]), " ".join(words[20:45]).upper()]
+    got = judged(spark, texts, [(1, item)])
+    assert [got[i][0] for i in range(6)] == [True, True, False, True, False, True]

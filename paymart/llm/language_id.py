@@ -195,7 +195,8 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
         rows = [row.tobytes() for data, offsets in _slices(texts) for row in features(data, offsets)]
         return pa.array(rows, type=pa.binary())
 
-    rows = (chosen.orderBy("place", "lang", "id").limit(limit)
+    # the rank within the language first: beyond the limit, every language keeps its share
+    rows = (chosen.orderBy(F.col("place") * F.col("n"), "lang", "id").limit(limit)
             .select("lang", vector(F.coalesce("text", F.lit(""))).alias("vector")).collect())
     if not rows:
         return None

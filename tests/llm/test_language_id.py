@@ -1,5 +1,6 @@
 """Language ID: held-out accuracy, the machines, edge rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -50,3 +51,17 @@ def test_edge_rows(spark):
     assert identify_languages(df.limit(0)).collect() == []
     unknown = identify_languages(df.withColumn("lang", df.lang.substr(9, 1)).where("lang IS NULL")).collect()
     assert {r.lang_pred for r in unknown} <= {"und"}
+
+
+def test_a_rare_language_keeps_its_share_of_the_sample(spark):
+    """More rows wanted than the limit: each language gives in proportion."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(13):
+        letters = [rnd.choice("abcdefghijklmnopqrstuvwxyz") + rnd.choice("aeiouxyz") + chr(97 + k) for _ in range(12)]
+        rows += [(1000 * k + i, " ".join(rnd.choices(letters, k=40)), f"x{k:02d}") for i in range(25 if k == 12 else 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = [r for r in identify_languages(df, per_language=20, limit=90).collect()]
+    rare = [r for r in got if r.lang == "x12"]
+    assert sum(r.lang_pred == "x12" for r in rare) >= 0.9 * len(rare)
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.9 * len(got)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.llm import let_workers_import
+from paymart.llm.collocations import mine_collocations
+from paymart.llm.collocations import oracle_sql as collocation_sql
 from paymart.llm.decontamination import judge_documents
 from paymart.llm.language_id import identify_languages
 from paymart.llm.lm_scoring import score_documents
@@ -73,6 +75,11 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("text", "lang")
+    return mine_collocations(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -84,10 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {
     "op6_url_filter": url_sql(),
     "op10_source_mixing": mixing_sql(),
+    "op11_phrase_collocations": collocation_sql(),
 }

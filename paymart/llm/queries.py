@@ -21,6 +21,8 @@ from paymart.llm.source_mixing import mix_sources
 from paymart.llm.source_mixing import oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
 from paymart.llm.token_counts import count_tokens
+from paymart.llm.topk_search import oracle_sql as topk_sql
+from paymart.llm.topk_search import search
 from paymart.llm.url_filter import judge_urls, rule_table
 from paymart.llm.url_filter import oracle_sql as url_sql
 
@@ -80,6 +82,11 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_collocations(docs)
 
 
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search(vectors.where("vec_id % 50 = 0"), vectors)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_topk_search": op12_topk_search,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
@@ -99,4 +107,5 @@ ORACLE: dict[str, str] = {
     "op6_url_filter": url_sql(),
     "op10_source_mixing": mixing_sql(),
     "op11_phrase_collocations": collocation_sql(),
+    "op12_topk_search": topk_sql(),
 }

@@ -20,6 +20,7 @@ from paymart.llm.quality_rules import judge_quality
 from paymart.llm.source_mixing import mix_sources
 from paymart.llm.source_mixing import oracle_sql as mixing_sql
 from paymart.llm.substring_dedup import dedup_substrings
+from paymart.llm.token_alignment import align_tokens
 from paymart.llm.token_counts import count_tokens
 from paymart.llm.topk_search import oracle_sql as topk_sql
 from paymart.llm.topk_search import search
@@ -87,6 +88,10 @@ def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors.where("vec_id % 50 = 0"), vectors)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mixing": op10_source_mixing,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_topk_search": op12_topk_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

@@ -18,13 +18,14 @@ from paymart.functions import as_text, day_range_predicate, first_null, try_cast
 from paymart.schemas import ENVELOPE, OBJECT_TYPE_CURRENCY, RATE_DECIMAL, RATE_PAYLOAD
 
 _CORRUPT = "_corrupt_record"
-# The envelope is parsed with ``sent_dttm`` as text and cast afterwards: the
-# JSON reader's own timestamp parsing falls back through an exception for
-# every ISO value with more than 3 fraction digits, which is several times
-# slower than Spark's string-to-timestamp cast with the same result.
-_ENVELOPE_TEXT = T.StructType([
-    T.StructField(f.name, T.StringType() if f.name == "sent_dttm" else f.dataType) for f in ENVELOPE.fields
+# ``sent_dttm`` is parsed as a VARIANT, which keeps the kind of its JSON value, and
+# cast afterwards: the JSON reader's own timestamp parsing falls back through an
+# exception for every ISO value with more than 3 fraction digits.
+_ENVELOPE_VARIANT = T.StructType([
+    T.StructField(f.name, T.VariantType() if f.name == "sent_dttm" else f.dataType) for f in ENVELOPE.fields
 ] + [T.StructField(_CORRUPT, T.StringType())])
+# The times a message may have; others can't be named as a day (and are no real sending times).
+FIRST_TIME, LAST_TIME = "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"
 _RATE_PAYLOAD_WITH_CORRUPT = T.StructType(RATE_PAYLOAD.fields + [T.StructField(_CORRUPT, T.StringType())])
 RATE_FIELDS = [f.name for f in RATE_PAYLOAD.fields]
 
@@ -37,19 +38,23 @@ def parsed_once(parsed: Column) -> Column:
     return F.inline(F.array(parsed))
 
 
-def parse_timestamp(text: Column, quoted: Column) -> Column:
-    """A JSON time as a zoned timestamp in the session zone: text of ISO 8601
-    with a date, ``T`` or a space, optional fraction and offset (an offset is
-    converted, D7), or an unquoted number, which is epoch seconds. Anything
-    else is null: quoted digits, a time without a date."""
-    epoch = F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), F.timestamp_seconds(text.try_cast("double")))
+def parse_timestamp(value: Column) -> Column:
+    """A JSON time (a variant) as a zoned timestamp in the session zone: text of
+    ISO 8601 with a date, ``T`` or a space, optional fraction and offset (an offset
+    is converted, D7), or a number, which is epoch seconds. Anything else is null:
+    quoted digits, a time without a date, times outside the years 1 to 9999."""
+    text = F.try_variant_get(value, "$", "string")
+    kind = F.schema_of_variant(value)
+    # a year of four digits, the usual form, needs no look at the kind: no number has it
+    plain = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     dated = F.when(text.rlike(r"^\s*[+-]?[0-9]{4,7}-[0-9]"), text.try_cast(T.TimestampType()))
-    return F.when(quoted, dated).otherwise(epoch)
-
-
-def _sent_is_quoted(raw: Column) -> Column:
-    """Whether the envelope gives ``sent_dttm`` as a JSON string."""
-    return F.coalesce(raw.rlike(r'"sent_dttm"\s*:\s*"'), F.lit(True))
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    seconds = F.try_variant_get(value, "$", "double")
+    edge = [F.lit(t).cast(T.TimestampType()) for t in (FIRST_TIME, LAST_TIME)]
+    time = (F.when(plain, text.try_cast(T.TimestampType()))
+            .when(kind == "STRING", dated)
+            .when(number & (F.abs(seconds) < F.lit(1e12)), F.timestamp_seconds(seconds)))
+    return F.when(time.between(*edge), time)
 
 
 def _rejects(df: DataFrame, stage: str, raw: Column, run_date: _dt.date | None) -> DataFrame:
@@ -64,12 +69,12 @@ def envelope_checked(records: DataFrame, keep: list[str] | tuple[str, ...] = ())
     """O10 + O11 + O12 with a reject reason.
 
     ``value`` (binary or text) is decoded permissively; a malformed text gives
-    nulls (D1). ``sent_dttm`` is parsed as a zoned timestamp in the session
+    nulls (D1). ``sent_dttm`` is read as a zoned timestamp in the session
     zone (UTC, D7) and stored zone-less, like the landing table's column.
     ``keep`` names source columns to carry along (e.g. partition, offset).
     """
     text = as_text(F.col("value"))
-    j = F.from_json(text, _ENVELOPE_TEXT,
+    j = F.from_json(text, _ENVELOPE_VARIANT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     df = records.select(*keep, text.alias("raw"), parsed_once(j))
     reason = (F.when(F.col("raw").isNull() | (F.trim(F.col("raw")) == ""), F.lit("empty_value"))
@@ -79,7 +84,7 @@ def envelope_checked(records: DataFrame, keep: list[str] | tuple[str, ...] = ())
         *keep,
         "object_id",
         "object_type",
-        parse_timestamp(F.col("sent_dttm"), _sent_is_quoted(F.col("raw"))).cast(T.TimestampNTZType()).alias("sent_dttm"),
+        parse_timestamp(F.col("sent_dttm")).cast(T.TimestampNTZType()).alias("sent_dttm"),
         "payload",
         reason.alias("reason"),
         "raw")

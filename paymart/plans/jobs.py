@@ -38,7 +38,7 @@ from paymart.operators.changes import (
 from paymart.operators.mart import global_metrics
 from paymart.operators.messages import currency_messages, envelope_checked, rates_checked
 from paymart.operators.quality import dedupe_rates as one_rate_each
-from paymart.operators.quality import SPLIT, counted, observe_rows, observe_split
+from paymart.operators.quality import counted, observe_rows, observe_split
 from paymart.operators.staging import extract_transactions, transactions_checked
 from paymart.schemas import (
     BUSINESS_DATE, LANDING, MART_GLOBAL_METRICS, MART_KEY, OBJECT_TYPE_CURRENCY, REJECTS,
@@ -192,7 +192,7 @@ def land(spark: SparkSession, lake: Lake, records: DataFrame,
     batch = stored_once(checked.select(
         *order, "object_id", "object_type", "sent_dttm", "payload", "reason",
         F.when(F.col("reason").isNotNull() | F.col("sent_dttm").isNull(), F.col("raw")).alias("raw")), "landing-batch")
-    out = {**counted(obs, *SPLIT), "undated": batch.where(undated).count()}
+    out = {**counted(obs), "undated": batch.where(undated).count()}
     valid = batch.where(F.col("reason").isNull()).select(*order, "object_id", "object_type", "sent_dttm", "payload")
     new = insert_ignore(lake.read_landing(spark), valid, ["object_id"], order)
     # range-partition the new rows by (class, day, key): each landing partition
@@ -231,7 +231,7 @@ def _split(checked: DataFrame, stage: str) -> tuple[DataFrame, dict]:
     """The checked rows, stored once, and their counters."""
     checked, obs = observe_split(checked, stage)
     checked = stored_once(checked, f"{stage}-checked")
-    return checked, counted(obs, *SPLIT)
+    return checked, counted(obs)
 
 
 def stage_currencies(spark: SparkSession, lake: Lake, day: _dt.date | str | None,
@@ -249,7 +249,7 @@ def stage_currencies(spark: SparkSession, lake: Lake, day: _dt.date | str | None
     write_days(valid, lake.stg_currencies, ["date_update"])
     _write_stage_rejects(lake, "currencies", checked.where(F.col("reason").isNotNull()).select(
         "reason", "raw", day_of("sent_dttm").alias("run_date")), day)
-    return {**out, **counted(wobs, "written")}
+    return {**out, **counted(wobs)}
 
 
 def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame, day: _dt.date | str | None,
@@ -293,7 +293,7 @@ def stage_transactions(spark: SparkSession, lake: Lake, src: DataFrame, day: _dt
     write_days(merged, lake.stg_transactions, [BUSINESS_DATE])
     _write_stage_rejects(lake, "transactions", checked.where(F.col("reason").isNotNull())
                          .select("reason", "raw", "run_date"), day)
-    return {**out, **counted(wobs, "written")}
+    return {**out, **counted(wobs)}
 
 
 # ---------------------------------------------------------------- mart
@@ -323,7 +323,7 @@ def build_global_metrics(spark: SparkSession, lake: Lake, day: _dt.date | str |
     else:
         merged, wobs = observe_rows(upsert(target, source, MART_KEY), "mart_written")
         write_days(merged, lake.mart, ["date_update"])
-    return counted(wobs, "written")
+    return counted(wobs)
 
 
 # ---------------------------------------------------------------- whole day

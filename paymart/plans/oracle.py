@@ -23,7 +23,8 @@ rec_fields AS (
 ),
 decoded AS (
     SELECT "partition", "offset", "timestamp", raw, object_id, object_type,
-        CASE WHEN NOT quoted THEN make_timestamp(TRY_CAST(sent AS BIGINT) * 1000000)
+        CASE WHEN NOT quoted AND TRY_CAST(sent AS BIGINT) < 253402300800 THEN make_timestamp(TRY_CAST(sent AS BIGINT) * 1000000)
+             WHEN NOT quoted THEN NULL
              WHEN ends_with(sent, '+03:00') THEN TRY_CAST(left(sent, length(sent) - 6) AS TIMESTAMP) - INTERVAL 3 HOUR
              WHEN regexp_matches(sent, '^[0-9]{4}-') THEN TRY_CAST(sent AS TIMESTAMP) END AS sent_dttm,
         payload,

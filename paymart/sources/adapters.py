@@ -36,7 +36,8 @@ NO_DIV_RATE_SLOT = 9
 
 # One peculiarity per message of partition 2, by (event_id / 20) % their number.
 ODD_KINDS = ("null_value", "blank_value", "no_object_id", "bad_time", "offset_time", "epoch_time", "quoted_digits",
-             "empty_type", "null_payload", "bad_payload", "bad_date", "bad_rate", "no_date", "no_code", "no_quoted_code")
+             "empty_type", "null_payload", "bad_payload", "bad_date", "bad_rate", "no_date", "no_code", "no_quoted_code",
+             "nested_time", "epoch_millis")
 ODD_EVERY = 20
 # One fault per faulty row of the text-typed source: column and its text.
 TEXT_FAULTS = (("operation_id", None), ("account_number_from", "x"), ("account_number_to", ""), ("currency_code", None),
@@ -169,8 +170,8 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``partition int, offset bigint, timestamp timestamp, value binary``.
 
     Partition 0 carries one rate message per (day, k); partition 1 one
-    transaction message per event, plus an exact replay of the messages of
-    ``error`` events right after the original.
+    transaction message per event, and right after those of ``error`` events a
+    replay that differs from them; partition 2 the odd messages (``ODD_KINDS``).
     """
     s = _rate_slots(spark, sf_dir)
     k = F.col("k")
@@ -233,7 +234,8 @@ def _odd_value() -> Column:
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     sent = (F.when(kind == "bad_time", F.lit('"soon"'))
             .when(kind == "offset_time", quoted(F.concat(day, F.lit("T01:30:00+03:00"))))
-            .when(kind == "epoch_time", F.lit("1704067200"))
+            .when(kind.isin("epoch_time", "nested_time"), F.lit("1704067200"))
+            .when(kind == "epoch_millis", F.lit("1704067200000"))
             .when(kind == "quoted_digits", F.lit('"1704067200"'))
             .otherwise(quoted(F.concat(day, F.lit("T07:00:00")))))
     parts = [(F.when(kind == "bad_date", F.lit("someday")).otherwise(day), "date_update", "no_date"),
@@ -248,7 +250,8 @@ def _odd_value() -> Column:
             F.concat(F.lit('{"object_id":"odd/'), F.col("event_id").cast("string"), F.lit('",'))),
         F.lit('"object_type":"'), F.when(is_rate, F.lit("CURRENCY")).when(kind == "empty_type", F.lit("")).otherwise(F.lit("NOTE")),
         F.lit('","sent_dttm":'), sent, F.lit(',"payload":'),
-        F.when(kind == "null_payload", F.lit("null")).when(kind == "bad_payload", F.lit('"{oops"')).otherwise(payload),
+        F.when(kind == "null_payload", F.lit("null")).when(kind == "bad_payload", F.lit('"{oops"'))
+        .when(kind == "nested_time", F.lit('{"sent_dttm":"x"}')).otherwise(payload),
         F.lit("}"))
     return F.when(kind == "null_value", F.lit(None).cast("string")).when(kind == "blank_value", F.lit("  ")).otherwise(text)
 
@@ -395,10 +398,11 @@ odd_messages AS (
              THEN 'CURRENCY' ELSE 'NOTE' END
         || '","sent_dttm":' || CASE kind WHEN 'bad_time' THEN '"soon"'
              WHEN 'offset_time' THEN '"' || day || 'T01:30:00+03:00"'
-             WHEN 'epoch_time' THEN '1704067200' WHEN 'quoted_digits' THEN '"1704067200"'
+             WHEN 'epoch_time' THEN '1704067200' WHEN 'nested_time' THEN '1704067200'
+             WHEN 'epoch_millis' THEN '1704067200000' WHEN 'quoted_digits' THEN '"1704067200"'
              ELSE '"' || day || 'T07:00:00"' END
         || ',"payload":' || CASE kind WHEN 'null_payload' THEN 'null' WHEN 'bad_payload' THEN '"{{oops"'
-             ELSE '"' || payload || '"' END || '}}' END AS env
+             WHEN 'nested_time' THEN '{{"sent_dttm":"x"}}' ELSE '"' || payload || '"' END || '}}' END AS env
     FROM odd_payloads
 ),
 records AS (

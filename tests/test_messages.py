@@ -114,3 +114,26 @@ def test_currency_messages_day_filter(spark):
     got = {r.object_id for r in messages.currency_messages(df, "2024-01-05").collect()}
     assert got == {"a"}
     assert {r.object_id for r in messages.currency_messages(df).collect()} == {"a", "b", "d"}
+
+
+def test_times_by_the_kind_of_their_value(spark):
+    def one(ts, rest=""):
+        return f'{{"object_id":"a","payload":{{"sent_dttm":"x"}},"sent_dttm":{ts}{rest}}}'
+
+    day = dt.datetime(2022, 10, 1)
+    cases = [(one("1664582400"), day),                                    # a quoted time inside the payload
+             (one('"1664582400"'), None),
+             (one("1664582400000"), None),                                # milliseconds: year 54718
+             (one("1664582400.25"), dt.datetime(2022, 10, 1, 0, 0, 0, 250000)),
+             (one("1.6645824e9"), day),
+             (one("true"), None), (one("null"), None), (one("{}"), None), (one("[1]"), None),
+             (one("-62135596800"), dt.datetime(1, 1, 1)), (one("-62135596801"), None),
+             (one("253402300799"), dt.datetime(9999, 12, 31, 23, 59, 59)), (one("253402300800"), None),
+             (one("1e300"), None), (one("123456789012345678901234567890"), None),
+             (one('"9999-12-31T23:00:00-05:00"'), None), (one('"0000-05-05T00:00:00"'), None),
+             (one('"+54718-01-01T00:00:00"'), None), (one('" 2022-10-01 "'), day), (one('"10:30:00-05"'), None),
+             (one('"2022"'), None), (one('"2022-10"'), day), (one('"ab12-10-01"'), None),
+             (one("1664582400", ',"new_key":{"sent_dttm":"2020-01-01"}'), day)]
+    got = _checked(spark, [c for c, _ in cases])
+    assert [(cases[i][0], got[i].sent_dttm) for i in range(len(cases))] == cases
+    assert all(r.reason is None and r.payload == '{"sent_dttm":"x"}' for r in got.values())

@@ -8,11 +8,15 @@ windows. What a window's tokens have to do with each other depends on their ids
 alone, so the alignment of a window (its groups and links) is worked out once for a
 pair of id tuples and remembered (about ``MEMO`` windows a process, then anew).
 
-Texts over ``PART`` characters are encoded in parts, cut at a blank between two
-letters or digits. That changes no token: A's pre-tokenisation begins a new piece
-at such a blank, and no piece of B's vocabulary has a space after another character
-(checked when it is loaded), so no merge of either goes across. A text without such
-a blank is encoded in one piece.
+Whole texts are encoded part by part: a part ends at a blank between two visible
+characters other than U+2581. That changes no token: A's pre-tokenisation begins a new
+piece at such a blank, and no piece of B's vocabulary has a space after another
+character (checked when it is loaded), so no merge of either goes across. So the
+memory of a task does not depend on the length of a text, parts of up to ``LONG``
+characters that come again are encoded once (about ``MEMO`` a process), and parts not
+seen yet are encoded many at a time, put together with blanks. A text without such a
+blank is one part. Where A's vocabulary is there as ranks too (checked entry by entry),
+short parts of plain Latin characters are encoded by these; the ids are the same.
 
 Counts of linked id pairs are corpus-wide and grow with the corpus, so they are
 never broadcast. Texts are taken in batches of about ``BATCH_BYTES``. A batch has a
@@ -30,10 +34,13 @@ table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 from functools import lru_cache
 import hashlib
+from itertools import chain
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +52,21 @@ from paymart.llm import textops
 from paymart.session import stored_once
 
 TOKENIZER_A = "byte_bpe_50k.json"
+#: A's vocabulary as ranks, if there is one: the same ids for plain text, in a third of the time.
+RANKS_A = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
 TOKENIZER_B = "piece_bpe_32k.model"
-PART = 100_000
-STEP_BYTES = 256 << 10
-BATCH_BYTES = 4 << 20
-MEMO = 300_000
-_SPACE = 0x20
+LONG = 64
+STEP = 2000
+BATCH_BYTES = 2 << 20
+MEMO = 200_000
+#: Blanks at which a text may be encoded in parts, and parts that may stand between such.
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+_INNER = re.compile(r"[!-~\w]|[!-~\w].*[!-~\w]", re.DOTALL)
+#: Short parts of these characters, whose classes are the same in every version of
+#: Unicode, may be encoded by ranks.
+_PLAIN = re.compile(r"[\n -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*")
+#: Beside a blank these leave no place to cut.
+_UNSAFE = ("  ", " \n", "\n ")
 
 _STORED = ("batch long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "windows array<int>, times array<int>, pairs array<long>, linked array<long>, "
@@ -70,7 +86,7 @@ def byte_characters() -> dict[str, int]:
 class Aligner:
     """Tokenises and aligns texts; remembers windows."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, ranks_a: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
@@ -83,6 +99,8 @@ class Aligner:
         self.bytes_a = [b""] * (max(entries.values()) + 1)
         for entry, i in entries.items():
             self.bytes_a[i] = bytes(code[c] for c in entry) if all(c in code for c in entry) else entry.encode()
+        if self.a.normalizer is not None or len({x for x in self.bytes_a if len(x) == 1}) < 256:
+            raise ValueError("A does not have every byte, or changes texts")
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("B has pieces with a space inside")
@@ -90,37 +108,114 @@ class Aligner:
                         for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.text_a = _with_ends(len(self.bytes_a), ",", "|")
+        self.text_b = _with_ends(len(self.bytes_b), ",", ";")
+        self.by_rank = _by_rank(ranks_a, self.bytes_a) if ranks_a else None
+        # numbers of parts; their ids by A and by B, where each part's begin, and
+        # whether the tokens of a part do not give it back
+        self.parts: dict[str, int] = {}
+        self.ids = [np.zeros(0, dtype=np.int32)] * 2
+        self.begins = [np.zeros(1, dtype=np.int64)] * 2
+        self.odd = np.zeros(0, dtype=bool)
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin the memory of windows anew."""
         self.memo: dict[bytes, int] = {}
-        self.windows: list[tuple[str, int, list[int]]] = []  # groups as text, their number, links
+        self.groups: list[str] = []                      # of each window, as text
+        self.n_groups = np.zeros(0, dtype=np.int64)
+        self.firsts = np.zeros(1, dtype=np.int64)        # where the links of each window begin
+        self.links = np.zeros(0, dtype=np.int64)
 
     # --------------------------------------------------------- tokenisation
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of each text by A and by B."""
-        parts, of = [], []
-        for i, text in enumerate(texts):
-            cuts = part_cuts(text)
-            parts += [text[x:y] for x, y in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)], strict=True)]
-            of += [i] * (len(cuts) + 1)
-        ids_a = [np.array(e.ids, dtype=np.int32)
-                 for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        ids_b = [np.array(x, dtype=np.int32) for x in self.b.encode(parts, num_threads=1)]
-        if len(parts) == len(texts):
-            return ids_a, ids_b
-        first = np.searchsorted(of, np.arange(len(texts) + 1))
-        return tuple([np.concatenate(ids[x:y]) for x, y in zip(first[:-1], first[1:], strict=True)]
-                     for ids in (ids_a, ids_b))
-
-    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """As ``encode``, but no ids for texts that the joined tokens do not give back."""
-        ids_a, ids_b = self.encode(texts)
-        none = np.zeros(0, dtype=np.int32)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            if not text or any(b"".join(map(table.__getitem__, ids[i].tolist())) != whole
-                               for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
-                ids_a[i] = ids_b[i] = none
-        return ids_a, ids_b
+    def learn(self, parts: set[str]) -> None:
+        """Encode the parts that are not known."""
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > MEMO:
+            kept = list(parts - new)
+            numbers = np.array([self.parts[p] for p in kept], dtype=np.int64)
+            found = [(kept, *(gather(self.ids[i], self.begins[i], numbers) for i in (0, 1)), self.odd[numbers])]
+            self.parts, self.odd = {}, self.odd[:0]
+            self.ids, self.begins = [x[:0] for x in self.ids], [x[:1] for x in self.begins]
+            self._remember(found)
+        inner = {p for p in new if _INNER.fullmatch(p)}
+        plain = [p for p in inner if len(p) <= LONG and _PLAIN.fullmatch(p)] if self.by_rank else []
+        other = sorted(inner.difference(plain), key=len)  # long ones last, see ``tokens``
+        found = []
+        for i in range(0, len(plain), STEP):
+            self._encode(plain[i:i + STEP], found, self.by_rank)
+        for part in sorted(new - inner, key=len):
+            if len(part) <= LONG:
+                self._encode([part], found)
+        for i in range(0, len(other), STEP):
+            self._encode(other[i:i + STEP], found)
+        for part in new - inner:
+            if len(part) > LONG:
+                self._encode([part], found)
+        self._remember(found)
+
+    def _remember(self, found: list) -> None:
+        """Put parts with their ids (flat, and how many each has) into the memory."""
+        if not found:
+            return
+        names = [p for parts, *_ in found for p in parts]
+        self.parts.update(zip(names, range(len(self.odd), len(self.odd) + len(names))))
+        for i in (0, 1):
+            self.begins[i] = np.concatenate([self.begins[i], len(self.ids[i]) + np.cumsum(np.concatenate([x[1 + i][1] for x in found]))])
+            self.ids[i] = np.concatenate([self.ids[i], *(x[1 + i][0] for x in found)])
+        self.odd = np.concatenate([self.odd, *(x[3] for x in found)])
+
+    def _encode(self, parts: list[str], found: list, by_rank=None) -> None:
+        """Encode parts as one text, a blank between each two, and take it apart."""
+        joined = " ".join(parts)
+        whole = b" " + joined.encode()
+        a = np.array(by_rank(" " + joined) if by_rank else
+                     self.a.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids, dtype=np.int32)
+        b = np.array(self.b.encode(joined), dtype=np.int32)
+        # A is lossless (see ``__init__``), so its tokens give the text back
+        if b"".join(map(self.bytes_b.__getitem__, b.tolist())) != whole:
+            if len(parts) == 1:
+                none = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+                found.append((parts, none, none, np.ones(1, dtype=bool)))
+            else:  # one of them is odd
+                half = len(parts) // 2
+                self._encode(parts[:half], found, by_rank)
+                self._encode(parts[half:], found, by_rank)
+            return
+        until = np.cumsum([1 + len(p) for p in (parts if joined.isascii() else map(str.encode, parts))])
+        cut = [(ids, np.diff(np.searchsorted(np.cumsum(size[ids]), until) + 1, prepend=0))
+               for ids, size in ((a, self.size_a), (b, self.size_b))]
+        found.append((parts, *cut, np.zeros(len(parts), dtype=bool)))
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By A and by B: the ids of all texts, and how many each text has; none of a
+        text that the joined tokens do not give back."""
+        parts = [parts_of(text) for text in texts]
+        self.learn(set().union(*parts))
+        size = np.array([len(own) for own in parts], dtype=np.int64)
+        numbers = np.fromiter(map(self.parts.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(size.sum()))
+        text = np.repeat(np.arange(len(texts)), size)
+        bad = np.zeros(len(texts), dtype=bool)
+        bad[text[self.odd[numbers]]] = True
+        if bad.any():
+            numbers, text = numbers[~bad[text]], text[~bad[text]]
+        out = []
+        for i in (0, 1):
+            ids, counts = gather(self.ids[i], self.begins[i], numbers)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            place = np.searchsorted(text, np.arange(len(texts) + 1))
+            out.append((ids, ends[place[1:]] - ends[place[:-1]]))
+        long = {p for own in parts for p in own if len(p) > LONG}
+        if long:  # they are the last ones, and are not kept
+            keep = min(self.parts[p] for p in long)
+            for part in long:
+                del self.parts[part]
+            self.odd = self.odd[:keep]
+            for i in (0, 1):
+                self.ids[i] = self.ids[i][:self.begins[i][keep]].copy()
+                self.begins[i] = self.begins[i][:keep + 1].copy()
+        return out
 
     # -------------------------------------------------------------- windows
 
@@ -150,40 +245,47 @@ class Aligner:
         keys[np.arange(len(a)) + np.repeat(begin + 1 - begin_a, n_a)] = a
         keys[np.arange(len(b)) + np.repeat(begin + 1 + n_a - begin_b, n_b)] = b
         whole, edges = keys.tobytes(), (4 * np.append(begin, len(keys))).tolist()
-        memo, out = self.memo, []
-        for x, y in zip(edges[:-1], edges[1:]):
-            key = whole[x:y]
-            number = memo.get(key)
-            if number is None:
-                number = memo[key] = len(self.windows)
-                ids = np.frombuffer(key, dtype=np.int32).tolist()
-                self.windows.append(self.align(ids[1:1 + ids[0]], ids[1 + ids[0]:]))
-            out.append(number)
-        return np.array(out, dtype=np.int64)
-
-    def align(self, a: list[int], b: list[int]) -> tuple[str, int, list[int]]:
-        """A window's groups as text, their number, and its links as pair numbers."""
-        links, groups, left, right = [], [], [], []
-        i = j = 0
-        end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-        while True:
-            links.append(a[i] << 32 | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                left.append(str(a[i]))
-            if step_b:
-                right.append(str(b[j]))
-            if step_a and step_b:
-                groups.append(f"{','.join(left)}|{','.join(right)}")
-                left, right = [], []
-            if step_a:
-                i += 1
-                if i == len(a):
-                    return ";".join(groups), len(groups), links
-                end_a += len(self.bytes_a[a[i]])
-            if step_b:
-                j += 1
-                end_b += len(self.bytes_b[b[j]])
+        keys = [whole[x:y] for x, y in zip(edges, edges[1:])]
+        memo = self.memo
+        numbers = list(map(memo.get, keys))
+        unknown = [i for i, number in enumerate(numbers) if number is None]
+        if unknown:
+            new = list(dict.fromkeys([keys[i] for i in unknown]))
+            memo.update(zip(new, range(len(memo), len(memo) + len(new))))
+            self.align(new)
+            for i in unknown:
+                numbers[i] = memo[keys[i]]
+        return np.array(numbers, dtype=np.int64)
+
+    def align(self, keys: list[bytes]) -> None:
+        """Remember the groups and links of new windows."""
+        ids = np.frombuffer(b"".join(keys), dtype=np.int32).astype(np.int64)
+        size = np.array([len(k) // 4 for k in keys])
+        begin = np.cumsum(size) - size
+        n_a = ids[begin]
+        n_b = size - 1 - n_a
+        window = np.repeat(np.arange(len(keys)), size)
+        place = np.arange(len(ids)) - begin[window]
+        a, b = ids[(place > 0) & (place <= n_a[window])], ids[place > n_a[window]]
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        # from each end to the next, one token of A and one of B lie over the bytes
+        steps = np.union1d(ends_a, ends_b)
+        i, j = np.searchsorted(ends_a, steps), np.searchsorted(ends_b, steps)
+        links = a[i] << 32 | b[j]
+        ends = ends_a[np.cumsum(n_a) - 1]
+        self.firsts = np.concatenate([self.firsts, len(self.links) + np.searchsorted(steps, ends) + 1])
+        self.links = np.concatenate([self.links, links])
+        # groups end where both do; as text, those of A stand before those of B
+        closing = steps[(ends_a[i] == steps) & (ends_b[j] == steps)]
+        self.n_groups = np.concatenate([self.n_groups, np.diff(np.searchsorted(closing, ends, side="right"), prepend=0)])
+        group_a, group_b = np.searchsorted(closing, ends_a), np.searchsorted(closing, ends_b)
+        at_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
+        at_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+        text = np.empty(len(a) + len(b), dtype=object)
+        text[at_a] = self.text_a[2 * a + (ends_a == closing[group_a])]
+        text[at_b] = self.text_b[2 * b + (ends_b == closing[group_b])]
+        text, edges = text.tolist(), [0, *np.cumsum(n_a + n_b).tolist()]
+        self.groups += ["".join(text[x:y])[:-1] for x, y in zip(edges, edges[1:])]
 
     # -------------------------------------------------------------- batches
 
@@ -191,18 +293,8 @@ class Aligner:
         """What is stored of a batch: lists with an entry per text, and the batch's
         own pairs and windows."""
         if len(self.memo) > MEMO:
-            self.memo, self.windows = {}, []
-        ids_a, ids_b = [], []
-        step, size = [], 0
-        for i, text in enumerate(texts):
-            step.append(text)
-            size += len(text)
-            if size >= STEP_BYTES or i + 1 == len(texts):
-                for ids, new in zip((ids_a, ids_b), self.tokens(step)):
-                    ids += new
-                step, size = [], 0
-        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([*ids, np.zeros(0, dtype=np.int32)]) for ids in (ids_a, ids_b))
+            self.forget()
+        (a, n_a), (b, n_b) = self.tokens(texts)
         n = len(texts)
         if not len(a):
             none = np.zeros(0, dtype=np.int64)
@@ -211,50 +303,70 @@ class Aligner:
             return docs, {"pairs": none, "linked": none, "firsts": none, "links": none}
         text_ends = np.cumsum(n_a)
         ends_a, ends_b = self.cut(a, b, text_ends)
-        numbers = self.lookup(a, b, ends_a, ends_b)
-        known, window = np.unique(numbers, return_inverse=True)
-        entries = [self.windows[x] for x in known.tolist()]
-        names = np.array([x[0] for x in entries], dtype=object)
-        n_groups = np.array([x[1] for x in entries], dtype=np.int64)
-        n_links = np.array([len(x[2]) for x in entries], dtype=np.int64)
+        known, window = np.unique(self.lookup(a, b, ends_a, ends_b), return_inverse=True)
+        names = [self.groups[x] for x in known.tolist()]
+        n_groups, n_links = self.n_groups[known], self.firsts[known + 1] - self.firsts[known]
         firsts = np.concatenate([[0], np.cumsum(n_links)])
-        pairs, links = np.unique(np.concatenate([np.array(x[2], dtype=np.int64) for x in entries]), return_inverse=True)
+        place = np.arange(firsts[-1]) + np.repeat(self.firsts[known] - firsts[:-1], n_links)
+        pairs, links = np.unique(self.links[place], return_inverse=True)
         uses = np.bincount(window, minlength=len(known))
         linked = np.zeros(len(pairs), dtype=np.int64)
         np.add.at(linked, links, np.repeat(uses, n_links))
-        until = np.searchsorted(ends_a, text_ends, side="right")
-        docs = {"n_a": n_a, "n_b": n_b, "n_groups": [], "n_links": [], "groups_sha256": [], "windows": [], "times": []}
-        for x, y, tokens in zip([0, *until[:-1].tolist()], until.tolist(), n_a.tolist(), strict=True):
-            own = window[x:y] if tokens else window[:0]
-            docs["n_groups"].append(int(n_groups[own].sum()))
-            docs["n_links"].append(int(n_links[own].sum()))
-            docs["groups_sha256"].append(hashlib.sha256(";".join(names[own]).encode()).hexdigest() if tokens else "")
-            found, times = np.unique(own, return_counts=True)
-            docs["windows"].append(found)
-            docs["times"].append(times)
+        edges = np.searchsorted(ends_a, text_ends, side="right")  # windows before each text's end
+        begins = np.concatenate([[0], edges[:-1]])
+        sums = [np.concatenate([[0], np.cumsum(x[window])]) for x in (n_groups, n_links)]
+        ids = window.tolist()
+        digests = [hashlib.sha256(";".join(map(names.__getitem__, ids[x:y])).encode()).hexdigest() if y > x else ""
+                   for x, y in zip(begins.tolist(), edges.tolist())]
+        # the distinct windows of each text and how often it has them
+        text = np.repeat(np.arange(n), edges - begins)
+        found, times = np.unique(text * len(known) + window, return_counts=True)
+        cut = np.searchsorted(found, np.arange(1, n) * len(known))
+        docs = {"n_a": n_a, "n_b": n_b, "n_groups": sums[0][edges] - sums[0][begins], "n_links": sums[1][edges] - sums[1][begins],
+                "groups_sha256": digests, "windows": np.split(found % len(known), cut), "times": np.split(times, cut)}
         return docs, {"pairs": pairs, "linked": linked, "firsts": firsts, "links": links}
 
 
-def part_cuts(text: str, part: int = PART) -> list[int]:
-    """Places of blanks between two letters or digits, at which a long text is
-    encoded in parts of about ``part`` characters."""
-    cuts, begin = [], 0
-    while len(text) - begin > part:
-        at = text.find(" ", begin + part)
-        while at > 0 and not (text[at - 1].isalnum() and text[at + 1:at + 2].isalnum()):
-            at = text.find(" ", at + 1)
-        if at < 0:
-            break
-        cuts.append(at)
-        begin = at + 1
-    return cuts
+def gather(flat: np.ndarray, begins: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``numbers`` of lists that lie one after the other: flat, and how
+    long each is."""
+    size = begins[numbers + 1] - begins[numbers]
+    place = np.arange(int(size.sum())) + np.repeat(begins[numbers] - (np.cumsum(size) - size), size)
+    return flat[place], size
+
+
+def parts_of(text: str) -> list[str]:
+    """The text cut at the blanks where tokens can't go across."""
+    if not text:
+        return []
+    visible = text.replace("\n", "x").isprintable() and "\u2581" not in text
+    if visible and not any(x in text for x in _UNSAFE) and text[0] not in " \n" and text[-1] not in " \n":
+        return text.split(" ")
+    return _CUT.split(text)
+
+
+def _with_ends(n: int, inner: str, last: str) -> np.ndarray:
+    """Each id as text, followed by ``inner`` (at 2 * id) or ``last``."""
+    return np.array([f"{i}{end}" for i in range(n) for end in (inner, last)], dtype=object)
+
+
+def _by_rank(path: str, entries: list[bytes]):
+    """An encoder by ranks, for a vocabulary that has the same id for every entry."""
+    from public_tokenizers import PATTERN
+    from tiktoken import Encoding
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(entry): int(rank) for entry, rank in map(bytes.split, lines)}
+    if any(entries[i] != entry for entry, i in ranks.items()):
+        raise ValueError("the ranks are of another vocabulary")
+    return Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 @lru_cache(maxsize=2)
 def _aligner(name_a: str, name_b: str) -> Aligner:
-    import public_tokenizers
+    from public_tokenizers import path
 
-    return Aligner(public_tokenizers.path(name_a), public_tokenizers.path(name_b))
+    return Aligner(path(name_a), path(name_b), path(RANKS_A[name_a]) if name_a in RANKS_A else None)
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:

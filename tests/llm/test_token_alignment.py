@@ -8,12 +8,12 @@ import public_tokenizers
 import pytest
 
 from paymart.llm import token_alignment
-from paymart.llm.token_alignment import TOKENIZER_A, TOKENIZER_B, Aligner, align_tokens, part_cuts
+from paymart.llm.token_alignment import RANKS_A, TOKENIZER_A, TOKENIZER_B, Aligner, align_tokens
 
 
 @pytest.fixture(scope="module")
 def aligner():
-    return Aligner(public_tokenizers.path(TOKENIZER_A), public_tokenizers.path(TOKENIZER_B))
+    return Aligner(*map(public_tokenizers.path, (TOKENIZER_A, TOKENIZER_B, RANKS_A[TOKENIZER_A])))
 
 
 def whole_tokens(aligner, text):
@@ -81,7 +81,8 @@ def test_small_batches_and_memo(spark, aligner, monkeypatch):
     rnd = random.Random(2)
     texts = [random_text(rnd, rnd.randint(0, 30)) for _ in range(60)]
     monkeypatch.setattr(token_alignment, "MEMO", 20)
-    monkeypatch.setattr(token_alignment, "STEP_BYTES", 50)
+    monkeypatch.setattr(token_alignment, "STEP", 7)
+    monkeypatch.setattr(token_alignment, "LONG", 5)
     expected = brute(aligner, list(enumerate(texts)))
     for size in (1, 7, 60):
         got = []
@@ -99,18 +100,34 @@ def test_empty_table_and_extra_columns(spark, aligner):
     assert run(spark, [(1, None), (2, "")]) == brute(aligner, [(1, None), (2, "")])
 
 
-def test_parts_give_the_tokens_of_the_whole(aligner, monkeypatch):
+def test_parts_give_the_tokens_of_the_whole(aligner):
     rnd = random.Random(3)
-    cut = part_cuts
-    monkeypatch.setattr(token_alignment, "part_cuts", lambda text: cut(text, 10))
+    odd = [chr(c) for c in (*range(0x20), 0x7F, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x200B, 0x2060, 0x2581, 0x3000, 0xFEFF, 0x301,
+                            0x5D0, 0x661, 0x1F600)]
     parted = 0
-    for _ in range(300):
+    for n in range(600):
         text = random_text(rnd, rnd.randint(1, 60))
-        parted += bool(cut(text, 10))
-        a, b = aligner.encode([text, "x"])
-        assert a[0].tolist() == aligner.a.encode(" " + text, add_special_tokens=False).ids
-        assert b[0].tolist() == aligner.b.encode(text)
-    assert parted > 200
+        for _ in range(n % 4):
+            at = rnd.randrange(len(text) + 1)
+            text = text[:at] + rnd.choice([" ", ""]) + rnd.choice(odd) + rnd.choice([" ", ""]) + text[at:]
+        text = text.replace("\u2581", "") if n % 2 else text
+        if n % 3 == 0:  # no white space but single blanks
+            text = " ".join(text.split())
+        parted += len(token_alignment.parts_of(text)) > 3
+        assert tuple(ids.tolist() for ids, _ in aligner.tokens([text])) == whole_tokens(aligner, text)
+    assert parted > 400
+
+
+def test_ranks_give_the_ids_of_the_vocabulary(aligner):
+    rnd = random.Random(5)
+    plain = [chr(c) for c in (0x0A, *range(0x20, 0x7F), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
+    for n in range(3000):
+        letters = plain if n % 3 else rnd.sample(plain, 4)
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 64)))
+        if n % 5 == 0:
+            text = rnd.choice(["'s", "'LL", "don't", "  ", "\n\n", "1234", "<|endoftext|>", "éÀß"]) + text
+        assert token_alignment._PLAIN.fullmatch(text)
+        assert aligner.by_rank(" " + text) == aligner.a.encode(" " + text, add_special_tokens=False).ids, text
 
 
 def test_very_long_texts(spark, aligner):

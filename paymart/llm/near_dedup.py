@@ -49,8 +49,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm import textops as tx
-from paymart.llm.components import connected_components
-from paymart.session import work_dir
+from paymart.llm.components import connected_components, joined_components
+from paymart.session import stored_once
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -214,25 +214,19 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -
 
 # ------------------------------------------------------------------ groups
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _buckets(texts: DataFrame, width: int, size: int, rows: int) -> DataFrame:
     """(band, node, leader) of the nodes that share a band with others. The
     leader has the most nodes in all its buckets."""
     bands = texts.mapInArrow(_signatures(width, size, rows), _SIGNATURES)
-    entries = (_stored(bands.dropDuplicates([_NODE]), "near-bands")
+    entries = (stored_once(bands.dropDuplicates([_NODE]), "near-bands")
                .select(F.explode("bands").alias("band"), _NODE))
     many = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = _stored(entries.join(many, "band"), "near-shared")
+    shared = stored_once(entries.join(many, "band"), "near-shared")
     degree = shared.groupBy(_NODE).agg(F.sum("n").alias("degree"))
-    shared = _stored(shared.drop("n").join(degree, _NODE), "near-degrees")
+    shared = stored_once(shared.drop("n").join(degree, _NODE), "near-degrees")
     leaders = (shared.groupBy("band").agg(F.max(F.struct("degree", _NODE)).alias("lead"))
                .select("band", F.col(f"lead.{_NODE}").alias("leader")))
-    return _stored(shared.join(leaders, "band").select("band", _NODE, "leader"), "near-buckets")
+    return stored_once(shared.join(leaders, "band").select("band", _NODE, "leader"), "near-buckets")
 
 
 def _open_entries(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -282,18 +276,19 @@ def near_components(base: DataFrame, width: int = WIDTH, threshold: float = THRE
     texts = base.select(_NODE, _T)
     buckets = _buckets(texts, width, size, rows)
     nodes = buckets.select(_NODE).distinct()
-    wanted = _stored(texts.join(nodes, _NODE, "left_semi").dropDuplicates([_NODE]), "near-texts")
+    wanted = stored_once(texts.join(nodes, _NODE, "left_semi").dropDuplicates([_NODE]), "near-texts")
     star = (buckets.where(F.col(_NODE) != F.col("leader"))
             .select(F.col(_NODE).alias("a"), F.col("leader").alias("b")).distinct())
-    tried = _stored(verified(star, wanted, width, threshold), "near-star")
+    tried = stored_once(verified(star, wanted, width, threshold), "near-star")
     links = tried.where("linked").select("a", "b")
     labels = connected_components(links)
     entries = _open_entries(buckets, labels).join(tried, ["a", "b"])
-    pairs = _stored(_candidates(entries, threshold), "near-pairs")
-    more = _stored(verified(pairs, wanted, width, threshold).where("linked").select("a", "b"), "near-links")
+    pairs = stored_once(_candidates(entries, threshold), "near-pairs")
+    more = stored_once(verified(pairs, wanted, width, threshold).where("linked").select("a", "b"), "near-links")
+    # the new links only join components: the nodes' own rounds are not run again
     if more.isEmpty():
         return labels
-    return connected_components(links.unionByName(more))
+    return joined_components(labels, more)
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:

@@ -33,20 +33,31 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=U64), 7)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes of a text that are hashed at a time, and entries of the tables of powers.
+BLOCK = 1 << 16
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(odd: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``odd**i`` and its inverse modulo 2**64 for i < n (kept per process)."""
-    have = _powers.get(odd)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+def _table(odd: int) -> tuple[np.ndarray, np.ndarray]:
+    """``odd**i`` and its inverse modulo 2**64 for i <= ``BLOCK`` (kept per process)."""
+    if odd not in _tables:
         one = np.ones(1, dtype=U64)
-        inverse = pow(odd, -1, 1 << 64)
-        have = tuple(np.cumprod(np.concatenate([one, np.full(size - 1, U64(v))]), dtype=U64)
-                     for v in (odd, inverse))
-        _powers[odd] = have
-    return have[0][:n], have[1][:n]
+        _tables[odd] = tuple(np.cumprod(np.concatenate([one, np.full(BLOCK, U64(v))]), dtype=U64)
+                             for v in (odd, pow(odd, -1, 1 << 64)))
+    return _tables[odd]
+
+
+def powers(odd: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``odd**i`` and its inverse modulo 2**64 for i < n."""
+    small = _table(odd)
+    if n <= BLOCK:
+        return small[0][:n], small[1][:n]
+    steps = -(-n // BLOCK)
+    out = []
+    for base, table in zip((odd, pow(odd, -1, 1 << 64)), small):
+        jump = np.cumprod(np.concatenate([np.ones(1, dtype=U64), np.full(steps - 1, U64(pow(base, BLOCK, 1 << 64)))]), dtype=U64)
+        out.append(np.multiply.outer(jump, table[:BLOCK]).reshape(-1)[:n])
+    return out[0], out[1]
 
 
 @dataclass
@@ -109,12 +120,29 @@ def words_of(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (equal bytes, equal hash)."""
-    n = len(data)
-    up, down = powers(_ODD_BYTE, n + 1)
-    sums = np.zeros(n + 1, dtype=U64)
-    np.cumsum(_BYTE_VALUE[data] * up[:n], dtype=U64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts], 1)
+    """64-bit hash of each byte span (equal bytes, equal hash). Spans are in order
+    and apart; they are hashed in blocks of the data, so memory does not grow with it."""
+    up, down = _table(_ODD_BYTE)
+    out = np.empty(len(starts), dtype=U64)
+    i = 0
+    while i < len(starts):
+        low = starts[i]
+        j = int(np.searchsorted(ends, low + BLOCK, side="right"))
+        if j == i:  # one span over several blocks
+            total, factor = 0, 1
+            for at in range(low, ends[i], BLOCK):
+                part = data[at:min(at + BLOCK, ends[i])]
+                total += factor * int(np.sum(_BYTE_VALUE[part] * up[:len(part)], dtype=U64))
+                factor = factor * pow(_ODD_BYTE, BLOCK, 1 << 64) & 0xFFFFFFFFFFFFFFFF
+            out[i] = total & 0xFFFFFFFFFFFFFFFF
+            i += 1
+            continue
+        part = data[low:ends[j - 1]]
+        sums = np.zeros(len(part) + 1, dtype=U64)
+        np.cumsum(_BYTE_VALUE[part] * up[:len(part)], dtype=U64, out=sums[1:])
+        out[i:j] = (sums[ends[i:j] - low] - sums[starts[i:j] - low]) * down[starts[i:j] - low]
+        i = j
+    return mix(out, 1)
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:

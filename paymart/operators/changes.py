@@ -143,6 +143,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What lies in a stream's output folder, whether its log names it or not (a
+    batch that was repeated may be there twice); empty if there is no folder."""
+    found = _read(spark, f"{path.rstrip('/')}/*.parquet", schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, spec: dict) -> DataFrame:
     """Read one partition (``spec`` = partition column -> value, outermost
     first) of a table by its folder, with ``basePath`` so the partition

@@ -7,19 +7,21 @@ written anyway, so counting costs no extra pass over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def observe_split(checked: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def observe_split(checked: DataFrame, name: str, **more: Column) -> tuple[DataFrame, Observation]:
     """Attach read/valid/rejected counters to a ``*_checked`` frame (one with
-    a ``reason`` column). The numbers are ready after the first action."""
+    a ``reason`` column), and one for each condition of ``more``. The numbers are
+    ready after the first action."""
     obs = Observation(name)
     df = checked.observe(
         obs,
         F.count(F.lit(1)).alias("read"),
         F.count_if(F.col("reason").isNull()).alias("valid"),
-        F.count_if(F.col("reason").isNotNull()).alias("rejected"))
+        F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+        *[F.count_if(condition).alias(counter) for counter, condition in more.items()])
     return df, obs
 
 

@@ -147,6 +147,39 @@ two_drains AS (
 )"""
 
 
+# three micro-batches by time; the first one's message of a key stays
+_EPOCHS = """
+epochs AS (
+    SELECT object_id, object_type, sent_dttm, payload FROM decoded WHERE reason IS NULL
+    QUALIFY row_number() OVER (
+        PARTITION BY object_id
+        ORDER BY ("timestamp" >= TIMESTAMP '2024-01-11') :: INT + ("timestamp" >= TIMESTAMP '2024-01-21') :: INT,
+            "partition", "offset") = 1
+)"""
+
+# what each stage's run reads, keeps and writes on two days, one after the other
+_RUNS = """
+run_dates AS (SELECT unnest([DATE '2024-01-05', DATE '2024-01-06']) AS run_date),
+counted AS (
+    SELECT 'landing' AS stage, run_date, count(*) AS "read", count(*) FILTER (WHERE reason IS NULL) AS valid,
+        count(*) FILTER (WHERE reason IS NOT NULL) AS rejected,
+        CASE WHEN run_date = DATE '2024-01-05' THEN count(DISTINCT object_id) FILTER (WHERE reason IS NULL) ELSE 0 END AS written
+    FROM decoded, run_dates GROUP BY run_date
+    UNION ALL
+    SELECT 'currencies', run_date, count(reason_known), count(*) FILTER (WHERE reason_known AND reason IS NULL),
+        count(*) FILTER (WHERE reason IS NOT NULL), count(*) FILTER (WHERE reason_known AND reason IS NULL)
+    FROM run_dates LEFT JOIN (SELECT *, TRUE AS reason_known FROM rates_checked) r ON CAST(sent_dttm AS DATE) = run_date GROUP BY run_date
+    UNION ALL
+    SELECT 'transactions', run_date, count(reason_known), count(*) FILTER (WHERE reason_known AND reason IS NULL),
+        count(*) FILTER (WHERE reason IS NOT NULL), count(*) FILTER (WHERE reason_known AND reason IS NULL)
+    FROM run_dates LEFT JOIN (SELECT *, TRUE AS reason_known FROM src_checked) t
+        ON CAST(transaction_dttm AS DATE) = run_date GROUP BY run_date
+    UNION ALL
+    SELECT 'mart', run_date, NULL, NULL, NULL, count(m.date_update)
+    FROM run_dates LEFT JOIN {metrics} m ON m.date_update = run_date GROUP BY run_date
+)"""
+
+
 def _text_checked(where: str = "TRUE") -> str:
     """The all-text source, checked: a null is missing, what does not cast is bad."""
     columns = ["operation_id", "account_number_from", "account_number_to", "currency_code", "country", "status",
@@ -180,6 +213,16 @@ SELECT * FROM two_drains""",
     "landing_checkpoint_lost": f"""{WITH}, {_TWO_DRAINS}
 SELECT * FROM two_drains""",
 
+    "landing_key_index": f"""{WITH}
+SELECT object_id, object_type, sent_dttm, payload FROM decoded
+WHERE reason IS NULL AND CAST("timestamp" AS DATE) IN (DATE '2024-01-05', DATE '2024-01-20')
+    AND object_id NOT IN (SELECT object_id FROM decoded
+                          WHERE reason IS NULL AND "timestamp" < TIMESTAMP '2024-01-16 00:00:00')
+QUALIFY row_number() OVER (PARTITION BY object_id ORDER BY "partition", "offset") = 1""",
+
+    "landing_micro_batches": f"""{WITH}, {_EPOCHS}
+SELECT * FROM epochs""",
+
     "currency_extract": f"""{WITH}
 SELECT object_id, payload, sent_dttm FROM landing
 WHERE object_type = 'CURRENCY' AND CAST(sent_dttm AS DATE) = {RUN_DATE_SQL}""",
@@ -299,6 +342,25 @@ SELECT 'transactions', CAST(transaction_dttm AS DATE), COUNT(*),
     COUNT(*) FILTER (WHERE reason IS NULL), COUNT(*) FILTER (WHERE reason IS NOT NULL)
 FROM src_checked GROUP BY 1, 2""",
 
+    "accounts_by_month": f"""{WITH},{_SETTLED}
+SELECT CAST(date_trunc('month', date_update) AS DATE) AS month, currency_code AS currency_from,
+    count(DISTINCT account_number_from) AS accounts
+FROM settled GROUP BY 1, 2""",
+
+    "mart_refresh": f"""{WITH},
+corrected AS (
+    SELECT * REPLACE (CASE WHEN CAST(transaction_dttm AS DATE) = {RUN_DATE_SQL} THEN amount + 1 ELSE amount END AS amount)
+    FROM conformed)
+SELECT * FROM {_metrics('corrected', 'stg_rates')}""",
+
+    "load_totals": f"""{WITH},{_PIPE_RATES.format(
+        cond="AND CAST(sent_dttm AS DATE) IN (DATE '2024-01-05', DATE '2024-01-06')", tx_cond="")},
+{_RUNS.format(metrics=_metrics('p_tx', 'p_rates'))}
+SELECT stage, CAST(row_number() OVER so_far AS INTEGER) AS run_no, run_date, "read", valid, rejected, written,
+    CAST(sum(coalesce("read", 0)) OVER so_far AS BIGINT) AS total_read,
+    CAST(sum(written) OVER so_far AS BIGINT) AS total_written
+FROM counted WINDOW so_far AS (PARTITION BY stage ORDER BY run_date ROWS UNBOUNDED PRECEDING)""",
+
     "missing_rates": f"""{WITH},{_SETTLED}
 SELECT s.* FROM settled s
 WHERE NOT EXISTS (SELECT 1 FROM stg_rates r

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.functions import day_of
-from paymart.operators import changes, mart, messages, quality, staging
+from paymart.operators import accounts, changes, mart, messages, quality, staging
+from paymart.operators.keys import KeyIndex
 from paymart.plans import jobs
 from paymart.schemas import MART_KEY, TRANSACTION_KEY
 from paymart.session import configure, stored_once, work_dir
@@ -27,6 +28,10 @@ NO_EVENTS = _dt.date(2031, 1, 1)
 REPLACED_DATES = (_dt.date(2024, 1, 5), _dt.date(2024, 1, 6))
 # the first drain of the landing holds the messages stamped before this time
 FIRST_DRAIN_END = "2024-01-16 00:00:00"
+# the days of a small batch: one that was landed before, one that is new
+BATCH_DAYS = (_dt.date(2024, 1, 5), _dt.date(2024, 1, 20))
+# where the three micro-batches of a stream end
+EPOCH_ENDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 ORDER = ["partition", "offset"]
 LANDING_COLUMNS = ["object_id", "object_type", "sent_dttm", "payload"]
 
@@ -93,6 +98,34 @@ def q_landing_checkpoint_lost(spark, sf_dir):
     return _two_drains(spark, sf_dir, "another").read_landing(spark).select(*LANDING_COLUMNS)
 
 
+def q_landing_key_index(spark, sf_dir):
+    """What a batch of two days adds to a landing of the first drain's messages,
+    told by the landing's key index: keys that the filters know to be new are never
+    looked up, the others in their own shards only."""
+    dec = stored_once(messages.decode_envelope(_records(spark, sf_dir), keep=ORDER + ["timestamp"]), "decoded")
+    index = KeyIndex(work_dir(spark, "key_index"))
+    index.add(dec.where(_early()).select("object_id").distinct())
+    batch = dec.where(day_of("timestamp").isin(*BATCH_DAYS)).drop("timestamp")
+    return index.insert_ignore(changes.first_per_key(batch, ["object_id"], ORDER)).select(*LANDING_COLUMNS)
+
+
+def q_landing_micro_batches(spark, sf_dir):
+    """A stream landed micro-batch by micro-batch (three files, one each): the first
+    batch's message of a key wins."""
+    from paymart.streaming.epochs import land_epochs
+    from paymart.streaming.landing import message_stream
+
+    lake = jobs.Lake(work_dir(spark, "landing_epochs"))
+    topic = f"{lake.root}/topic"
+    recs = stored_once(_records(spark, sf_dir), "records")
+    sent, ends = F.col("timestamp"), [F.lit(t).cast("timestamp") for t in EPOCH_ENDS]
+    for part in (sent < ends[0], (sent >= ends[0]) & (sent < ends[1]), sent >= ends[1]):
+        recs.where(part).coalesce(1).write.mode("append").parquet(topic)
+    land_epochs(spark, lake, message_stream(spark, "parquet", path=topic, max_per_trigger=1),
+                f"{lake.root}/epochs", f"{lake.root}/checkpoint")
+    return lake.read_landing(spark).select(*LANDING_COLUMNS)
+
+
 # ---------------------------------------------------------------- rates
 
 def q_currency_extract(spark, sf_dir):
@@ -224,6 +257,27 @@ def q_emptiness(spark, sf_dir):
     return spark.createDataFrame(found, "run_date date, is_empty boolean")
 
 
+def q_accounts_by_month(spark, sf_dir):
+    """O36 over months: distinct accounts per currency, put together from the stored
+    bitmaps of the days."""
+    configure(spark)
+    days = stored_once(accounts.day_accounts(mart.settled_transactions(A.stg_transactions(spark, sf_dir))), "day-accounts")
+    return (accounts.distinct_accounts(days, F.trunc("date_update", "month"))
+            .withColumnRenamed("span", "month"))
+
+
+def q_mart_refresh(spark, sf_dir):
+    """O50 after a late correction of one day's amounts: only that day is built anew."""
+    configure(spark)
+    lake, src = jobs.Lake(work_dir(spark, "mart_refresh")), A.src_transactions(spark, sf_dir)
+    lake.stg_currencies.replace(A.stg_currencies(spark, sf_dir))
+    jobs.stage_transactions(spark, lake, src, None)
+    jobs.build_global_metrics(spark, lake, None)
+    jobs.stage_transactions(spark, lake, src.withColumn("amount", F.col("amount") + 1), RUN_DATE)
+    jobs.refresh_global_metrics(spark, lake)
+    return lake.read_mart(spark)
+
+
 # ---------------------------------------------------------------- counters, whole runs
 
 def q_missing_rates(spark, sf_dir):
@@ -249,6 +303,16 @@ def q_load_counters(spark, sf_dir):
     return landing.unionByName(rates).unionByName(txs)
 
 
+def q_load_totals(spark, sf_dir):
+    """The counters of two days' runs with the running totals of each stage."""
+    configure(spark)
+    lake = jobs.Lake(work_dir(spark, "load_totals"))
+    records = stored_once(_records(spark, sf_dir), "records")
+    for day in REPLACED_DATES:
+        jobs.run_day(spark, lake, records, A.src_transactions(spark, sf_dir), day)
+    return lake.read_totals(spark)
+
+
 def q_run_day(spark, sf_dir):
     configure(spark)
     lake = jobs.Lake(work_dir(spark, "run_day"))
@@ -264,12 +328,12 @@ def q_run_days(spark, sf_dir):
 
 
 def q_run_days_rejects(spark, sf_dir):
-    """The stored rejects of a run over all days, twice: the rerun stores none
-    a second time."""
+    """The stored rejects of a run over all days, of a rerun, which stores none a
+    second time, and of a run over one day's source, which leaves the others'."""
     configure(spark)
-    lake = jobs.Lake(work_dir(spark, "run_days_rejects"))
-    for _ in range(2):
-        jobs.run_days(spark, lake, _records(spark, sf_dir), A.src_transactions_text(spark, sf_dir))
+    lake, src = jobs.Lake(work_dir(spark, "run_days_rejects")), A.src_transactions_text(spark, sf_dir)
+    for source in (src, src, src.where(F.col("transaction_dt").startswith(str(RUN_DATE)))):
+        jobs.run_days(spark, lake, _records(spark, sf_dir), source)
     return lake.read_rejects(spark)
 
 
@@ -279,6 +343,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_insert_ignore": q_landing_insert_ignore,
     "landing_stream": q_landing_stream,
     "landing_checkpoint_lost": q_landing_checkpoint_lost,
+    "landing_key_index": q_landing_key_index,
+    "landing_micro_batches": q_landing_micro_batches,
     "currency_extract": q_currency_extract,
     "currency_payload": q_currency_payload,
     "currency_rejects": q_currency_rejects,
@@ -300,6 +366,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "currencies_deduped": q_currencies_deduped,
     "emptiness": q_emptiness,
     "load_counters": q_load_counters,
+    "accounts_by_month": q_accounts_by_month,
+    "mart_refresh": q_mart_refresh,
+    "load_totals": q_load_totals,
     "missing_rates": q_missing_rates,
     "run_day": q_run_day,
     "run_days": q_run_days,

@@ -92,3 +92,36 @@ def stored_once(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file in whatever file system it lies."""
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if there is no folder."""
+    fs, folder = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def write_file_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is there wholly or not at all; False if there is one
+    of that name already."""
+    fs, target = _file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    # a rename onto a name that is taken fails or returns false
+    done = not fs.exists(target) and fs.rename(aside, target)
+    if not done:
+        fs.delete(aside, False)
+    return done

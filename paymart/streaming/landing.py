@@ -3,14 +3,16 @@
 A drain has two steps:
 
 1. A stateless query appends the raw messages, with their partition and
-   offset, to an inbox. It keeps no state for ever and no key meets in one task.
-   Each inbox belongs to one checkpoint: its name is stored with it, so after a
-   lost or changed checkpoint the messages go to a new inbox, not into the log of
-   the old one, which would skip them.
-2. The batch job ``plans.jobs.land`` takes the inbox rows of the drains that
-   are not landed yet: first message per key by (partition, offset), anti-join
-   against the table. So a replay from the earliest offset lands nothing twice,
-   and nothing is lost: a drain that fails before step 2 is landed by the next.
+   offset, to a folder of its own in the checkpoint's inbox. It keeps no state for
+   ever and no key meets in one task.
+2. The batch job ``plans.jobs.land`` takes the folders in the inbox: first message
+   per key by (partition, offset), then those whose key the table's index lacks. So a
+   replay from the earliest offset lands nothing twice, and nothing is lost: a drain
+   that fails before step 2 is landed by the next, together with the messages it may
+   have read again.
+
+A landed drain's folder is removed, so the inbox holds what is not landed yet, and a
+drain costs what it brings, not what was landed before.
 
 There is no callback from the JVM to Python and no time limit, unless the
 caller sets one.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from paymart.operators.changes import read_table
-from paymart.session import configure
+from paymart.operators.changes import read_files
+from paymart.session import configure, list_folder, remove_folder
 
 # A message as a topic gives it, and in the inbox.
 RECORD = T.StructType([
@@ -37,8 +40,6 @@ RECORD = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
     T.StructField("value", T.BinaryType()),
 ])
-_DRAIN = T.StructType([T.StructField("drain", T.StringType())])
-_INBOX = T.StructType(RECORD.fields + _DRAIN.fields)
 
 
 def message_stream(spark: SparkSession, fmt: str, options: dict | None = None,
@@ -82,7 +83,7 @@ def _inbox_name(spark: SparkSession, checkpoint: str) -> str:
     return name
 
 
-def _drain(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
+def drained(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
@@ -92,31 +93,37 @@ def _drain(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
     return q
 
 
-def fill_inbox(spark: SparkSession, stream: DataFrame, inbox: str, checkpoint: str,
-               timeout_s: float | None = None) -> StreamingQuery:
-    """Append what is new in the source to the inbox, then end."""
-    drain = f"{uuid.uuid4().hex}"
-    q = (stream.select(*RECORD.fieldNames()).withColumn("drain", F.lit(drain))
-         .writeStream.format("parquet").option("path", inbox).option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
-         .partitionBy("drain").outputMode("append").trigger(availableNow=True).start())
-    return _drain(q, timeout_s)
+def fill_inbox(spark: SparkSession, lake, stream: DataFrame, checkpoint: str,
+               timeout_s: float | None = None) -> list[dict]:
+    """Append what is new in the source to a new folder of the
+    checkpoint's inbox, then end. Returns the figures of each micro-batch: its
+    number, the messages it read and how many of them were null. They are observed
+    on the stream and taken from the query's own progress."""
+    inbox, drain = _inbox_name(spark, checkpoint), uuid.uuid4().hex
+    seen = stream.select(*RECORD.fieldNames()).observe(
+        drain, F.count(F.lit(1)).alias("messages"), F.count_if(F.col("value").isNull()).alias("nulls"))
+    q = (seen.writeStream.format("parquet").option("path", f"{lake.inbox(inbox)}/{drain}")
+         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
+         .outputMode("append").trigger(availableNow=True).start())
+    drained(q, timeout_s)
+    found = [(p.batchId, p.observedMetrics.get(drain)) for p in q.recentProgress]
+    return [{"batch": i, "messages": x.messages if x else 0, "nulls": x.nulls if x else 0} for i, x in found]
 
 
 def land_stream(spark: SparkSession, lake, stream: DataFrame, checkpoint: str, order: Sequence[str] = ("partition", "offset"),
                 run_date=None, timeout_s: float | None = None) -> dict:
     """Run until the source is drained, land the new messages and return
-    the landing's counters. ``checkpoint`` (O45) must be on shared storage."""
+    the landing's counters and, as ``batches``, the figures of each micro-batch.
+    ``checkpoint`` (O45) must be on shared storage."""
     from paymart.plans.jobs import land
 
     configure(spark)
+    batches = fill_inbox(spark, lake, stream, checkpoint, timeout_s)
     inbox = lake.inbox(_inbox_name(spark, checkpoint))
-    fill_inbox(spark, stream, inbox, checkpoint, timeout_s)
-    rows = read_table(spark, inbox, _INBOX)
-    landed = read_table(spark, lake.landed_drains, _DRAIN)
-    # drains are folders: only the ones not landed are read
-    names = rows.select("drain").distinct().join(landed, "drain", "left_anti")
-    new = sorted(r.drain for r in names.collect())  # one name per drain since the last landing
-    out = land(spark, lake, rows.where(F.col("drain").isin(new)).select(*RECORD.fieldNames()), order, run_date)
-    if new:
-        spark.createDataFrame([(n,) for n in new], _DRAIN).write.mode("append").parquet(lake.landed_drains)
-    return out
+    folders = [f"{inbox}/{drain}" for drain in sorted(list_folder(spark, inbox))]  # those since the last landing
+    empty = spark.createDataFrame([], RECORD)
+    out = land(spark, lake, reduce(DataFrame.unionByName, [read_files(spark, f, RECORD) for f in folders], empty),
+               order, run_date)
+    for folder in folders:
+        remove_folder(spark, folder)
+    return {**out, "batches": batches}

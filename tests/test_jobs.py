@@ -3,6 +3,8 @@ writes replace whole days, reruns give the same tables, a range run equals
 the day runs."""
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,3 +221,34 @@ def test_landing_rejects_by_any_order(spark, scratch):
     assert rejects("raw", [(i, r, r) for i, r in enumerate(raws)], "stage long, raw string, value string", ["stage"]) == every
     # a message's place in a topic is enough
     assert rejects("topic", [(0, 1, "{bad"), (0, 1, "{bad"), (0, 2, "{bad")], schema, ["partition", "offset"]) == [bad, bad]
+
+
+def test_a_range_run_keeps_the_rejects_of_other_days(spark, scratch):
+    lake = jobs.Lake(scratch)
+    src = A.src_transactions_text(spark, SF_SMALL)
+    of_day = lambda d: src.where(F.col("transaction_dt").startswith(str(d)))
+    whole = [F.col(c).isNotNull() for c in src.columns]
+    bad = lambda d: (of_day(d).where(reduce(and_, whole)).orderBy("operation_id").limit(1)
+                     .withColumns({"amount": F.lit("x"), "account_number_from": F.lit("1"), "account_number_to": F.lit("2")}))
+    kept = lambda: sorted((str(r.run_date), r.reason) for r in lake.read_rejects(spark).collect())
+    jobs.stage_transactions(spark, lake, bad(DAYS[0]), DAYS[0])
+    jobs.stage_transactions(spark, lake, bad(DAYS[1]), None)                  # a range run over another day
+    assert kept() == [(str(DAYS[0]), "bad_amount"), (str(DAYS[1]), "bad_amount")]
+    good = bad(DAYS[0]).withColumn("amount", F.lit("5"))
+    jobs.stage_transactions(spark, lake, good, None)                          # none of that day now
+    assert kept() == [(str(DAYS[1]), "bad_amount")]
+    undated = bad(DAYS[0]).withColumn("transaction_dt", F.lit("never"))
+    for rows in (undated, undated, bad(DAYS[0]), undated.unionByName(undated)):
+        jobs.stage_transactions(spark, lake, rows, None)
+    assert kept() == sorted([(str(DAYS[0]), "bad_amount"), (str(DAYS[1]), "bad_amount"), *[("None", "bad_amount")] * 2])
+
+
+def test_totals_run_on(spark, scratch):
+    lake = jobs.Lake(scratch)
+    records, src = _inputs(spark)
+    out = [jobs.run_day(spark, lake, records, src, d) for d in (*DAYS, DAYS[1])]
+    for stage in jobs.STAGES:
+        rows = lake.read_totals(spark).where(F.col("stage") == stage).orderBy("run_no").collect()
+        assert [r.run_no for r in rows] == [1, 2, 3] and [r.run_date for r in rows] == [*DAYS, DAYS[1]]
+        assert [r.written for r in rows] == [o[stage]["written"] for o in out]
+        assert rows[-1].total_written == sum(o[stage]["written"] for o in out)

@@ -104,3 +104,21 @@ def test_mart_types(spark):
     assert types == {"date_update": "date", "currency_from": "string", "amount_total": "decimal(38,6)",
                      "cnt_transactions": "bigint", "avg_transactions_per_account": "double",
                      "cnt_accounts_make_transactions": "bigint"}
+
+
+def test_accounts_of_a_span_are_exact(spark):
+    """Bitmaps of days put together, against a plain distinct count; far numbers too."""
+    from pyspark.sql import functions as F
+    from paymart.operators.accounts import distinct_accounts, day_accounts
+
+    far = [2**32 - 1, 2**32, 2**32 + 1, 2**62, 2**63 - 1]
+    rows = [(f"2024-0{m}-{d:02d}", str(416 + (a or 0) % 2), a) for m in (1, 2) for d in (1, 2, 3)
+            for a in [*range(1, 70_000, 977 * d), 32_767, 32_768, 32_769, *far[:d + 2], None]]
+    settled = spark.createDataFrame(rows * 2 + [("2024-01-01", None, 5)], "d string, currency_code string, account_number_from long")
+    settled = settled.withColumn("date_update", F.to_date("d"))
+    month = F.trunc("date_update", "month")
+    want = settled.groupBy(month.alias("span"), F.col("currency_code").alias("currency_from")).agg(
+        F.count_distinct("account_number_from").alias("accounts"))
+    for dense in (2**32, 40_000, 1):
+        got = distinct_accounts(day_accounts(settled, dense), month)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted((tuple(r) for r in want.collect() if r.accounts), key=repr)

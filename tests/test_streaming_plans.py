@@ -68,12 +68,11 @@ def test_a_lost_checkpoint_loses_and_repeats_nothing(spark, scratch):
 
 
 def test_a_drain_that_was_not_landed_is_landed_by_the_next(spark, scratch):
-    from paymart.streaming.landing import _inbox_name, fill_inbox
+    from paymart.streaming.landing import fill_inbox
     lake, topic = jobs.Lake(f"{scratch}/lake"), f"{scratch}/topic"
     _send(spark, topic, [_env("a")])
     checkpoint = f"{lake.root}/c1"
-    inbox = lake.inbox(_inbox_name(spark, checkpoint))
-    fill_inbox(spark, message_stream(spark, "text", path=topic), inbox, checkpoint)   # then the job dies
+    fill_inbox(spark, lake, message_stream(spark, "text", path=topic), checkpoint)   # then the job dies
     _send(spark, topic, [_env("b")], start=1)
     _drain(spark, lake, topic, "c1")
     assert _keys(spark, lake) == ["a", "b"]

@@ -5,8 +5,8 @@ Two tables below ``KeyIndex.path``:
 
 * ``keys``  [shard], bucketed by key: every key of the table, and nothing else. A key's
   shard is a hash of it. A join on the key needs no shuffle of this side.
-* ``bits``  [shard]: a Bloom filter for each shard, as rows of 4 KB bitmaps, appended by
-  every batch and joined with "or" when they are read.
+* ``bits``  [shard]: a Bloom filter for each shard, as pages of 4 KB, appended by every
+  batch and joined with "or" when they are read. All bits of a key are in one page.
 
 A batch first looks up its keys' bits. Keys without all their bits are new. The
 others, known ones and a few that only look like it, are joined with the shards they
@@ -30,9 +30,10 @@ from paymart.operators.changes import read_table
 from paymart.session import list_folder, stored_once
 
 SHARDS = 16
-BUCKETS = 8
-#: Bits of a shard's filter: 1 MB, about 800,000 keys at one in 1000 mistaken.
-BITS = 1 << 23
+BUCKETS = 4
+#: Bits of a shard's filter (128 KB). About one new key in 100 is taken for a known one
+#: at a tenth as many keys; for a landing of N keys, choose shards * bits near 10 * N.
+BITS = 1 << 20
 HASHES = 4
 _PAGE = 32_768  # bits of a row's bitmap
 _BITS_SCHEMA = "shard int, page int, bits binary"
@@ -76,12 +77,11 @@ class KeyIndex:
     def _shard(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.shards)).cast("int")
 
-    def _places(self, keys: DataFrame) -> DataFrame:
-        """The bits of each key: (key, shard, page, bit)."""
-        at = F.explode(F.array(*[F.pmod(F.xxhash64(self.key, F.lit(i)), F.lit(self.bits)) for i in range(1, HASHES + 1)]))
-        return (keys.select(self.key, self._shard().alias("shard"), at.alias("at"))
-                .select(self.key, "shard", F.floor(F.col("at") / _PAGE).cast("int").alias("page"),
-                        (F.col("at") % _PAGE).alias("bit")))
+    def _placed(self, keys: DataFrame) -> DataFrame:
+        """(key, shard, page, bits): where each key's bits are."""
+        page = F.pmod(F.xxhash64(self.key, F.lit(0)), F.lit(-(-self.bits // _PAGE))).cast("int")
+        bits = F.array(*[F.pmod(F.xxhash64(self.key, F.lit(i)), F.lit(_PAGE)) for i in range(1, HASHES + 1)])
+        return keys.select(self.key, self._shard().alias("shard"), page.alias("page"), bits.alias("at"))
 
     # ------------------------------------------------------------- use
 
@@ -90,11 +90,13 @@ class KeyIndex:
         their shard."""
         filters = (self._filters(keys.sparkSession).groupBy("shard", "page")
                    .agg(F.bitmap_or_agg("bits").alias("bits")))
-        byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        is_set = F.call_function("shiftright", byte, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-        return (self._places(keys).join(filters, ["shard", "page"]).where(is_set)
-                .groupBy(self.key, "shard").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") == HASHES).select(self.key, "shard"))
+
+        def is_set(bit: Column) -> Column:
+            byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+            return F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+        return (self._placed(keys).join(filters, ["shard", "page"]).where(F.forall("at", is_set))
+                .select(self.key, "shard"))
 
     def known(self, keys: DataFrame) -> DataFrame:
         """Those of the (distinct) keys that the index has."""
@@ -108,7 +110,8 @@ class KeyIndex:
 
     def add(self, keys: DataFrame) -> None:
         """Put (distinct) keys into the index."""
-        pages = (self._places(keys).groupBy("shard", "page").agg(F.bitmap_construct_agg("bit").alias("bits")))
+        pages = (self._placed(keys).select("shard", "page", F.explode("at").alias("bit"))
+                 .groupBy("shard", "page").agg(F.bitmap_construct_agg("bit").alias("bits")))
         pages.write.mode("append").partitionBy("shard").parquet(f"{self.path}/bits")
         self.table(keys.sparkSession)
         # one task per bucket, so a batch adds a file per shard and bucket at most

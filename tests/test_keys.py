@@ -17,7 +17,7 @@ def _keys(spark, names):
 
 
 def test_known_keys_are_exact(spark, scratch):
-    for n, bits in enumerate((1 << 23, 32_768)):            # with a roomy and with a full filter
+    for n, bits in enumerate((1 << 20, 32_768)):            # with a roomy and with a full filter
         index = KeyIndex(f"{scratch}/{n}", shards=4, buckets=2, bits=bits)
         assert not index.exists(spark)
         have = [f"k{i}" for i in range(0, 9000, 2)] + ["", "é", "x" * 1000]

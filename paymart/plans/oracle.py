@@ -305,6 +305,9 @@ SELECT * FROM {_metrics('stg_tx', 'stg_rates', RUN_DATE_SQL)}""",
     "global_metrics_sql": f"""{WITH}
 SELECT * FROM {_metrics('stg_tx', 'stg_rates', RUN_DATE_SQL)}""",
 
+    "global_metrics_function": f"""{WITH}
+SELECT * FROM {_metrics('stg_tx', 'stg_rates', RUN_DATE_SQL)}""",
+
     "global_metrics_upsert": f"""{WITH},
 tgt AS (SELECT * FROM {_metrics('stg_tx', 'stg_rates', None,
                                 "transaction_type <> 'purchase' AND currency_code <> '419'")}),

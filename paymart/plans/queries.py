@@ -222,6 +222,12 @@ def q_global_metrics_sql(spark, sf_dir):
                                    RUN_DATE)
 
 
+def q_global_metrics_function(spark, sf_dir):
+    configure(spark)
+    mart.mart_functions(A.stg_transactions(spark, sf_dir), A.stg_currencies(spark, sf_dir))
+    return mart.global_metrics_of(spark, RUN_DATE)
+
+
 def q_global_metrics_upsert(spark, sf_dir):
     """Target: an earlier build without purchases and without currency 419;
     source: a build that lacks currency 416."""
@@ -361,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "global_metrics": q_global_metrics,
     "global_metrics_day": q_global_metrics_day,
     "global_metrics_sql": q_global_metrics_sql,
+    "global_metrics_function": q_global_metrics_function,
     "global_metrics_upsert": q_global_metrics_upsert,
     "mart_replace_day": q_mart_replace_day,
     "currencies_deduped": q_currencies_deduped,

@@ -179,6 +179,18 @@ def test_parameterised_query_prunes_both_tables(spark, scratch):
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_table_functions_prune_both_tables(spark, scratch):
+    lake, day = jobs.Lake(scratch), dt.date(2024, 1, 5)
+    lake.stg_currencies.replace(A.stg_currencies(spark, SF_SMALL))
+    jobs.stage_transactions(spark, lake, A.src_transactions(spark, SF_SMALL), None)
+    mart.mart_functions(lake.read_transactions(spark), lake.read_currencies(spark))
+    df = mart.global_metrics_of(spark, day)
+    plan = _plan(df)
+    assert "(business_date#" in plan and plan.count("= 2024-01-05)]") >= 2
+    want = mart.global_metrics(lake.read_transactions(spark), lake.read_currencies(spark), day)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect())) != []
+
+
 def test_insert_ignore_folds_once_and_joins_once(spark):
     """Besides the fold's own shuffle, at most two more for the join."""
     from paymart.operators import changes

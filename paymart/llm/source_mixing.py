@@ -8,8 +8,9 @@ retry, no row needs to know of any other, and the expected mix is the target.
 Copies are exploded and dealt over all tasks in a hash-random order.
 
 Rows are counted per source with a fold in each task. The rates (one row per
-source) are joined back on (source, salt), so a source with a third of all rows
-is spread over ``SALTS`` join keys.
+source) are stored and joined back on (source, salt): Spark broadcasts them if they
+are as small as they should be; else a source with a third of all rows is spread
+over ``SALTS`` join keys.
 
 Results: the input's columns and ``copy_no`` (0, 1, ...; a clashing name is
 replaced); rows with no copy are gone. A null source is a source of its own; a
@@ -23,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paymart.session import stored_once
+
 SEED = "mix-1"
 ALPHA = 0.5
 SALTS = 32
@@ -86,8 +89,10 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, total: float
     ``tempered_targets``."""
     counts = source_counts(docs, source)
     rates = source_rates(counts, targets if targets is not None else tempered_targets(counts), total)
-    spread = (rates.select(_S, poisson_cdf(F.col("rate")).alias(_CDF))
-              .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    # stored, so that Spark knows how small it is and need not shuffle the documents
+    # to meet it; if there are very many sources, the salts spread the large ones
+    spread = stored_once(rates.select(_S, poisson_cdf(F.col("rate")).alias(_CDF))
+                         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "mixing-rates")
     kept = [c for c in docs.columns if c != "copy_no"]
     drawn = (docs.select(*kept, _source_key(F.col(source)).alias(_S), uniform(F.col(doc_id), seed).alias(_U),
                          F.pmod(F.xxhash64(F.col(doc_id)), F.lit(SALTS)).cast("int").alias(_SALT))

@@ -14,9 +14,14 @@ Stable for the pre-tokenisation of ``word_bpe_49k.json`` (pieces: contractions,
 letter runs, single digits, symbol runs; white space dropped; composed and
 lower-cased character by character):
 
-* before an ASCII white space that is followed by another ASCII character;
-* between an ASCII letter and an ASCII character that is no letter;
-* between an ASCII digit and an ASCII character.
+* before an ASCII white space that no combining mark follows;
+* between a letter and a character that is no letter;
+* between a number and any character.
+
+Letters, numbers and others are told by their Unicode category, after the tokenizer's
+own composing and lower-casing of the character; characters that these turn into
+several, combining marks, white space beyond ASCII and characters whose category has
+changed since Unicode 3.2 (so the library's tables may differ) leave it open.
 
 Never within reach of ``<|``, which may begin a special token's string.
 
@@ -34,6 +39,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
 import os
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -150,13 +156,26 @@ def stable(text: str, at: int) -> bool:
     if not 0 < at < len(text):
         return False
     before, after = text[at - 1], text[at]
-    if not (before.isascii() and after.isascii()) or "<|" in text[max(0, at - _REACH):at + 2]:
+    if "<|" in text[max(0, at - _REACH):at + 2]:
         return False
     if after in _SPACE:
-        return at + 1 == len(text) or text[at + 1].isascii()
-    if before.isalpha():
-        return not after.isalpha()
-    return before.isdigit()
+        return not unicodedata.category(text[at + 1:at + 2] or "x").startswith("M")
+    left, right = kind(before), kind(after)
+    if left == "L":
+        return right in ("N", "O")
+    return left == "N" and right is not None
+
+
+@lru_cache(maxsize=1 << 16)
+def kind(character: str) -> str | None:
+    """``L`` letter, ``N`` number, ``O`` other visible character, None: not sure."""
+    character = unicodedata.normalize("NFC", character).lower()
+    if len(character) != 1:
+        return None
+    category = unicodedata.category(character)[0]
+    if category != unicodedata.ucd_3_2_0.category(character)[0]:
+        return None
+    return {"L": "L", "N": "N", "P": "O", "S": "O"}.get(category)
 
 
 @lru_cache(maxsize=4)

@@ -29,6 +29,44 @@ def test_chunks_equal_whole(seed):
         assert TokenCounter(LIB).counts(texts) == [whole(t) for t in texts]
 
 
+def _letters(begin, end):
+    return [chr(c) for c in range(begin, end) if chr(c).isalpha()]
+
+
+SCRIPTS = {
+    "cyrillic": (_letters(0x400, 0x460), " ,.!?—«»", 8), "greek": (_letters(0x370, 0x400), " ,.;·’", 8),
+    "cjk": (_letters(0x4E00, 0x4F00), "，。！？、「」", 12), "arabic": (_letters(0x620, 0x650) + ["\u064B", "\u0651"], " ،؟.", 7),
+    "devanagari": (_letters(0x905, 0x93A) + ["\u093E", "\u094D", "\u0902"], " ।,", 7),
+    "mixed": (list("aZéßİıǅﬁΣςж漢٣२½²Ⅷ") + ["e\u0301", "\u0307", "\u212B", "ᄀ", "ᅡ", "ᆨ", "각"], " 1٣½'!\u00A0\u3000\u037E\u200D\u0301€", 4)}
+
+
+def script_text(script, rnd, n):
+    letters, marks, length = SCRIPTS[script]
+    return "".join("".join(rnd.choices(letters, k=rnd.randint(1, length))) + rnd.choice(marks) + rnd.choice(["", "", " ", "7"])
+                   for _ in range(n))
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_every_script_is_spliced_exactly(script):
+    rnd = random.Random(script)
+    for chunk, overlap in ((8, 2), (40, 10), (200, 20)):
+        counter = TokenCounter(LIB, chunk, overlap)
+        for _ in range(150):
+            text = script_text(script, rnd, rnd.randint(1, 60))
+            assert counter.count_long(text) == whole(text), repr(text)
+
+
+@pytest.mark.parametrize("script", ["cyrillic", "greek", "cjk", "arabic", "devanagari"])
+def test_no_call_grows_with_the_text(script, monkeypatch):
+    text = script_text(script, random.Random(9), 40_000)
+    counter, sizes = TokenCounter(LIB), []
+    encode = counter._encode
+    monkeypatch.setattr(counter, "_encode", lambda part: sizes.append(len(part)) or encode(part))
+    assert len(text) > 6 * counter.chunk
+    assert counter.count_long(text) == whole(text)
+    assert max(sizes) <= counter.chunk + 8 * counter.overlap
+
+
 def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(token_counts, "MEMO", 50)
     rnd = random.Random(1)
@@ -47,7 +85,8 @@ def test_no_boundary_at_all():
 
 def test_stable_positions():
     assert stable("ab cd", 2) and not stable("abcd", 2) and stable("ab!", 2) and not stable("a'", 5)
-    assert not stable("'s", 1) and not stable("<|endoftext|>", 11)
+    assert stable("да нет", 2) and stable("да,", 2) and stable("漢。", 1) and stable("٣३", 1) and not stable("İ!", 1)
+    assert not stable("a\u0301", 1) and not stable("a \u0301", 1) and not stable("'s", 1) and not stable("<|endoftext|>", 11)
 
 
 def test_edge_rows(spark):

@@ -120,15 +120,21 @@ def words_of(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (equal bytes, equal hash). Spans are in order
-    and apart; they are hashed in blocks of the data, so memory does not grow with it."""
+    """64-bit hash of each byte span (equal bytes, equal hash). Spans are hashed in
+    blocks of the data, so memory does not grow with it."""
+    if np.any(starts[1:] < starts[:-1]):
+        order = np.argsort(starts, kind="stable")
+        out = np.empty(len(starts), dtype=U64)
+        out[order] = span_hashes(data, starts[order], ends[order])
+        return out
+    reach = np.maximum.accumulate(ends) if len(ends) else ends  # spans may overlap
     up, down = _table(_ODD_BYTE)
     out = np.empty(len(starts), dtype=U64)
     i = 0
     while i < len(starts):
         low = starts[i]
-        j = int(np.searchsorted(ends, low + BLOCK, side="right"))
-        if j == i:  # one span over several blocks
+        j = int(np.searchsorted(reach, low + BLOCK, side="right"))
+        if j <= i:  # one span over several blocks
             total, factor = 0, 1
             for at in range(low, ends[i], BLOCK):
                 part = data[at:min(at + BLOCK, ends[i])]
@@ -137,7 +143,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             out[i] = total & 0xFFFFFFFFFFFFFFFF
             i += 1
             continue
-        part = data[low:ends[j - 1]]
+        part = data[low:reach[j - 1]]
         sums = np.zeros(len(part) + 1, dtype=U64)
         np.cumsum(_BYTE_VALUE[part] * up[:len(part)], dtype=U64, out=sums[1:])
         out[i:j] = (sums[ends[i:j] - low] - sums[starts[i:j] - low]) * down[starts[i:j] - low]

@@ -57,7 +57,7 @@ RANKS_A = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
 TOKENIZER_B = "piece_bpe_32k.model"
 LONG = 64
 STEP = 2000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 3 << 19
 MEMO = 200_000
 #: Blanks at which a text may be encoded in parts, and parts that may stand between such.
 _CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
@@ -292,7 +292,7 @@ class Aligner:
     def batch(self, texts: list[str]) -> tuple[dict, dict]:
         """What is stored of a batch: lists with an entry per text, and the batch's
         own pairs and windows."""
-        if len(self.memo) > MEMO:
+        if len(self.memo) > MEMO // 2:
             self.forget()
         (a, n_a), (b, n_b) = self.tokens(texts)
         n = len(texts)

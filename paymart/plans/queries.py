@@ -110,8 +110,9 @@ def q_landing_key_index(spark, sf_dir):
 
 
 def q_landing_micro_batches(spark, sf_dir):
-    """A stream landed micro-batch by micro-batch (three files, one each): the first
-    batch's message of a key wins."""
+    """A stream landed micro-batch by micro-batch: the first batch's message of a key
+    wins. Three parts arrive, each in as many files as it has tasks; a drain after each
+    takes all its files as one micro-batch."""
     from paymart.streaming.epochs import land_epochs
     from paymart.streaming.landing import message_stream
 
@@ -120,9 +121,8 @@ def q_landing_micro_batches(spark, sf_dir):
     recs = stored_once(_records(spark, sf_dir), "records")
     sent, ends = F.col("timestamp"), [F.lit(t).cast("timestamp") for t in EPOCH_ENDS]
     for part in (sent < ends[0], (sent >= ends[0]) & (sent < ends[1]), sent >= ends[1]):
-        recs.where(part).coalesce(1).write.mode("append").parquet(topic)
-    land_epochs(spark, lake, message_stream(spark, "parquet", path=topic, max_per_trigger=1),
-                f"{lake.root}/epochs", f"{lake.root}/checkpoint")
+        recs.where(part).write.mode("append").parquet(topic)
+        land_epochs(spark, lake, message_stream(spark, "parquet", path=topic), f"{lake.root}/epochs", f"{lake.root}/checkpoint")
     return lake.read_landing(spark).select(*LANDING_COLUMNS)
 
 

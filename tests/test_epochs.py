@@ -1,10 +1,13 @@
 """The per-micro-batch sink (O44, O46) and the micro-batches' figures."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paymart.plans import jobs
+from paymart.operators import changes, messages
+from paymart.plans import jobs, queries
 from paymart.session import list_folder
+from paymart.sources import adapters
 from paymart.streaming.epochs import EpochWriter, Written, each_epoch, epochs, land_epochs, write_epochs
 from paymart.streaming.landing import message_stream
 
@@ -78,3 +81,30 @@ def test_figures_of_each_micro_batch(spark, scratch):
     assert 0 in [b["messages"] for b in batches] and [b["batch"] for b in batches] == list(range(len(batches)))
     assert not list_folder(spark, f"{lake.root}/inbox") or all(
         not list_folder(spark, f"{lake.root}/inbox/{n}") for n in list_folder(spark, f"{lake.root}/inbox"))
+
+
+def test_each_part_of_the_stream_is_written_by_many_tasks(spark, scratch, monkeypatch):
+    types = ("error", "signup", "click")
+    ev = spark.range(0, 600, numPartitions=4).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:30:00' + make_dt_interval(int(id % 30), int(id % 23))").alias("ts"),
+        (F.col("id") % 40).alias("user_id"), F.element_at(F.array(*map(F.lit, types)), (F.col("id") % 3 + 1).cast("int")).alias("event_type"),
+        (F.col("id") / 7).alias("value"))
+    # the same key again in each part, with offsets that fall as the parts go on
+    again = ev.where("event_id < 60").select((F.col("event_id") % 2).alias("event_id"), "ts", "user_id", "event_type", "value")
+    ev.unionByName(again).write.parquet(f"{scratch}/events.parquet")
+    spark.range(0, 25, numPartitions=1).selectExpr("id n_nationkey", "concat('N', id) n_name").write.parquet(f"{scratch}/nation.parquet")
+    monkeypatch.setattr(queries, "work_dir", lambda spark, name: f"{scratch}/lake")
+    got = queries.q_landing_micro_batches(spark, scratch)
+
+    ends = [F.lit(t).cast("timestamp") for t in queries.EPOCH_ENDS]
+    epoch = F.when(F.col("timestamp") < ends[0], 0).when(F.col("timestamp") < ends[1], 1).otherwise(2)
+    sent = adapters.kafka_records(spark, scratch).withColumn("epoch", epoch)
+    keep = ["epoch", "partition", "offset"]
+    want = changes.first_per_key(messages.decode_envelope(sent, keep=keep), ["object_id"], keep)
+    rows = lambda df: sorted(map(tuple, df.select(*queries.LANDING_COLUMNS).collect()), key=repr)
+    assert rows(got) == rows(want) and len(rows(got)) > 600
+    assert [(r.epoch, r.rows) for r in epochs(spark, f"{scratch}/lake/epochs").orderBy("epoch").collect()] == [
+        (r.epoch, r["count"]) for r in sent.groupBy("epoch").count().orderBy("epoch").collect()]
+    tasks = [int(n.split("-")[1]) for n in list_folder(spark, f"{scratch}/lake/topic") if n.startswith("part-")]
+    assert len(tasks) > 6 and max(tasks) > 1                # was: three files, each by one task that read all

@@ -11,7 +11,8 @@ Two tables below ``KeyIndex.path``:
 A batch first looks up its keys' bits. Keys without all their bits are new. The
 others, known ones and a few that only look like it, are joined with the shards they
 are in; the other shards' files are not read. A full filter sends more keys to the
-join, which stays right.
+join, which stays right. A batch with very many such keys is joined by a shuffle of both
+sides, as there are but a few buckets.
 
 The index may have keys twice (a batch that was repeated after a failure), never too
 few: ``add`` writes the bits before the keys, and ``jobs.land`` repeats an unfinished
@@ -21,7 +22,9 @@ batch before it takes the next.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 import hashlib
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +39,27 @@ BUCKETS = 4
 BITS = 1 << 20
 HASHES = 4
 _PAGE = 32_768  # bits of a row's bitmap
+_WORD = 64      # bits of a number that stands for a part of it
+#: Up to so many keys for each bucket are joined with the index by bucket.
+TASK_KEYS = 250_000
 _BITS_SCHEMA = "shard int, page int, bits binary"
 
 
+def _is_set(words: str, bit: Column) -> Column:
+    """Whether a page, as ``_words`` makes it, has a bit. A word's bytes go up as the
+    page's do, and a byte's bits begin with the lowest."""
+    place = F.lit(_WORD - 8) - bit.bitwiseAND(F.lit(_WORD - 8)) + bit.bitwiseAND(F.lit(7))
+    word = F.get(words, F.shiftright(bit, 6).cast("int"))
+    return F.call_function("shiftright", word, place.cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def _words(bits: str) -> Column:
+    """A page's bitmap as an array of numbers: once a page, so that a look at a bit of
+    it is no more than arithmetic."""
+    return F.transform(F.sequence(F.lit(0), F.lit(_PAGE // _WORD - 1)), lambda i: F.conv(
+        F.hex(F.substring(bits, i * (_WORD // 8) + 1, F.lit(_WORD // 8))), 16, -10).cast("long"))
+
+
 @dataclass(frozen=True)
 class KeyIndex:
     path: str
@@ -89,23 +110,22 @@ class KeyIndex:
         """Those of the (distinct) keys that the filters can't tell to be new, with
         their shard."""
         filters = (self._filters(keys.sparkSession).groupBy("shard", "page")
-                   .agg(F.bitmap_or_agg("bits").alias("bits")))
-
-        def is_set(bit: Column) -> Column:
-            byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-            return F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-        return (self._placed(keys).join(filters, ["shard", "page"]).where(F.forall("at", is_set))
+                   .agg(F.bitmap_or_agg("bits").alias("bits")).select("shard", "page", _words("bits").alias("words")))
+        return (self._placed(keys).join(filters, ["shard", "page"])
+                .where(reduce(and_, [_is_set("words", F.get("at", F.lit(i))) for i in range(HASHES)]))
                 .select(self.key, "shard"))
 
     def known(self, keys: DataFrame) -> DataFrame:
         """Those of the (distinct) keys that the index has."""
         spark = keys.sparkSession
         seen = Observation()
-        maybe = self.maybe_known(keys).observe(seen, F.collect_set("shard").alias("shards"))  # ``shards`` at most
+        maybe = self.maybe_known(keys).observe(
+            seen, F.collect_set("shard").alias("shards"), F.count(F.lit(1)).alias("keys"))  # ``shards`` at most
         maybe = stored_once(maybe, "keys-maybe")
         shards = sorted(seen.get["shards"] or [])
         have = self.table(spark).where(F.col("shard").isin(shards))
+        if (seen.get["keys"] or 0) > TASK_KEYS * self.buckets:
+            have = have.repartition(self.key)  # else a task a bucket, whatever the batch's size
         return have.join(maybe.select(self.key), self.key).select(self.key).distinct()
 
     def add(self, keys: DataFrame) -> None:
@@ -114,9 +134,9 @@ class KeyIndex:
                  .groupBy("shard", "page").agg(F.bitmap_construct_agg("bit").alias("bits")))
         pages.write.mode("append").partitionBy("shard").parquet(f"{self.path}/bits")
         self.table(keys.sparkSession)
-        # one task per bucket, so a batch adds a file per shard and bucket at most
+        # a shard's bucket in one task, so a batch adds a file per shard and bucket at most
         (keys.select(F.col(self.key).cast("string").alias(self.key), self._shard().alias("shard"))
-         .repartition(self.buckets, self.key).write.insertInto(self._name))
+         .repartition("shard", F.pmod(F.hash(self.key), F.lit(self.buckets))).write.insertInto(self._name))
 
     def insert_ignore(self, fresh: DataFrame) -> DataFrame:
         """The rows of ``fresh`` (one per key) whose key the index lacks."""

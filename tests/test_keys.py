@@ -5,8 +5,9 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
-from paymart.operators.keys import KeyIndex
+from paymart.operators.keys import KeyIndex, _is_set, _words
 from paymart.plans import jobs
 
 from .test_jobs import RECORDS, _env
@@ -101,3 +102,46 @@ def test_a_landing_without_an_index_gets_one(spark, scratch):
     jobs.append_rows(old, lake.landing, ["object_class", "sent_date"])
     out = jobs.land(spark, lake, spark.createDataFrame([(0, 1, _env("a")), (0, 2, _env("b"))], RECORDS))
     assert out["written"] == 1
+
+
+def test_a_bit_of_a_page_is_looked_up_by_arithmetic(spark, scratch):
+    index = KeyIndex(scratch, shards=1, buckets=1, bits=32_768)
+    bits = [0, 1, 7, 8, 62, 63, 64, 127, 20_000, 32_767]
+    page = spark.createDataFrame([(b,) for b in bits], "bit long").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    page = page.select(_words("bits").alias("words"))
+    found = spark.range(32_768).join(page).where(_is_set("words", F.col("id"))).orderBy("id")
+    assert [r.id for r in found.collect()] == bits
+    index.add(_keys(spark, ["a", "b"]))
+    plan = index.maybe_known(_keys(spark, ["a", "c"]))._jdf.queryExecution().optimizedPlan().toString()
+    by_key = plan[:plan.index("\n", plan.index("Join "))]    # the join and its condition
+    assert "shiftright(" in by_key or ">>" in by_key, by_key
+    assert "forall(" not in by_key and "conv(" not in by_key
+
+
+def test_the_keys_of_a_batch_are_written_by_more_tasks_than_buckets(spark, scratch):
+    index = KeyIndex(scratch, shards=8, buckets=1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index.add(_keys(spark, [f"k{i}" for i in range(2000)]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f.rsplit("/", 1)[1] for f in index.table(spark).inputFiles()]
+    assert len(files) == 8                                              # a file a shard and bucket
+    assert len({f.split("-")[1] for f in files}) > 1                    # not all by one task
+
+
+def test_very_many_maybe_known_keys_are_not_joined_by_bucket(spark, scratch, monkeypatch):
+    index = KeyIndex(scratch, shards=4, buckets=1)
+    index.add(_keys(spark, [f"k{i}" for i in range(0, 600, 2)]))
+    asked = _keys(spark, [f"k{i}" for i in range(600)])
+    monkeypatch.setattr("paymart.operators.keys.TASK_KEYS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = index.known(asked)
+        plan = known._jdf.queryExecution().toString()
+        assert {r.object_id for r in known.collect()} == {f"k{i}" for i in range(0, 600, 2)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("== Physical Plan =="):]
+    join = join[join.index("SortMergeJoin"):]
+    assert join.count("Exchange hashpartitioning(object_id") == 2 and "SinglePartition" not in join
